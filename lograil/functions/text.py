@@ -33,6 +33,15 @@ def dash_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit("-"))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it.
+
+    The body runs as a lambda and so stays out of the generated code of the projection, which
+    keeps that small. Meant for rare branches: the usual case belongs in a plain expression.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def regex_groups(c: Column, pattern: str, count: int) -> Column:
     """All ``count`` groups of a fully anchored pattern as an array.
 
@@ -42,9 +51,9 @@ def regex_groups(c: Column, pattern: str, count: int) -> Column:
     """
     joined = _MARK.join(f"${i}" for i in range(1, count + 1))
     fast = F.split(F.regexp_replace(c, pattern, joined), _MARK)
-    slow = F.when(
-        c.rlike(pattern), F.array(*[F.regexp_extract(c, pattern, i) for i in range(1, count + 1)])
-    ).otherwise(F.array().cast("array<string>"))
+    slow = let(c, lambda x: F.when(
+        x.rlike(pattern), F.array(*[F.regexp_extract(x, pattern, i) for i in range(1, count + 1)])
+    ).otherwise(F.array().cast("array<string>")))
     return F.when(F.contains(c, F.lit(_MARK)), slow).otherwise(fast)
 
 
@@ -67,8 +76,9 @@ def parse_uuid(c: Column) -> Column:
     """A UUID in plain, hyphenated, braced or URN notation; anything else is null."""
     hyphened = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
     accepted = rf"(?i)^(?:[0-9a-f]{{32}}|{hyphened}|\{{{hyphened}\}}|urn:uuid:{hyphened})$"
+    usual = F.when(c.rlike(f"^{hyphened}$"), c)
     digits = F.regexp_replace(F.regexp_replace(c, "(?i)^urn:uuid:", ""), r"[{}\-]", "")
-    return F.when(c.rlike(accepted), uuid_text(digits))
+    return F.coalesce(usual, F.when(c.rlike(accepted), let(digits, uuid_text)))
 
 
 def percent(c: Column) -> Column:

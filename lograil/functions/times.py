@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-from lograil.functions.text import S, regex_groups, strip
+from lograil.functions.text import S, let, strip
 
 # The usual spelling, which a plain cast reads correctly.
 _PLAIN = (
@@ -77,7 +77,10 @@ def _shift(ts: Column, minus_micros: Column) -> Column:
 
 def _iso_date(text: Column) -> Column:
     """Date of an extended, basic or week date spelling."""
-    compact = F.regexp_replace(text, "-", "")
+    return let(F.regexp_replace(text, "-", ""), _compact_date)
+
+
+def _compact_date(compact: Column) -> Column:
     year = _int(F.substring(compact, 1, 4))
     week = _int(F.substring(compact, 6, 2))
     weekday = F.coalesce(_int(F.nullif(F.substring(compact, 8, 1), F.lit(""))), F.lit(1))
@@ -89,38 +92,50 @@ def _iso_date(text: Column) -> Column:
         week.between(1, last_week) & weekday.between(1, 7) & (year >= 1),
         F.date_add(monday, (week - 1) * 7 + weekday - 1))
     by_day = F.try_to_date(compact, "yyyyMMdd")
-    return F.when(F.contains(text, F.lit("W")), by_week).otherwise(by_day)
+    return F.when(F.contains(compact, F.lit("W")), by_week).otherwise(by_day)
+
+
+def _parts(text: Column, pattern: str, count: int, body) -> Column:
+    """``body`` of the groups of a matching text, null for any other."""
+    groups = F.array(*[F.regexp_extract(text, pattern, i) for i in range(1, count + 1)])
+    return F.when(text.rlike(pattern), let(groups, body))
 
 
 def _iso_any(text: Column) -> Column:
-    g = regex_groups(text, "(?d)" + _ISO, 3)
-    date = _iso_date(g[0])
-    hour, minute, second, micros = _clock_parts(g[1])
-    local = _build(F.year(date), F.month(date), F.day(date), hour, minute, second, micros)
-    return F.when(text.rlike("(?d)" + _ISO), _shift(local, _offset_micros(g[2])))
+    def build(g):
+        return let(
+            F.struct(_iso_date(g[0]).alias("d"), F.struct(*_clock_parts(g[1])).alias("t")),
+            lambda x: _shift(
+                _build(F.year(x.d), F.month(x.d), F.day(x.d), *[x.t[f"col{i}"] for i in (1, 2, 3, 4)]),
+                _offset_micros(g[2])))
+    return _parts(text, "(?d)" + _ISO, 3, build)
 
 
 def _loose(text: Column) -> Column:
-    g = regex_groups(text, "(?U)(?d)" + _LOOSE, 7)
-    micros = F.coalesce(_int(F.rpad(F.nullif(F.substring(g[6], 2, 6), F.lit("")), 6, "0")),
-                        F.lit(0))
-    return F.when(
-        text.rlike("(?U)(?d)" + _LOOSE) & text.rlike(_LOOSE_VALID),
-        _build(_int(g[0]), _int(g[1]), _int(g[2]), _int(g[3]), _int(g[4]), _int(g[5]), micros))
+    def build(g):
+        micros = F.coalesce(
+            _int(F.rpad(F.nullif(F.substring(g[6], 2, 6), F.lit("")), 6, "0")), F.lit(0))
+        return F.when(
+            text.rlike(_LOOSE_VALID),
+            _build(_int(g[0]), _int(g[1]), _int(g[2]), _int(g[3]), _int(g[4]), _int(g[5]), micros))
+    return _parts(text, "(?U)(?d)" + _LOOSE, 7, build)
 
 
 def iso_timestamp(text: Column) -> Column:
     """ISO 8601 text to an instant; text without zone is UTC."""
     plain = F.when(
         text.rlike(_PLAIN) & ~F.startswith(text, F.lit("0000")), text.try_cast("timestamp"))
-    return F.coalesce(plain, F.when(text.isNotNull() & (text != "-"), _iso_any(text)))
+    rare = let(text, lambda t: F.when(t.isNotNull() & (t != "-"), _iso_any(t)))
+    return F.coalesce(plain, rare)
 
 
 def event_time_text(text: Column) -> Column:
     """Event time from text: ISO 8601, else the four loose date-time formats, else null."""
-    t = strip(text)
-    usable = t.isNotNull() & ~t.isin("", "-")
-    return F.coalesce(iso_timestamp(t), F.when(usable, _loose(t)))
+    plain = F.when(
+        text.rlike(_PLAIN) & ~F.startswith(text, F.lit("0000")), text.try_cast("timestamp"))
+    rare = let(strip(text), lambda t: F.when(
+        t.isNotNull() & ~t.isin("", "-"), F.coalesce(iso_timestamp(t), _loose(t))))
+    return F.coalesce(plain, rare)
 
 
 def event_time_epoch(seconds: Column) -> Column:
@@ -133,12 +148,14 @@ def event_time_epoch(seconds: Column) -> Column:
 def clf_timestamp(text: Column) -> Column:
     """Access-log time ``dd/Mon/yyyy:HH:MM:SS [zone]``; without zone it is UTC."""
     plain = F.try_to_timestamp(text, F.lit("dd/MMM/yyyy:HH:mm:ss Z"))
-    g = regex_groups(text, "(?U)(?d)" + _CLF, 7)
-    month = ((F.instr(F.lit(_MONTHS), F.lower(g[1])) + 2) / 3).cast("int")
-    local = _build(_int(g[2]), month, _int(g[0]), _int(g[3]), _int(g[4]), _int(g[5]), F.lit(0))
-    general = F.when(
-        text.rlike("(?U)(?d)" + _CLF), _shift(local, _offset_micros(strip(g[6]))))
-    return F.coalesce(plain, general)
+
+    def build(g):
+        month = ((F.instr(F.lit(_MONTHS), F.lower(g[1])) + 2) / 3).cast("int")
+        local = _build(
+            _int(g[2]), month, _int(g[0]), _int(g[3]), _int(g[4]), _int(g[5]), F.lit(0))
+        return _shift(local, _offset_micros(strip(g[6])))
+
+    return F.coalesce(plain, let(text, lambda t: _parts(t, "(?U)(?d)" + _CLF, 7, build)))
 
 
 def to_millis(ts: Column) -> Column:
