@@ -1,6 +1,8 @@
 """JSON helpers on VARIANT columns: presence, types and the lenient conversions."""
 
-from pyspark.sql import Column, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lograil.functions.text import strip
 
@@ -15,90 +17,126 @@ def child(v: Column, key: str) -> Column:
     return F.try_variant_get(v, f"$.{key}", "variant")
 
 
-def kind(v: Column) -> Column:
-    """STRING, BIGINT, DOUBLE, DECIMAL, BOOLEAN, VOID, OBJECT or ARRAY; null if absent."""
-    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
-
-
 def is_object(v: Column) -> Column:
-    return kind(v) == "OBJECT"
-
-
-def is_number(v: Column) -> Column:
-    return kind(v).isin("BIGINT", "DOUBLE", "FLOAT", "DECIMAL")
-
-
-def text(v: Column, key: str) -> Column:
-    """Member ``key`` if it is a JSON string."""
-    member = child(v, key)
-    return F.when(kind(member) == "STRING", F.try_variant_get(v, f"$.{key}", "string"))
-
-
-def as_text(v: Column, key: str) -> Column:
-    """Any member as text: strings plain, true/false capitalised, containers as JSON."""
-    member = child(v, key)
-    t = kind(member)
-    return (
-        F.when(t.isin("OBJECT", "ARRAY"), F.to_json(member))
-        .when(t == "BOOLEAN", F.initcap(F.try_variant_get(v, f"$.{key}", "string")))
-        .otherwise(F.try_variant_get(v, f"$.{key}", "string"))
-    )
+    return F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))
 
 
 _INT_TEXT = r"^[+-]?[0-9]+(?:_[0-9]+)*(?:\.0*)?$"
-
-
-def whole_number(v: Column, key: str) -> Column:
-    """A declared integer: numbers without fraction, integer text, booleans; else null."""
-    member = child(v, key)
-    t = kind(member)
-    plain = strip(F.try_variant_get(v, f"$.{key}", "string"))
-    number = F.try_variant_get(v, f"$.{key}", "double")
-    digits = F.regexp_replace(F.regexp_replace(plain, r"\.0*$", ""), "_", "")
-    return (
-        F.when(t == "BIGINT", F.try_variant_get(v, f"$.{key}", "bigint"))
-        .when(is_number(member) & (number == F.floor(number)), number.try_cast("bigint"))
-        .when((t == "STRING") & plain.rlike(_INT_TEXT), digits.try_cast("bigint"))
-        .when(t == "BOOLEAN", F.try_variant_get(v, f"$.{key}", "boolean").cast("bigint"))
-    )
-
-
-def truncated_number(v: Column, key: str) -> Column:
-    """An integer taken from metadata: numbers lose their fraction, text must be an integer."""
-    member = child(v, key)
-    t = kind(member)
-    plain = strip(F.try_variant_get(v, f"$.{key}", "string"))
-    return (
-        F.when(is_number(member), F.try_variant_get(v, f"$.{key}", "double").try_cast("bigint"))
-        .when((t == "STRING") & plain.rlike("^[+-]?[0-9]+(?:_[0-9]+)*$"),
-              F.regexp_replace(plain, "_", "").try_cast("bigint"))
-        .when(t == "BOOLEAN", F.try_variant_get(v, f"$.{key}", "boolean").cast("bigint"))
-    )
-
-
-def flag(v: Column, key: str) -> Column:
-    """A declared boolean: true/false, 0/1 and the usual words; else null."""
-    member = child(v, key)
-    t = kind(member)
-    word = F.lower(F.try_variant_get(v, f"$.{key}", "string"))
-    number = F.try_variant_get(v, f"$.{key}", "double")
-    return (
-        F.when(t == "BOOLEAN", F.try_variant_get(v, f"$.{key}", "boolean"))
-        .when(is_number(member), F.when(number == 1, True).when(number == 0, False))
-        .when(word.isin("1", "t", "true", "y", "yes", "on"), True)
-        .when(word.isin("0", "f", "false", "n", "no", "off"), False)
-    )
-
-
-def has_value(v: Column) -> Column:
-    """Whether a JSON value is non-empty: not null, false, 0, "", [] or {}."""
-    shape = F.schema_of_variant(v)
-    return F.coalesce(
-        F.when(shape == "VOID", False)
-        .when(shape.isin("OBJECT<>", "ARRAY<VOID>"), ~F.to_json(v).isin("{}", "[]"))
-        .when(shape == "STRING", F.try_variant_get(v, "$", "string") != "")
-        .when(shape == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
-        .when(is_number(v), F.try_variant_get(v, "$", "double") != 0)
-        .otherwise(v.isNotNull()),
-        F.lit(False),
-    )
+_PLAIN_INT_TEXT = r"^[+-]?[0-9]+(?:_[0-9]+)*$"
+
+
+@dataclass
+class Member:
+    """A member of a JSON object: variant, name of its type (null if absent), and plain text."""
+
+    value: Column
+    shape: Column
+    plain: Column
+
+    @property
+    def present(self) -> Column:
+        return self.shape.isNotNull()
+
+    @property
+    def is_null(self) -> Column:
+        return self.shape == "VOID"
+
+    @property
+    def is_text(self) -> Column:
+        return self.shape == "STRING"
+
+    @property
+    def is_object(self) -> Column:
+        return F.startswith(self.shape, F.lit("OBJECT"))
+
+    @property
+    def is_number(self) -> Column:
+        return self.shape.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(
+            self.shape, F.lit("DECIMAL"))
+
+    @property
+    def is_flag(self) -> Column:
+        return self.shape == "BOOLEAN"
+
+    def cast(self, kind: str) -> Column:
+        return self.plain if kind == "string" else F.try_variant_get(self.value, "$", kind)
+
+    def text(self) -> Column:
+        """The member if it is a JSON string."""
+        return F.when(self.is_text, self.cast("string"))
+
+    def as_text(self) -> Column:
+        """Any member as text: strings plain, true/false capitalised, containers as JSON."""
+        container = self.is_object | F.startswith(self.shape, F.lit("ARRAY"))
+        return (
+            F.when(container, F.to_json(self.value))
+            .when(self.is_flag, F.initcap(self.cast("string")))
+            .when(self.present, self.cast("string"))
+        )
+
+    def whole_number(self) -> Column:
+        """A declared integer: numbers without fraction, integer text, booleans; else null."""
+        number, plain = self.cast("double"), strip(self.cast("string"))
+        digits = F.regexp_replace(F.regexp_replace(plain, r"\.0*$", ""), "_", "")
+        return (
+            F.when(self.shape == "BIGINT", self.cast("bigint"))
+            .when(self.is_number & (number == F.floor(number)), number.try_cast("bigint"))
+            .when(self.is_text & plain.rlike(_INT_TEXT), digits.try_cast("bigint"))
+            .when(self.is_flag, self.cast("boolean").cast("bigint"))
+        )
+
+    def truncated_number(self) -> Column:
+        """An integer from metadata: numbers lose their fraction, text must be an integer."""
+        plain = strip(self.cast("string"))
+        return (
+            F.when(self.is_number, self.cast("double").try_cast("bigint"))
+            .when(self.is_text & plain.rlike(_PLAIN_INT_TEXT),
+                  F.regexp_replace(plain, "_", "").try_cast("bigint"))
+            .when(self.is_flag, self.cast("boolean").cast("bigint"))
+        )
+
+    def flag(self) -> Column:
+        """A declared boolean: true/false, 0/1 and the usual words; else null."""
+        word, number = F.lower(self.cast("string")), self.cast("double")
+        return (
+            F.when(self.is_flag, self.cast("boolean"))
+            .when(self.is_number, F.when(number == 1, True).when(number == 0, False))
+            .when(self.is_text & word.isin("1", "t", "true", "y", "yes", "on"), True)
+            .when(self.is_text & word.isin("0", "f", "false", "n", "no", "off"), False)
+        )
+
+    def has_value(self) -> Column:
+        """Whether the value is non-empty: not null, false, 0, "", [] or {}."""
+        return F.coalesce(
+            F.when(self.is_null, False)
+            .when(self.is_text, self.cast("string") != "")
+            .when(self.is_flag, self.cast("boolean"))
+            .when(self.is_number, self.cast("double") != 0)
+            .otherwise(~F.to_json(self.value).isin("{}", "[]")),
+            F.lit(False),
+        )
+
+
+def member(v: Column) -> Member:
+    """A variant as a member, for a single use."""
+    return Member(v, F.schema_of_variant(v), F.try_variant_get(v, "$", "string"))
+
+
+def with_members(df: DataFrame, v: Column, keys, prefix="_j"):
+    """Look up the named members of an object, all of them in one pass over it.
+
+    Returns the frame with three helper structs (variants, texts, type names), the members by
+    key, and the names of the helpers for dropping. A value that is no object has no members.
+    """
+    fields = lambda kind: ", ".join(f"`{k}`: {kind}" for k in keys)
+    values, texts, shapes = f"{prefix}v", f"{prefix}s", f"{prefix}t"
+    df = df.withColumns({
+        values: F.try_variant_get(v, "$", f"struct<{fields('variant')}>"),
+        texts: F.try_variant_get(v, "$", f"struct<{fields('string')}>"),
+    }).withColumn(shapes, F.struct(*[
+        F.schema_of_variant(F.col(f"{values}.{k}")).alias(k) for k in keys]))
+    members = {
+        k: Member(F.col(f"{values}.{k}"), F.col(f"{shapes}.{k}"), F.col(f"{texts}.{k}"))
+        for k in keys
+    }
+    return df, members, [values, texts, shapes]

@@ -30,6 +30,9 @@ _CLF = (
     r"([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})"
     r"((?:\s+(?:[+-][0-9]{2}:?[0-5][0-9](?::?[0-5][0-9](?:\.[0-9]{1,6})?)?|(?-i:Z)))?)$"
 )
+# The usual spellings of it, which a date format reads correctly.
+_CLF_LOCAL = "^[0-9]{2}/[A-Z][a-z]{2}/[0-9]{4}:[0-9]{2}:[0-9]{2}:[0-9]{2}$"
+_CLF_ZONED = _CLF_LOCAL[:-1] + " [+-][0-9]{4}$"
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 MICROS_PER_SECOND = 1_000_000
@@ -147,7 +150,11 @@ def event_time_epoch(seconds: Column) -> Column:
 
 def clf_timestamp(text: Column) -> Column:
     """Access-log time ``dd/Mon/yyyy:HH:MM:SS [zone]``; without zone it is UTC."""
-    plain = F.try_to_timestamp(text, F.lit("dd/MMM/yyyy:HH:mm:ss Z"))
+    plain = (
+        F.when(text.rlike(_CLF_ZONED),
+               F.try_to_timestamp(text, F.lit("dd/MMM/yyyy:HH:mm:ss Z")))
+        .when(text.rlike(_CLF_LOCAL), F.try_to_timestamp(text, F.lit("dd/MMM/yyyy:HH:mm:ss")))
+    )
 
     def build(g):
         month = ((F.instr(F.lit(_MONTHS), F.lower(g[1])) + 2) / 3).cast("int")

@@ -24,7 +24,8 @@ EMPTY = "line is empty"
 def parse_clf(df: DataFrame, content="value") -> DataFrame:
     """Add the record columns and ``errors`` to a frame of access-log lines."""
     # Step 1: one match per line.
-    df = df.withColumn("_clf", regex_groups(strip(F.col(content)), LINE, 10))
+    df = df.withColumn("_line", strip(F.col(content)))
+    df = df.withColumn("_clf", regex_groups(F.col("_line"), LINE, 10))
     fits = F.size("_clf") == 10
     part = {
         name: F.when(fits, F.col("_clf")[i])
@@ -35,13 +36,12 @@ def parse_clf(df: DataFrame, content="value") -> DataFrame:
     df = df.withColumns(part)
     # Step 2: the request line; "-", empty or odd text leaves method and path null.
     request = F.when(F.col("_request") != "-", regex_groups(F.col("_request"), REQUEST, 3))
+    df = df.withColumns({"_req": request, "created_at": clf_timestamp(F.col("_time"))})
+    parsed_request = F.size("_req") == 3
     df = df.withColumns({
-        "_req": F.when(F.size(request) == 3, request),
-        "created_at": clf_timestamp(F.col("_time")),
-    })
-    df = df.withColumns({
-        "http_method": F.col("_req")[0],
-        "http_path": F.col("_req")[1],
+        "http_method": F.when(parsed_request, F.col("_req")[0]),
+        "http_path": F.when(parsed_request, F.col("_req")[1]),
+        "_protocol": F.when(parsed_request, blank_to_null(F.col("_req")[2])),
         "http_status": F.col("_status").cast("int"),
     })
     combined = F.col("_pair") != ""
@@ -56,7 +56,7 @@ def parse_clf(df: DataFrame, content="value") -> DataFrame:
         F.col("_host").alias("remote_addr"),
         dash_to_null(F.col("_ident")).alias("ident"),
         blank_to_null(F.col("_request")).alias("request_raw"),
-        blank_to_null(F.col("_req")[2]).alias("http_protocol"),
+        F.col("_protocol").alias("http_protocol"),
         F.col("_bytes").try_cast("decimal(38,0)").alias("body_bytes_sent"),
     )
     # Keys that exist only with a value.
@@ -66,7 +66,7 @@ def parse_clf(df: DataFrame, content="value") -> DataFrame:
         F.when(combined, dash_to_null(F.col("_referer"))).alias("http_referer"),
         F.when(combined, dash_to_null(F.col("_agent"))).alias("http_user_agent"),
     )
-    text = strip(F.col(content))
+    text = F.col("_line")
     errors = (
         F.when(text.isNull() | (text == ""), F.lit(EMPTY))
         .when(F.col("_host").isNull(), F.lit(NOT_CLF))
@@ -81,13 +81,12 @@ def parse_clf(df: DataFrame, content="value") -> DataFrame:
         "user_id": dash_to_null(F.col("_user")),
         "metadata": merge_json(always, extra),
         "errors": errors,
-    }).drop("_clf", "_req", *part)
+    }).drop("_line", "_clf", "_req", "_protocol", *part)
 
 
 def merge_json(always, extra):
     """One JSON object of two structs; null members of the second are left out."""
-    first = F.to_json(always, {"ignoreNullFields": "false"})
+    first = F.rtrim(F.to_json(always, {"ignoreNullFields": "false"}), F.lit("}"))
     second = F.to_json(extra)
-    return F.when(second == "{}", first).otherwise(
-        F.concat(F.substring(first, F.lit(1), F.length(first) - 1), F.lit(","),
-                 F.substring(second, F.lit(2), F.length(second) - 1)))
+    return F.concat(first, F.when(second == "{}", "}").otherwise(
+        F.concat(F.lit(","), F.ltrim(second, F.lit("{")))))

@@ -82,12 +82,12 @@ def run_request_job(df: DataFrame, content="value", ingested_at=None, id_from=No
                     **defaults):
     """JSON requests to (log records, rejects)."""
     done = finish(jsonlog.parse_requests(df, content, **defaults), ingested_at=ingested_at,
-                  id_from=id_from, promote=True, meta="_meta")
+                  id_from=id_from, promoted=True, meta="_meta")
     return accepted(done, keep), rejected(done, content, keep)
 
 
 def run_message_job(df: DataFrame, content="value", ingested_at=None, id_from=None, keep=()):
     """Topic messages to (log records, rejects)."""
     done = finish(jsonlog.parse_messages(df, content), ingested_at=ingested_at,
-                  id_from=id_from, promote=True, meta="_meta")
+                  id_from=id_from, promoted=True, meta="_meta")
     return accepted(done, keep), rejected(done, content, keep)

@@ -60,51 +60,50 @@ def decode(topic: DataFrame) -> DataFrame:
         "partition", "offset", F.col("key").cast("string").alias("key"), "timestamp",
         decode_headers(F.col("headers")).alias("headers"), value.alias("value"))
     df = df.withColumn("_v", jsonx.parse(F.col("value")))
+    error = {k: jsonx.member(jsonx.child(F.col("_v"), k)) for k in ("error_message", "error_type")}
     header = [blank_to_null(F.try_element_at("headers", F.lit(h))) for h in ERROR_HEADERS]
     return df.withColumns({
         "value_preview": F.substring("value", 1, PREVIEW_CHARS),
         "value_json": F.to_json("_v"),
         "error_text": F.coalesce(
-            *header, blank_to_null(jsonx.text(F.col("_v"), "error_message")),
-            blank_to_null(jsonx.text(F.col("_v"), "error_type"))),
+            *header, *[blank_to_null(e.text()) for e in error.values()]),
     })
 
 
+_ENVELOPE_KEYS = [
+    "dlq_id", "id", "dlq_timestamp", "created_at", "error_message", "error_type", "source",
+    "raw_payload", "original_log", "message",
+]
+
+
 def unify(dead: DataFrame) -> DataFrame:
     """Add the common dead-letter columns, whichever of the four shapes a value has."""
     v = F.col("_v")
-    original = jsonx.child(v, "original_log")
-    has_log = jsonx.is_object(original)
-    raw = jsonx.text(v, "raw_payload")
-    envelope = jsonx.text(v, "error_message").isNotNull() & (
-        raw.isNotNull() | jsonx.child(v, "raw_payload").isNotNull())
-    shape = (
+    df, m, helpers = jsonx.with_members(dead, v, _ENVELOPE_KEYS)
+    raw = m["raw_payload"]
+    envelope = m["error_message"].is_text & raw.present
+    df = df.withColumn("shape", F.coalesce(
         F.when(v.isNull(), "junk")
-        .when(~jsonx.is_object(v), "other")
-        .when(has_log, "failed_batch")
-        .when(envelope & jsonx.child(v, "dlq_id").isNotNull(), "unparseable_message")
+        .when(m["original_log"].is_object, "failed_batch")
+        .when(envelope & m["dlq_id"].present, "unparseable_message")
         .when(envelope, "parser_reject")
-        .when(jsonx.child(v, "message").isNotNull(), "log")
-        .otherwise("other")
-    )
-    df = dead.withColumn("shape", F.coalesce(shape, F.lit("other")))
+        .when(m["message"].present, "log"), F.lit("other")))
     wrapped = F.col("shape").isin("failed_batch", "unparseable_message", "parser_reject")
     header = lambda name: F.try_element_at("headers", F.lit(name))
+    stated = F.coalesce(
+        F.when(wrapped, F.coalesce(m["dlq_timestamp"].text(), m["created_at"].text())),
+        header("dlq_timestamp"))
     return df.withColumns({
-        "dlq_id": F.when(wrapped, F.coalesce(jsonx.text(v, "dlq_id"), jsonx.text(v, "id"))),
-        "dlq_time": F.coalesce(
-            F.when(wrapped, times.event_time_text(
-                F.coalesce(jsonx.text(v, "dlq_timestamp"), jsonx.text(v, "created_at")))),
-            times.event_time_text(header("dlq_timestamp")), F.col("timestamp")),
+        "dlq_id": F.when(wrapped, F.coalesce(m["dlq_id"].text(), m["id"].text())),
+        "dlq_time": F.coalesce(times.event_time_text(stated), F.col("timestamp")),
         "error_message": F.coalesce(
-            F.when(wrapped, jsonx.text(v, "error_message")), F.col("error_text")),
-        "error_type": F.coalesce(
-            F.when(wrapped, jsonx.text(v, "error_type")), header("error_type")),
-        "source": jsonx.text(v, "source"),
-        "raw_payload": F.when(wrapped, raw).when(F.col("shape") == "junk", F.col("value")),
-        "original_log": F.when(has_log, F.to_json(original))
+            F.when(wrapped, m["error_message"].text()), F.col("error_text")),
+        "error_type": F.coalesce(F.when(wrapped, m["error_type"].text()), header("error_type")),
+        "source": m["source"].text(),
+        "raw_payload": F.when(wrapped, raw.text()).when(F.col("shape") == "junk", F.col("value")),
+        "original_log": F.when(m["original_log"].is_object, F.to_json(m["original_log"].value))
         .when(F.col("shape") == "log", F.col("value_json")),
-    })
+    }).drop(*helpers)
 
 
 def _matched(text: Column, pattern: str) -> Column:

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lograil.functions import jsonx, times
+from lograil.functions.jsonx import Member, with_members
 from lograil.functions.text import parse_uuid
 from lograil.operators.validate import collect_errors, level_error, request_errors
 from lograil.schema import RECORD_TYPES, TEXT_RULES
@@ -13,17 +14,12 @@ NOT_OBJECT = "value is not a JSON object"
 _REQUEST_TEXT = ["source", "source_service", "level", "message", "source_host", "trace_id"]
 
 
-def _event_time(member: Column) -> Column:
+def _event_time(m: Member) -> Column:
     """Event time of a JSON member: text or epoch seconds; any other value is null."""
-    kind = jsonx.kind(member)
-    return F.coalesce(
-        F.when(kind == "STRING",
-               times.event_time_text(F.try_variant_get(member, "$", "string"))),
-        F.when(jsonx.is_number(member),
-               times.event_time_epoch(F.try_variant_get(member, "$", "double"))),
-        F.when(kind == "BOOLEAN",
-               times.event_time_epoch(
-                   F.try_variant_get(member, "$", "boolean").cast("int"))),
+    return (
+        F.when(m.is_text, times.event_time_text(m.cast("string")))
+        .when(m.is_number, times.event_time_epoch(m.cast("double")))
+        .when(m.is_flag, times.event_time_epoch(m.cast("boolean").cast("int")))
     )
 
 
@@ -44,36 +40,32 @@ def parse_requests(df: DataFrame, content="value", default_source=None,
 
 def request_columns(df: DataFrame, default_source=None, default_source_service=None) -> DataFrame:
     """As ``parse_requests`` for documents already held in the variant column ``_v``."""
-    v = F.col("_v")
-    df = df.withColumns({f"_k_{name}": jsonx.kind(jsonx.child(v, name)) for name in _REQUEST_TEXT})
+    df, m, helpers = with_members(df, F.col("_v"), [*_REQUEST_TEXT, "payload", "created_at"])
+    defaults = {"source": default_source, "source_service": default_source_service}
+    columns, shapes = {}, {}
+    for name in _REQUEST_TEXT:
+        columns[name], shapes[name] = m[name].text(), m[name].shape
+        if defaults.get(name) is not None:
+            columns[name] = F.when(m[name].shape.isNull(), F.lit(defaults[name])).otherwise(
+                columns[name])
+            shapes[name] = F.coalesce(shapes[name], F.lit("STRING"))
     df = df.withColumns({
-        **{name: jsonx.text(v, name) for name in _REQUEST_TEXT},
-        "_payload": jsonx.child(v, "payload"),
-        "created_at": _event_time(jsonx.child(v, "created_at")),
+        **columns,
+        "created_at": _event_time(m["created_at"]),
+        "_meta": F.when(m["payload"].is_object, m["payload"].value),
+        "_doc_error": _document_error(F.col("_v")),
     })
-    for name, default in (("source", default_source), ("source_service", default_source_service)):
-        if default is not None:
-            absent = F.col(f"_k_{name}").isNull()
-            df = df.withColumns({
-                name: F.when(absent, F.lit(default)).otherwise(F.col(name)),
-                f"_k_{name}": F.when(absent, F.lit("STRING")).otherwise(F.col(f"_k_{name}")),
-            })
-    payload_kind = jsonx.kind(F.col("_payload"))
-    document = _document_error(v)
     rules = collect_errors(
-        *request_errors(F.col, {n: F.col(f"_k_{n}") for n in _REQUEST_TEXT}),
-        F.when(payload_kind.isNotNull() & ~payload_kind.isin("VOID", "OBJECT"),
+        *request_errors(F.col, shapes),
+        F.when(m["payload"].present & ~m["payload"].is_null & ~m["payload"].is_object,
                F.lit("payload: must be an object")),
         level_error(F.col("level")),
     )
-    meta = F.when(payload_kind == "OBJECT", F.col("_payload"))
-    df = df.withColumns({
-        "errors": F.coalesce(document, rules),
-        "_meta": meta,
-        "metadata": F.coalesce(F.to_json(meta), F.lit("{}")),
+    return df.withColumns({
+        "errors": F.coalesce("_doc_error", rules),
+        "metadata": F.coalesce(F.to_json("_meta"), F.lit("{}")),
         "format": F.lit("json"),
-    })
-    return df.drop("_payload", *[f"_k_{n}" for n in _REQUEST_TEXT])
+    }).drop("_doc_error", *helpers)
 
 
 def explode_batches(df: DataFrame, content="value", max_logs=1000) -> DataFrame:
@@ -83,16 +75,14 @@ def explode_batches(df: DataFrame, content="value", max_logs=1000) -> DataFrame:
     one row with index -1 and a document error.
     """
     df = df.withColumn("_doc", jsonx.parse(F.col(content)))
-    logs = F.try_variant_get("_doc", "$.logs", "array<variant>")
-    df = df.withColumn("_logs", logs)
+    df = df.withColumn("_logs", F.try_variant_get("_doc", "$.logs", "array<variant>"))
     size = F.size("_logs")
-    error = (
+    df = df.withColumn("document_error", (
         F.when(F.col("_doc").isNull(), F.lit(NOT_JSON))
         .when(F.col("_logs").isNull(), F.lit("logs: must be a list"))
         .when(size == 0, F.lit("logs: must hold at least 1 log"))
         .when(size > max_logs, F.lit(f"logs: must hold at most {max_logs} logs"))
-    )
-    df = df.withColumn("document_error", error)
+    ))
     items = F.when(F.col("document_error").isNull(), F.col("_logs"))
     keep = [c for c in df.columns if c not in ("_doc", "_logs")]
     df = df.select(*keep, F.posexplode_outer(items).alias("index", "_v"))
@@ -102,73 +92,65 @@ def explode_batches(df: DataFrame, content="value", max_logs=1000) -> DataFrame:
 def parse_batches(df: DataFrame, content="value", max_logs=1000) -> DataFrame:
     """Batch documents to validated-request columns, one row per log or broken document."""
     df = request_columns(explode_batches(df, content, max_logs))
-    return df.withColumn(
-        "errors",
-        F.coalesce("document_error", "errors")).drop("_v", "document_error")
+    return df.withColumn("errors", F.coalesce("document_error", "errors")).drop(
+        "_v", "document_error")
 
 
-def _declared_time(v: Column, key: str) -> Column:
+def _declared_time(m: Member) -> Column:
     """A declared timestamp: ISO text, epoch seconds or (beyond 2e10) epoch milliseconds."""
-    member = jsonx.child(v, key)
-    number = F.try_variant_get(member, "$", "double")
+    number = m.cast("double")
     seconds = F.when(F.abs(number) > F.lit(2e10), number / 1000).otherwise(number)
     return (
-        F.when(jsonx.kind(member) == "STRING",
-               times.iso_timestamp(F.try_variant_get(member, "$", "string")))
-        .when(jsonx.is_number(member), times.event_time_epoch(seconds))
+        F.when(m.is_text, times.iso_timestamp(m.cast("string")))
+        .when(m.is_number, times.event_time_epoch(seconds))
     )
 
 
 def parse_messages(df: DataFrame, content="value") -> DataFrame:
     """Topic messages (full log records as JSON): record columns, ``errors``, variant ``_meta``."""
     df = df.withColumn("_v", jsonx.parse(F.col(content).cast("string")))
-    v = F.col("_v")
-    kind = {name: jsonx.kind(jsonx.child(v, name)) for name in RECORD_TYPES}
-    metadata_text = F.when(kind["metadata"] == "STRING", jsonx.text(v, "metadata"))
-    meta = (
-        F.when(kind["metadata"] == "OBJECT", jsonx.child(v, "metadata"))
-        .when(kind["metadata"] == "STRING", jsonx.parse(metadata_text))
-        .when(kind["metadata"].isNull() | (kind["metadata"] == "VOID"), F.parse_json(F.lit("{}")))
-    )
-    text_names = [n for n in TEXT_RULES if n != "level"] + ["level", "parse_errors"]
-    columns = {name: jsonx.text(v, name) for name in text_names}
-    columns.update({
-        "id": parse_uuid(jsonx.text(v, "id")),
-        "created_at": _event_time(jsonx.child(v, "created_at")),
-        "ingested_at": _declared_time(v, "ingested_at"),
-        "event_time_missing": jsonx.flag(v, "event_time_missing"),
-        "is_parsed": jsonx.flag(v, "is_parsed"),
-        "http_status": jsonx.whole_number(v, "http_status").try_cast("int"),
-        "http_response_time_ms": jsonx.whole_number(v, "http_response_time_ms"),
-        "_meta": F.when(jsonx.is_object(meta), meta),
+    df, m, helpers = with_members(df, F.col("_v"), list(RECORD_TYPES))
+    meta = m["metadata"]
+    df = df.withColumn("_given_meta", (
+        F.when(meta.is_object, meta.value)
+        .when(meta.is_text, jsonx.parse(meta.cast("string")))
+        .when(~meta.present | meta.is_null | meta.shape.isNull(), F.parse_json(F.lit("{}")))
+    ))
+    texts = [n for n in TEXT_RULES if n != "level"] + ["level", "parse_errors"]
+    df = df.withColumns({
+        **{name: m[name].text() for name in texts},
+        "id": parse_uuid(m["id"].text()),
+        "created_at": _event_time(m["created_at"]),
+        "ingested_at": _declared_time(m["ingested_at"]),
+        "event_time_missing": m["event_time_missing"].flag(),
+        "is_parsed": m["is_parsed"].flag(),
+        "http_status": m["http_status"].whole_number().try_cast("int"),
+        "http_response_time_ms": m["http_response_time_ms"].whole_number(),
+        "_meta": F.when(jsonx.is_object(F.col("_given_meta")), F.col("_given_meta")),
+        "_doc_error": _document_error(F.col("_v")),
     })
-    df = df.withColumns(columns)
 
-    def wrong(name, value, what, nullable):
+    def wrong(name, what, nullable=False):
         """Error where the key is present and its value could not be read as ``what``."""
-        bad = kind[name].isNotNull() & value.isNull()
+        bad = m[name].present & F.col(name).isNull()
         if nullable:
-            bad = bad & (kind[name] != "VOID")
+            bad = bad & ~m[name].is_null
         return F.when(bad, F.lit(f"{name}: must be {what}"))
 
-    checks = [
-        wrong(n, F.col(n), "a string", not TEXT_RULES.get(n, (False,))[0] and n != "format")
-        for n in text_names
-    ]
-    checks += [
-        wrong("id", F.col("id"), "a UUID", False),
-        wrong("ingested_at", F.col("ingested_at"), "a timestamp", False),
-        wrong("event_time_missing", F.col("event_time_missing"), "a boolean", False),
-        wrong("is_parsed", F.col("is_parsed"), "a boolean", False),
-        wrong("http_status", F.col("http_status"), "an integer", True),
-        wrong("http_response_time_ms", F.col("http_response_time_ms"), "an integer", True),
+    required = {n for n, (needed, _, _) in TEXT_RULES.items() if needed}
+    checks = [wrong(n, "a string", n not in required) for n in texts] + [
+        wrong("id", "a UUID"),
+        wrong("ingested_at", "a timestamp"),
+        wrong("event_time_missing", "a boolean"),
+        wrong("is_parsed", "a boolean"),
+        wrong("http_status", "an integer", True),
+        wrong("http_response_time_ms", "an integer", True),
         F.when(F.col("_meta").isNull(), F.lit("metadata: must be a JSON object")),
     ]
-    document = _document_error(v)
-    df = df.withColumn("errors", F.coalesce(document, collect_errors(*checks)))
+    df = df.withColumn("errors", F.coalesce("_doc_error", collect_errors(*checks)))
     return df.withColumns({
-        "format": F.when(kind["format"].isNull(), F.lit("json")).otherwise(F.col("format")),
+        "format": F.when(~m["format"].present, F.lit("json")).otherwise(F.col("format")),
         "is_parsed": F.coalesce("is_parsed", F.lit(True)),
         "event_time_missing": F.coalesce("event_time_missing", F.lit(False)),
         "metadata": F.coalesce(F.to_json("_meta"), F.lit("{}")),
-    }).drop("_v")
+    }).drop("_v", "_given_meta", "_doc_error", *helpers)

@@ -40,12 +40,15 @@ def top_messages(counts: DataFrame, keys=ERROR_TYPE_KEYS, k=TOP_MESSAGES) -> Dat
 
 def error_type_summary(logs: DataFrame) -> DataFrame:
     """Per day, error type and level: number of errors and the top messages in order."""
-    return merge_error_type_summary(error_message_counts(logs))
+    return summarise_messages(error_message_counts(logs))
 
 
-def merge_error_type_summary(counts: DataFrame) -> DataFrame:
-    """The summary of message counts from any number of batches."""
-    merged = counts.groupBy(*ERROR_TYPE_KEYS, "message").agg(F.sum("n").alias("n"))
+def merge_error_message_counts(counts: DataFrame) -> DataFrame:
+    return counts.groupBy(*ERROR_TYPE_KEYS, "message").agg(F.sum("n").alias("n"))
+
+
+def summarise_messages(merged: DataFrame) -> DataFrame:
+    """The summary of merged message counts."""
     totals = merged.groupBy(*ERROR_TYPE_KEYS).agg(F.sum("n").alias("error_count"))
     lists = top_messages(merged).groupBy(*ERROR_TYPE_KEYS).agg(
         F.transform(
@@ -136,9 +139,9 @@ def merge_errors_top(partials: DataFrame) -> DataFrame:
         F.sum("error_count").alias("error_count"), F.max("last_seen").alias("last_seen"))
 
 
-# Rollup name: (partial of a batch, merge of all partials).
+# Rollup name: (partial of a batch, merge of partials into one). A merge gives partials again.
 ROLLUPS = {
-    "error_messages": (error_message_counts, merge_error_type_summary),
+    "error_messages": (error_message_counts, merge_error_message_counts),
     "service_errors": (service_error_matrix, merge_service_error_matrix),
     "service_health": (service_health, merge_service_health),
     "hourly_volume": (hourly_volume, merge_hourly_volume),

@@ -145,26 +145,24 @@ def deep_page(logs: DataFrame, search: Search, max_skip=MAX_SKIP) -> DataFrame:
     """
     found, skip = matching(logs, search), search.offset
     scope = found
-    beyond = F.lit(False)
+    # The group the page starts in, and the groups after it (the page may run past the first).
+    inside, beyond = F.lit(True), F.lit(False)
     for bucket, newest in _BUCKETS:
         if skip <= max_skip:
             break
         counts = scope.groupBy(bucket().alias("b")).agg(F.count("*").alias("n"))
-        order = F.desc("b") if newest else F.asc("b")
         # One row per group of this width inside one group of the width before.
-        running = counts.withColumn("upto", F.sum("n").over(Window.orderBy(order)))
-        hit = running.filter(F.col("upto") > skip).orderBy("upto").limit(1).collect()
+        w = Window.orderBy(F.desc("b") if newest else F.asc("b"))
+        running = counts.withColumn("upto", F.sum("n").over(w)).filter(F.col("upto") > skip)
+        hit = running.orderBy("upto").limit(1).collect()
         if not hit:
             return found.select(*LOG_COLUMNS).limit(0)
         skip -= hit[0]["upto"] - hit[0]["n"]
         start = F.lit(hit[0]["b"])
-        # Rows of later groups still belong to the page if it runs past this group.
-        later = bucket() < start if newest else bucket() > start
-        inside = bucket() == start
-        beyond = beyond | later if scope is found else beyond | (scope_test & later)
-        scope_test = inside if scope is found else scope_test & inside
-        scope = scope.filter(inside)
-    rows = found if scope is found else found.filter(scope_test | beyond)
+        beyond = beyond | (inside & (bucket() < start if newest else bucket() > start))
+        inside = inside & (bucket() == start)
+        scope = found.filter(inside)
+    rows = found.filter(inside | beyond)
     return rows.select(*LOG_COLUMNS).orderBy(*_newest_first()).offset(skip).limit(search.limit)
 
 

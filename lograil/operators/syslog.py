@@ -59,7 +59,7 @@ def structured_data(rest: Column, allow_spaced=True) -> dict[str, Column]:
     """
     s = lstrip(rest)
     by_pattern = F.length(F.regexp_extract(s, _TOLERANT_SD if allow_spaced else _ADJACENT_SD, 1))
-    size = F.when(by_pattern > 0, by_pattern).otherwise(_scan_length(s, allow_spaced))
+    size = F.coalesce(F.nullif(by_pattern, F.lit(0)), _scan_length(s, allow_spaced))
     nil = F.startswith(s, F.lit("-"))
     bracket = F.startswith(s, F.lit("["))
     return {
@@ -75,7 +75,8 @@ def parse_syslog(df: DataFrame, content="value", strict=False, allow_spaced=True
     ``strict`` turns out-of-range priorities, versions other than 1, invalid timestamps and
     malformed structured data into rejects.
     """
-    df = df.withColumn("_hdr", regex_groups(strip(F.col(content)), HEADER, 8))
+    df = df.withColumn("_line", strip(F.col(content)))
+    df = df.withColumn("_hdr", regex_groups(F.col("_line"), HEADER, 8))
     fits = F.size("_hdr") == 8
     names = ["_pri", "_ver", "_ts", "_host", "_app", "_proc", "_msgid", "_rest"]
     part = {name: F.when(fits, F.col("_hdr")[i]) for i, name in enumerate(names)}
@@ -123,7 +124,7 @@ def parse_syslog(df: DataFrame, content="value", strict=False, allow_spaced=True
         F.when((F.col("_ts") != "-") & no_time, F.lit("invalid timestamp")),
         F.when(sd_error.isNotNull(), F.concat(F.lit("malformed structured data: "), sd_error)),
     ) if strict else F.lit(None).cast("string")
-    text = strip(F.col(content))
+    text = F.col("_line")
     errors = (
         F.when(text.isNull() | (text == ""), F.lit(EMPTY))
         .when(F.col("_pri").isNull(), F.lit(NOT_SYSLOG))
@@ -138,4 +139,4 @@ def parse_syslog(df: DataFrame, content="value", strict=False, allow_spaced=True
         "format": F.lit("syslog"),
         "metadata": merge_json(always, extra),
         "errors": errors,
-    }).drop("_hdr", "_sd_text", "_sd_size", "_sd_kind", *names)
+    }).drop("_line", "_hdr", "_sd_text", "_sd_size", "_sd_kind", *names)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lograil.functions import jsonx, times
 from lograil.functions.levels import normalise_level
-from lograil.functions.text import blank_to_null, stable_uuid
+from lograil.functions.text import blank_to_null, let, stable_uuid
 from lograil.schema import (
     LOG_SCHEMA, RANGE_RULES, RECORD_TYPES, REQUEST_RULES, TEXT_RULES,
 )
@@ -50,10 +50,19 @@ def collect_errors(*errors: Column) -> Column:
     return blank_to_null(F.concat_ws("; ", *errors))
 
 
+def pinned(c: Column) -> Column:
+    """The same value, marked so that filters on it stay where they are.
+
+    Pushed below the parse, the test of ``errors`` would be rewritten in terms of the raw line and
+    repeat the whole parse inside the filter.
+    """
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def metadata_variant(text: Column) -> Column:
     """Metadata text as a variant object: null becomes {}, invalid or non-object becomes null."""
-    v = jsonx.parse(F.coalesce(text, F.lit("{}")))
-    return F.when(jsonx.is_object(v), v)
+    return let(jsonx.parse(F.coalesce(text, F.lit("{}"))),
+               lambda v: F.when(jsonx.is_object(v), v))
 
 
 def metadata_error(text: Column, v: Column) -> Column:
@@ -75,18 +84,20 @@ PROMOTED_NUMBERS = {
 }
 
 
-def promoted_columns(meta: Column, column=F.col) -> dict[str, Column]:
-    """Columns that are empty take their value from metadata; explicit values win."""
+def promote(df: DataFrame, meta: str) -> DataFrame:
+    """Fill empty columns from the metadata in the variant column ``meta``; given values win."""
+    keys = [*PROMOTED_TEXT.values(), *PROMOTED_NUMBERS.values()]
+    df, m, helpers = jsonx.with_members(df, F.col(meta), keys, "_p")
     out = {}
     for name, key in PROMOTED_TEXT.items():
-        out[name] = F.coalesce(blank_to_null(column(name)), jsonx.as_text(meta, key), column(name))
+        out[name] = F.coalesce(blank_to_null(F.col(name)), m[key].as_text(), F.col(name))
     for name, key in PROMOTED_NUMBERS.items():
         low, high = RANGE_RULES[name]
-        number = jsonx.truncated_number(meta, key)
+        number = m[key].truncated_number()
         fits = number >= low if high is None else number.between(low, high)
-        found = F.when(fits, number.cast(RECORD_TYPES[name]))
-        out[name] = F.coalesce(column(name), found)
-    return out
+        out[name] = F.coalesce(
+            F.col(name), F.when(fits, number.try_cast(RECORD_TYPES[name])))
+    return df.withColumns(out).drop(*helpers)
 
 
 def with_record_defaults(df: DataFrame) -> DataFrame:
@@ -122,12 +133,12 @@ def storage_columns(column=F.col) -> dict[str, Column]:
     }
 
 
-def finish(df: DataFrame, ingested_at=None, id_from=None, promote=False, meta=None) -> DataFrame:
+def finish(df: DataFrame, ingested_at=None, id_from=None, promoted=False, meta=None) -> DataFrame:
     """Check a parsed frame and bring it to the stored form.
 
     ``ingested_at`` is the ingest time (column or value, default now), used where the record has
     none. ``id_from`` names the columns that identify the input row; the id of a record without
-    one is derived from them, so that a retry gives the same id. ``promote`` fills empty columns
+    one is derived from them, so that a retry gives the same id. ``promoted`` fills empty columns
     from metadata; ``meta`` names a column that already holds the metadata as a variant.
     """
     df = with_record_defaults(df)
@@ -140,7 +151,7 @@ def finish(df: DataFrame, ingested_at=None, id_from=None, promote=False, meta=No
     checks = collect_errors(
         *length_errors(TEXT_RULES), *range_errors(), level_error(F.col("level")))
     # A row its parser refused is not checked again: its columns say nothing.
-    df = df.withColumn("errors", F.coalesce("errors", checks))
+    df = df.withColumn("errors", pinned(F.coalesce("errors", checks)))
     df = df.withColumns({
         **event_time_columns(
             F.col("created_at"), F.coalesce(F.col("ingested_at"), now),
@@ -148,9 +159,11 @@ def finish(df: DataFrame, ingested_at=None, id_from=None, promote=False, meta=No
         "id": F.coalesce(F.col("id"), new_id),
         "level": normalise_level(F.col("level")),
     })
-    if promote:
-        df = df.withColumns(promoted_columns(
-            F.col(meta) if meta else metadata_variant(F.col("metadata"))))
+    if promoted:
+        if meta is None:
+            df, meta = df.withColumn("_meta", metadata_variant(F.col("metadata"))), "_meta"
+            df = df.withColumn("metadata", F.coalesce(F.to_json("_meta"), F.lit("{}")))
+        df = promote(df, meta).drop(meta)
     return df.withColumns(storage_columns())
 
 
@@ -177,10 +190,11 @@ def request_errors(column, types: dict[str, Column]) -> list[Column]:
     found = []
     for name, (required, low, high) in REQUEST_RULES.items():
         c, t = column(name), types[name]
-        rule = F.when(t.isNull() & F.lit(required), F.lit(f"{name}: required"))
-        optional_null = (t == "VOID") & F.lit(not required)
-        rule = rule.when(t.isNotNull() & (t != "STRING") & ~optional_null,
-                         F.lit(f"{name}: must be a string"))
+        # An optional field may be null.
+        allowed = ["STRING"] if required else ["STRING", "VOID"]
+        rule = F.when(~t.isin(*allowed), F.lit(f"{name}: must be a string"))
+        if required:
+            rule = rule.when(t.isNull(), F.lit(f"{name}: required"))
         rule = rule.when(F.length(c) > high, F.lit(f"{name}: longer than {high} characters"))
         if low:
             rule = rule.when(F.length(c) < low, F.lit(f"{name}: shorter than {low} characters"))

@@ -5,11 +5,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# All timestamps are UTC; of duplicate JSON keys the last one counts.
+# All timestamps are UTC; of duplicate JSON or map keys the last one counts.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Wide projections generate methods above 8,000 bytes, which the JVM would only interpret.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
