@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lograil.functions import jsonx, times
 from lograil.functions.text import blank_to_null
+from lograil.operators.validate import pinned
 
 SAMPLE_SIZE = 50
 PREVIEW_CHARS = 4096
@@ -131,10 +132,10 @@ def classify(dead: DataFrame, patterns=PATTERNS) -> DataFrame:
     for i, name in enumerate(reason):
         chosen = chosen.when(F.col(f"_r{i}").isNotNull(), name)
     df = df.withColumns({
-        "error_class": chosen.when(not_json, DATA).otherwise(UNKNOWN),
-        "error_reason": F.coalesce(
+        "error_class": pinned(chosen.when(not_json, DATA).otherwise(UNKNOWN)),
+        "error_reason": pinned(F.coalesce(
             *[F.col(f"_r{i}") for i in range(len(reason))],
-            F.when(not_json, F.lit(NOT_JSON_REASON))),
+            F.when(not_json, F.lit(NOT_JSON_REASON)))),
     })
     return df.drop("_text", *[f"_r{i}" for i in range(len(reason))])
 

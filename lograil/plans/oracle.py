@@ -122,7 +122,7 @@ msg AS (
       WHEN 3 THEN 'value is not valid JSON'
       WHEN 4 THEN 'source: must be a string'
       WHEN 5 THEN 'value is not valid JSON'
-      WHEN 6 THEN 'source: required; source_service: required; message: required'
+      WHEN 6 THEN 'source: required; source_service: required; level: required; message: required'
       WHEN 7 THEN 'id: must be a UUID'
       WHEN 10 THEN 'event_time_missing: must be a boolean'
       WHEN 11 THEN 'level: unknown level ''INVALID_LEVEL'''
