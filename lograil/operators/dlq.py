@@ -175,12 +175,14 @@ def _precedence(name: Column) -> Column:
 
 
 def class_counts(classified: DataFrame) -> DataFrame:
-    """Count and share per class that occurs."""
-    counts = classified.groupBy("error_class").agg(F.count("*").alias("count"))
-    total = counts.agg(F.sum("count").alias("total"))
-    # At most four rows against one.
-    return counts.join(F.broadcast(total)).select(
-        "error_class", "count", (F.col("count") / F.col("total")).alias("percentage"))
+    """Count and share per class that occurs; one aggregation over all rows."""
+    totals = classified.agg(F.count("*").alias("_total"), *[
+        F.count_if(F.col("error_class") == name).alias(f"_{i}") for i, name in enumerate(CLASSES)])
+    entries = F.array(*[
+        F.struct(F.lit(name).alias("error_class"), F.col(f"_{i}").alias("count"),
+                 F.try_divide(F.col(f"_{i}"), F.col("_total")).alias("percentage"))
+        for i, name in enumerate(CLASSES)])
+    return totals.select(F.explode(entries).alias("e")).select("e.*").filter("count > 0")
 
 
 def top_reasons(classified: DataFrame, k=TOP_REASONS) -> DataFrame:

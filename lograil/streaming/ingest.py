@@ -35,7 +35,7 @@ def store_log_batch(logs: DataFrame, path: str, batch_id: int) -> None:
 
 @dataclass
 class TopicIngest:
-    """Batch function of the ingest stream; also callable on a plain batch of topic rows."""
+    """The ingest stream: parsing is part of the stream, writing is its batch function."""
 
     spark: SparkSession
     root: str
@@ -48,11 +48,18 @@ class TopicIngest:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        started = self.clock()
-        done = finish(
-            jsonlog.parse_messages(topic_text(batch)), ingested_at=F.col("timestamp"),
+    def prepare(self, topic: DataFrame) -> DataFrame:
+        """Topic rows (stream or batch) to checked records."""
+        return finish(
+            jsonlog.parse_messages(topic_text(topic)), ingested_at=F.col("timestamp"),
             id_from=_POSITION, promoted=True, meta="_meta")
+
+    def run_batch(self, topic: DataFrame, batch_id: int) -> None:
+        """Handle a plain batch of topic rows as the stream would."""
+        self(self.prepare(topic), batch_id)
+
+    def __call__(self, done: DataFrame, batch_id: int) -> None:
+        started = self.clock()
         # Read several times below; recomputed from the source if an executor is lost.
         done = done.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -106,7 +113,8 @@ class TopicIngest:
 
     def start(self, stream: DataFrame, checkpoint: str, available_now=False):
         """Run the stream: every few seconds, or once over all that is there."""
-        writer = stream.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
+        parsed = self.prepare(stream)
+        writer = parsed.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
         if available_now:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=FLUSH_INTERVAL).start()
