@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lograil.functions.levels import status_level
 from lograil.functions.text import (
-    FLAGS, NS, S, blank_to_null, dash_to_null, regex_groups, strip,
+    FLAGS, NS, S, blank_to_null, dash_to_null, pinned, regex_groups, strip,
 )
 from lograil.functions.times import clf_timestamp
 
@@ -80,7 +80,7 @@ def parse_clf(df: DataFrame, content="value") -> DataFrame:
         "format": F.lit("clf"),
         "user_id": dash_to_null(F.col("_user")),
         "metadata": merge_json(always, extra),
-        "errors": errors,
+        "errors": pinned(errors),
     }).drop("_line", "_clf", "_req", "_protocol", *part)
 
 

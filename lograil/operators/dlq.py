@@ -7,8 +7,7 @@ the whole queue or on a bounded sample of it, as the caller likes.
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lograil.functions import jsonx, times
-from lograil.functions.text import blank_to_null
-from lograil.operators.validate import pinned
+from lograil.functions.text import blank_to_null, pinned
 
 SAMPLE_SIZE = 50
 PREVIEW_CHARS = 4096

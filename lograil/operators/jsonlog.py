@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lograil.functions import jsonx, times
 from lograil.functions.jsonx import Member, with_members
-from lograil.functions.text import parse_uuid
+from lograil.functions.text import parse_uuid, pinned
 from lograil.operators.validate import collect_errors, level_error, request_errors
 from lograil.schema import RECORD_TYPES, TEXT_RULES
 
@@ -62,7 +62,7 @@ def request_columns(df: DataFrame, default_source=None, default_source_service=N
         level_error(F.col("level")),
     )
     return df.withColumns({
-        "errors": F.coalesce("_doc_error", rules),
+        "errors": pinned(F.coalesce("_doc_error", rules)),
         "metadata": F.coalesce(F.to_json("_meta"), F.lit("{}")),
         "format": F.lit("json"),
     }).drop("_doc_error", *helpers)
@@ -92,7 +92,7 @@ def explode_batches(df: DataFrame, content="value", max_logs=1000) -> DataFrame:
 def parse_batches(df: DataFrame, content="value", max_logs=1000) -> DataFrame:
     """Batch documents to validated-request columns, one row per log or broken document."""
     df = request_columns(explode_batches(df, content, max_logs))
-    return df.withColumn("errors", F.coalesce("document_error", "errors")).drop(
+    return df.withColumn("errors", pinned(F.coalesce("document_error", "errors"))).drop(
         "_v", "document_error")
 
 
@@ -147,7 +147,7 @@ def parse_messages(df: DataFrame, content="value") -> DataFrame:
         wrong("http_response_time_ms", "an integer", True),
         F.when(F.col("_meta").isNull(), F.lit("metadata: must be a JSON object")),
     ]
-    df = df.withColumn("errors", F.coalesce("_doc_error", collect_errors(*checks)))
+    df = df.withColumn("errors", pinned(F.coalesce("_doc_error", collect_errors(*checks))))
     return df.withColumns({
         "format": F.when(~m["format"].present, F.lit("json")).otherwise(F.col("format")),
         "is_parsed": F.coalesce("is_parsed", F.lit(True)),

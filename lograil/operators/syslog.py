@@ -3,7 +3,9 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lograil.functions.levels import severity_level
-from lograil.functions.text import FLAGS, NS, S, dash_to_null, lstrip, regex_groups, strip
+from lograil.functions.text import (
+    FLAGS, NS, S, dash_to_null, lstrip, pinned, regex_groups, strip,
+)
 from lograil.functions.times import iso_timestamp
 from lograil.operators.clf import EMPTY, merge_json
 
@@ -138,5 +140,5 @@ def parse_syslog(df: DataFrame, content="value", strict=False, allow_spaced=True
         "message": strip(message),
         "format": F.lit("syslog"),
         "metadata": merge_json(always, extra),
-        "errors": errors,
+        "errors": pinned(errors),
     }).drop("_line", "_hdr", "_sd_text", "_sd_size", "_sd_kind", *names)

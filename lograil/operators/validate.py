@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lograil.functions import jsonx, times
 from lograil.functions.levels import normalise_level
-from lograil.functions.text import blank_to_null, let, stable_uuid
+from lograil.functions.text import blank_to_null, let, pinned, stable_uuid
 from lograil.schema import (
     LOG_SCHEMA, RANGE_RULES, RECORD_TYPES, REQUEST_RULES, TEXT_RULES,
 )
@@ -50,15 +50,6 @@ def collect_errors(*errors: Column) -> Column:
     return blank_to_null(F.concat_ws("; ", *errors))
 
 
-def pinned(c: Column) -> Column:
-    """The same value, marked so that filters on it stay where they are.
-
-    Pushed below the parse, the test of ``errors`` would be rewritten in terms of the raw line and
-    repeat the whole parse inside the filter.
-    """
-    return F.when(F.spark_partition_id() >= 0, c)
-
-
 def metadata_variant(text: Column) -> Column:
     """Metadata text as a variant object: null becomes {}, invalid or non-object becomes null."""
     return let(jsonx.parse(F.coalesce(text, F.lit("{}"))),
