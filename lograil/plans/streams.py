@@ -17,13 +17,13 @@ from lograil.streaming.rollups import compact_rollup, hourly_health_stream, read
 from lograil.streaming.triage import TriageJob, read_committed
 
 
-def run_ingest(spark, folder, rollups=(), files=3):
+def run_ingest(spark, folder, rollups=(), files=3, per_batch=1):
     """Write the topic as files, run the ingest stream over them, return the output root."""
     root = scratch_dir(spark, "stream")
-    inputs.topic_messages(spark, folder).drop("event_id").repartition(files, "partition").write.parquet(
-        f"{root}/topic")
+    topic = inputs.topic_messages(spark, folder).drop("event_id")
+    topic.repartition(files, "partition", "offset").write.parquet(f"{root}/topic")
     job = TopicIngest(spark, f"{root}/out", rollups=rollups)
-    job.start(read_topic_files(spark, f"{root}/topic", max_files=1), f"{root}/checkpoint",
+    job.start(read_topic_files(spark, f"{root}/topic", max_files=per_batch), f"{root}/checkpoint",
               available_now=True).awaitTermination()
     return f"{root}/out"
 
