@@ -1,7 +1,7 @@
 """Benchmark of the headline jobs. Prints one JSON line.
 
 Environment: BENCH_SF_DIR (data folder), BENCH_CPUS (local threads).
-Each job runs once to warm up and is then timed; the result goes to the no-op sink.
+Each job but the stream runs once to warm up and is then timed; results go to the no-op sink.
 """
 
 import datetime as dt
