@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lograil.llm import bpe, chat, licenses, topk
+from lograil.llm import bpe, chat, licenses, simhash, topk
 from lograil.llm.common import prepared
 from lograil.llm.sql import ORACLES  # noqa: F401
 
@@ -47,3 +47,9 @@ def op10(spark, folder):
 def op7(spark, folder):
     """License phrases and notices in every document."""
     return licenses.summary(table(spark, folder, "documents"))
+
+
+@query("op3_simhash")
+def op3(spark, folder):
+    """SimHash fingerprint and near-duplicate component of every document."""
+    return simhash.summary(table(spark, folder, "documents"))
