@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lograil.llm import bpe, chat, licenses, simhash, topk
+from lograil.llm import bpe, chat, decontaminate, langid, licenses, quality, simhash, topk
 from lograil.llm.common import prepared
 from lograil.llm.sql import ORACLES  # noqa: F401
 
@@ -53,3 +53,21 @@ def op7(spark, folder):
 def op3(spark, folder):
     """SimHash fingerprint and near-duplicate component of every document."""
     return simhash.summary(table(spark, folder, "documents"))
+
+
+@query("op4_language")
+def op4(spark, folder):
+    """The language of every document by compression."""
+    return langid.summary(table(spark, folder, "documents"))
+
+
+@query("op5_quality")
+def op5(spark, folder):
+    """The quality score of every document."""
+    return quality.summary(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op6_decontaminate")
+def op6(spark, folder):
+    """Every benchmark item that stands in a document, with its best window."""
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
