@@ -11,6 +11,7 @@ REMEMBERED = 400_000
 BLOCK_BYTES = 6_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+np.seterr(over="ignore")  # hashes wrap around
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(33))
 
 
@@ -44,12 +45,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def grams(hashes: np.ndarray, k: int, base=_BASE) -> np.ndarray:
-    """The hash of the k values from each position; shorter than the input by k - 1."""
+    """The hash of the k values from each position; shorter than the input by k - 1.
+
+    A polynomial of the values, put together from runs of 1, 2, 4 ... of them.
+    """
     n = max(len(hashes) - k + 1, 0)
-    out = np.zeros(n, np.uint64)
-    for j in range(k):
-        out = out * base + hashes[j:j + n]
-    return mixed(out)
+    out, done, run, size, power = None, 0, hashes, 1, base
+    while True:
+        if k & size:
+            part = run[done:done + n]
+            out = part if out is None else out * power + part
+            done += size
+        if 2 * size > k:
+            return mixed(out)
+        run = run[:len(run) - size] * power + run[size:]
+        size, power = 2 * size, power * power
 
 
 def sliding(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -83,8 +93,8 @@ def prepared(spark):
     return spark
 
 
-def with_blocks(docs: DataFrame, *columns) -> DataFrame:
-    """The columns, and ``block``: documents dealt by hash into blocks of about BLOCK_BYTES of text.
+def with_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Documents dealt by hash into blocks of about BLOCK_BYTES of text (column block); how many blocks.
 
     One pass over the text lengths fixes the number of blocks, so a block keeps its size at any
     scale. A document is never cut; one that is longer than a block makes its block larger.
@@ -92,20 +102,61 @@ def with_blocks(docs: DataFrame, *columns) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text").cast("double"))).first()[0] or 0
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(least, int(size / BLOCK_BYTES) + 1)
-    return docs.select(*columns, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"))
+    return docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))), blocks
 
 
-def first_rows(keys: np.ndarray) -> np.ndarray:
-    """Starts of the runs of equal values in sorted keys."""
-    if not len(keys):
-        return np.zeros(0, np.int64)
-    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-
-
-def packed(values) -> bytes:
-    return np.ascontiguousarray(values).tobytes()
+class Block:
+    """The documents of one block as one array of word hashes, for work on all windows of k words.
 
+    ``left`` counts the words from each position to its document's end. Documents of a null id have
+    no windows.
+    """
 
-def unpacked(column, kind=np.uint64):
-    """The arrays of a binary Arrow column."""
-    return [np.frombuffer(x, kind) for x in column.to_pylist()]
+    def __init__(self, table: pa.Table, k: int):
+        self.ids = table["doc_id"].to_numpy(zero_copy_only=False) if not table["doc_id"].null_count else np.array(
+            [0 if i is None else i for i in table["doc_id"].to_pylist()], np.int64)
+        self.words = [(t or b"").split() for t in texts_of(table["text"])]
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.hashes = hash_words([w for ws in self.words for w in ws])
+        n = len(self.hashes)
+        self.doc = np.repeat(np.arange(len(self.words)), self.sizes)
+        self.left = np.repeat(self.first + self.sizes, self.sizes) - np.arange(n)
+        known = ~np.array(table["doc_id"].is_null().to_numpy(zero_copy_only=False), bool)
+        self.windows = (self.left >= k) & np.repeat(known, self.sizes)
+        self.windows = self.windows[:max(n - k + 1, 0)]
+
+
+def starts_of(*columns) -> np.ndarray:
+    """Starts of the runs of equal rows in sorted columns."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    new = np.zeros(len(columns[0]), bool)
+    new[0] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def per_row(starts: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
+    """A run's value for every row of it."""
+    return np.repeat(values, np.diff(np.append(starts, n)))
+
+
+def columns_of(table: pa.Table, *names, kinds=None):
+    """The values of binary columns one after the other, and the table row that each came from."""
+    out = [np.frombuffer(b"".join(table[n].to_pylist()), np.int64 if n in (kinds or ()) else np.uint64) for n in names]
+    sizes = [len(x) // 8 for x in table[names[0]].to_pylist()]
+    return (*out, np.repeat(np.arange(len(sizes)), sizes))
+
+
+def dealt(bucket: np.ndarray, block: int, **columns) -> pa.Table:
+    """One row per bucket with the binary columns of the entries that fall into it."""
+    order = np.argsort(bucket, kind="stable")
+    starts = starts_of(bucket[order])
+    ends = np.append(starts[1:], len(bucket))
+    data = {"bucket": pa.array(bucket[order][starts].astype(np.int64)), "block": pa.array([block] * len(starts), pa.int64())}
+    for name, values in columns.items():
+        v = values[order]
+        data[name] = pa.array([v[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())
+    return pa.table(data)

@@ -22,6 +22,7 @@ repeated rows of documents give repeated rows, repeated items one match each; ot
 ignored; an empty table gives an empty result.
 """
 
+import functools
 import itertools
 from collections import Counter
 from math import log
@@ -177,23 +178,35 @@ def _part_matches(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SHAPE)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, part: int = PART) -> DataFrame:
-    """(doc_id, item_id, similarity, start, n_words): the best window of each item in each document.
+def _without_matches(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
+    model = docs.sparkSession.sparkContext.broadcast(benchmark)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array([not model.value.matches(t) for t in texts_of(batch["text"])], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
 
-    Shingle frequencies are counted over the whole benchmark; its items come to the driver part by
-    part, at most ``part`` at a time.
+
+def _parts(benchmark: DataFrame, part: int):
+    """The benchmark as lookups of at most about ``part`` items.
+
+    Shingle frequencies are counted over the whole benchmark; its items come to the driver part by part.
     """
     total = benchmark.count()
     parts = total // part + 1
     dealt = benchmark.select("item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)).alias("part"))
-    found = docs.sparkSession.createDataFrame([], SHAPE)
     for p in range(parts):
         rows = dealt.where(F.col("part") == p).orderBy("item_id", "text").collect()
         items = [(r.item_id, w) for r in rows if (w := words_of((r.text or "").encode()))]
-        held = Counter(s for _, w in items for s in shingles(w)) if parts == 1 else frequencies(dealt, p)
         if items:
-            found = found.union(_part_matches(docs, Benchmark(items, held, total)))
-    return found
+            held = Counter(s for _, w in items for s in shingles(w)) if parts == 1 else frequencies(dealt, p)
+            yield Benchmark(items, held, total)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, part: int = PART) -> DataFrame:
+    """(doc_id, item_id, similarity, start, n_words): the best window of each item in each document."""
+    found = [_part_matches(docs, known) for known in _parts(benchmark, part)]
+    return functools.reduce(DataFrame.union, found, docs.sparkSession.createDataFrame([], SHAPE))
 
 
 def frequencies(dealt: DataFrame, part: int) -> Counter:
@@ -209,9 +222,8 @@ def frequencies(dealt: DataFrame, part: int) -> Counter:
     return Counter({tuple(bytes(r.s).split(b"\x00")): r.n for r in counts.where("own = 1").select("s", "n").collect()})
 
 
-def kept_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a match; every column as it was. Those of a null doc_id match by text."""
-    key = F.xxhash64("doc_id", "text")
-    keyed = docs.select(key.alias("doc_id"), "text")
-    found = contaminated(keyed, benchmark).select("doc_id").distinct()
-    return docs.withColumn("_key", key).join(found.withColumnRenamed("doc_id", "_key"), "_key", "left_anti").drop("_key")
+def kept_documents(docs: DataFrame, benchmark: DataFrame, part: int = PART) -> DataFrame:
+    """The documents in which no item stands; every column as it was."""
+    for known in _parts(benchmark, part):
+        docs = _without_matches(docs, known)
+    return docs

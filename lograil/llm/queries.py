@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lograil.llm import bpe, chat, decontaminate, langid, licenses, quality, simhash, topk
+from lograil.llm import bpe, chat, decontaminate, langid, licenses, quality, simhash, substring, topk
 from lograil.llm.common import prepared
 from lograil.llm.sql import ORACLES  # noqa: F401
 
@@ -71,3 +71,9 @@ def op5(spark, folder):
 def op6(spark, folder):
     """Every benchmark item that stands in a document, with its best window."""
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op1_substring")
+def op1(spark, folder):
+    """Every document without the words of windows that an earlier document holds."""
+    return substring.summary(table(spark, folder, "documents"))

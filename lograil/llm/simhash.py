@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lograil.llm.common import first_rows, texts_of
+from lograil.llm.common import starts_of, texts_of
 from lograil.llm.components import components, saved
 
 SEED, WORDS, RADIUS = 42, 3, 3
@@ -51,13 +51,18 @@ def fingerprint(text: bytes | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp long) of every document."""
+    """(doc_id, key, fp long) of every document; ``key`` tells rows of one id apart by their text."""
     def run(batches):
         for batch in batches:
             fps = [fingerprint(t) for t in texts_of(batch["text"])]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].cast(pa.int64()), pa.array(fps, pa.int64())], ["doc_id", "fp"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+                [batch["doc_id"], batch["key"], pa.array(fps, pa.int64())], ["doc_id", "key", "fp"])
+    rows = docs.select(F.col("doc_id").cast("long"), _row_key(), "text")
+    return rows.mapInArrow(run, "doc_id long, key long, fp long")
+
+
+def _row_key():
+    return F.xxhash64("doc_id", "text").alias("key")
 
 
 def _weights(masks, bits):
@@ -111,7 +116,7 @@ def bucket_links(fps: np.ndarray, exact: np.ndarray, shift: int) -> tuple[np.nda
         owner = np.repeat(centre, len(NEAR))
         order = np.argsort(variants, kind="stable")
         variants, owner = variants[order], owner[order]
-        starts = first_rows(variants)
+        starts = starts_of(variants)
         keeper = np.repeat(owner[starts], np.diff(np.append(starts, len(variants))))
         label = joined(n, owner, keeper)
         variants, keeper = variants[starts], owner[starts]
@@ -138,7 +143,7 @@ def _links(batches):
         if rows is None or not len(rows[0]):
             continue
         key, sub, fp, exact = rows
-        starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])]))
+        starts = starts_of(key, sub)
         ends = np.append(starts[1:], len(key))
         found = np.add.reduceat(exact.astype(np.int64), starts)
         a, b = [], []
@@ -180,20 +185,27 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id): the smallest doc_id reachable over links, the own included."""
+    """(doc_id, key, fp, group, component_id): the smallest doc_id reachable over links, the own included.
+
+    ``group`` is the component as its smallest fingerprint; it stands also where all ids are null.
+    """
     own = saved(fingerprints(docs), "simhash")
     fps = saved(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    of_fp = components(saved(links(fps), "simhash-links").join(fps.select(F.col("fp").alias("a")), "a", "left_semi"))
-    named = fps.join(of_fp, fps.fp == of_fp.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("c"))
-    least = named.groupBy("c").agg(F.min("first").alias("component_id"))
-    component = named.join(least, "c").select("fp", "component_id")
-    return own.join(component, "fp").select("doc_id", "fp", "component_id")
+    of_fp = components(saved(links(fps), "simhash-links"))
+    named = fps.join(of_fp, fps.fp == of_fp.node, "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("group"))
+    least = named.groupBy("group").agg(F.min("first").alias("component_id"))
+    return own.join(named.join(least, "group").drop("first"), "fp").select(
+        "doc_id", "key", "fp", "group", "component_id")
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """One document of each component: its smallest doc_id; every column as it was."""
-    groups = near_duplicates(docs).groupBy("component_id").agg(F.count("*").alias("n"))
-    return docs.join(groups.select(F.col("component_id").alias("doc_id")), "doc_id", "left_semi")
+    """One document of each component, its smallest doc_id (null last); every column as it was."""
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
+    keepers = near_duplicates(docs).groupBy("group").agg(F.min(order)["key"].alias("key")).select("key")
+    kept = docs.withColumn("_key", _row_key()).join(
+        keepers.withColumnRenamed("key", "_key"), "_key", "left_semi")
+    return kept.dropDuplicates(["_key"]).drop("_key")
 
 
 def summary(docs: DataFrame) -> DataFrame:

@@ -61,4 +61,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(base.n, 0) AS n_base,
   base.last AS last_word, coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
   CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(best.score, 0.0)::DOUBLE END AS score
 FROM words LEFT JOIN base USING (row) LEFT JOIN every USING (row) LEFT JOIN best USING (row)""",
+    "op1_substring": """
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT row, doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+  FROM docs, unnest(range(1, greatest(len(w) - 11, 1))) AS t(i)),
+earliest AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+gone AS (SELECT DISTINCT row, i + j AS i FROM windows JOIN earliest USING (s), range(13) AS r(j) WHERE first < doc_id),
+words AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs),
+kept AS (SELECT row, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM words ANTI JOIN gone USING (row, i) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row)""",
 }
