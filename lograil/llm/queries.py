@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lograil.llm import bpe, chat, decontaminate, langid, licenses, quality, simhash, substring, topk
+from lograil.llm import bpe, chat, decontaminate, langid, licenses, quality, simhash, substring, suffixes, topk
 from lograil.llm.common import prepared
 from lograil.llm.sql import ORACLES  # noqa: F401
 
@@ -77,3 +77,9 @@ def op6(spark, folder):
 def op1(spark, folder):
     """Every document without the words of windows that an earlier document holds."""
     return substring.summary(table(spark, folder, "documents"))
+
+
+@query("op9_suffixes")
+def op9(spark, folder):
+    """Every span of fifty or more words that also stands in another document."""
+    return suffixes.repeated_spans(table(spark, folder, "documents"))
