@@ -8,9 +8,10 @@ positions, so each of them contains a sampled suffix in every document that hold
    only cannot start a repeat and goes. Hot ones come once per block, not once per document.
 2. The remaining suffixes carry REACH words to the right and to the left as word hashes. They are
    sorted: by the words to the right, then by those to the left, read backwards.
-3. Neighbours in the order are compared; equal words to the right and to the left are counted, the
-   match extended both ways. A pair of different documents with LEAST words or more in common is a
-   repeat. The last suffix of each sorted part also meets the first of the next.
+3. Each suffix is compared with its nearest neighbours of other documents, also in the order of the
+   words to the left among the suffixes of a minimiser; the match is extended to the right and to the
+   left. LEAST words or more in common are a repeat. The last suffix of each sorted part also meets
+   the first of the next.
 4. Matches that reach the end of the carried words overlap with those of the next sampled suffix;
    overlapping matches of a document are merged into maximal spans.
 
@@ -32,6 +33,8 @@ from lograil.llm.components import saved
 
 LEAST, SAMPLED = 50, 8
 REACH = LEAST
+# Sorted suffixes that are compared at a time.
+CHUNK = 20_000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 SUFFIX = "anchor long, right binary, left binary, doc_id long, at long, n_left int, n_right int"
 MATCH = "doc_id long, start long, end long, other_id long"
@@ -100,44 +103,67 @@ _KINDS = {"anchor": pa.int64(), "right": pa.binary(), "left": pa.binary(), "doc_
           "n_left": pa.int32(), "n_right": pa.int32()}
 
 
-def _equal(words, n):
-    """Of neighbouring rows: how many leading words agree, up to the words that both have."""
-    same = words[1:] == words[:-1]
-    run = np.where(same.all(axis=1), words.shape[1], same.argmin(axis=1)) if len(same) else np.zeros(0, int)
-    return np.minimum(run, np.minimum(n[1:], n[:-1]))
+def _equal(words, n, a, b):
+    """How many leading words of rows a and b agree, up to the words that both have."""
+    same = words[a] == words[b]
+    run = np.where(same.all(axis=1), words.shape[1], same.argmin(axis=1)) if len(a) else np.zeros(0, np.int64)
+    return np.minimum(run, np.minimum(n[a], n[b]))
 
 
 def neighbour_matches(table: pa.Table) -> pa.Table:
-    """Matches between neighbours of sorted suffixes: a row for each side of a pair."""
+    """The matches of every suffix with its nearest neighbours of other documents, before and after it."""
     n = table.num_rows
     doc, at, n_left, n_right, anchor = (table[c].to_numpy() for c in ("doc_id", "at", "n_left", "n_right", "anchor"))
     right = np.frombuffer(b"".join(table["right"].to_pylist()), ">u4").reshape(n, REACH)
     left = np.frombuffer(b"".join(table["left"].to_pylist()), ">u4").reshape(n, REACH)
-    r, l = _equal(right, n_right), _equal(left, n_left)
-    hit = np.flatnonzero((anchor[1:] == anchor[:-1]) & (doc[1:] != doc[:-1]) & (r >= SAMPLED) & (r + l >= LEAST))
-    r, l = r[hit], l[hit]
-    sides = [(doc[i], at[i] - l, at[i] + r, doc[j]) for i, j in ((hit, hit + 1), (hit + 1, hit))]
+    # The order they came in, and within a minimiser the one of the words to the left.
+    backwards = np.lexsort((np.arange(n), left.view(f"S{4 * REACH}").ravel(), anchor))
+    found = []
+    for order in (np.arange(n), backwards):
+        runs = starts_of(anchor[order], doc[order])
+        ends = np.append(runs[1:], n)
+        each = np.repeat(np.arange(len(runs)), ends - runs)
+        for place in (runs[each] - 1, ends[each]):
+            here = np.flatnonzero((place >= 0) & (place < n))
+            a, b = order[here], order[place[here]]
+            met = anchor[a] == anchor[b]
+            a, b = a[met], b[met]
+            r, l = _equal(right, n_right, a, b), _equal(left, n_left, a, b)
+            hit = (r >= SAMPLED) & (r + l >= LEAST)
+            a, b, r, l = a[hit], b[hit], r[hit], l[hit]
+            found.append((doc[a], at[a] - l, at[a] + r, doc[b]))
     return pa.table({c: pa.array(np.concatenate(x).astype(np.int64))
-                     for c, x in zip(("doc_id", "start", "end", "other_id"), zip(*sides))})
+                     for c, x in zip(("doc_id", "start", "end", "other_id"), zip(*found))})
+
+
+def _chunks(batches):
+    """Sorted rows in tables of CHUNK rows or more. Each begins with the tail of the one before it: the last
+    minimiser's rows, or, where these are many, its last document's and one more."""
+    held = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= CHUNK:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            yield rows
+            anchor, doc = rows["anchor"].to_numpy(), rows["doc_id"].to_numpy()
+            tail = starts_of(anchor)[-1]
+            if len(anchor) - tail >= CHUNK // 2:
+                tail = max(starts_of(anchor, doc)[-1] - 1, 0)
+            held = rows.slice(tail).to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def _compare(batches):
     """Matches of one sorted part; its first and last suffix leave too, for the parts beside it."""
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = pa.Table.from_batches([batch])
-        if last is None:
+    first, rows = True, None
+    for rows in _chunks(b for b in batches if b.num_rows):
+        if first:
             yield from _edge(rows.slice(0, 1))
-            joined = rows
-        else:
-            joined = pa.concat_tables([last, rows])
-        last = rows.slice(rows.num_rows - 1, 1)
-        found = neighbour_matches(joined)
-        yield from _filled(found).to_batches()
-    if last is not None:
-        yield from _edge(last)
+            first = False
+        yield from _filled(neighbour_matches(rows)).to_batches()
+    if rows is not None:
+        yield from _edge(rows.slice(rows.num_rows - 1))
 
 
 def _filled(found):
