@@ -142,13 +142,24 @@ def classify(dead: DataFrame, patterns=PATTERNS) -> DataFrame:
 ARRIVAL = ["timestamp", "partition", "offset"]
 
 
+def uncommitted(topic: DataFrame, committed: DataFrame) -> DataFrame:
+    """The records at and after the committed offset of their partition."""
+    # One row per partition of the topic.
+    return topic.join(committed, "partition", "left").filter(
+        F.col("offset") >= F.coalesce("committed_offset", F.lit(0))).drop("committed_offset")
+
+
 def sample(topic: DataFrame, committed: DataFrame = None, size=SAMPLE_SIZE) -> DataFrame:
-    """The first ``size`` records after the committed offsets, in arrival order."""
+    """``size`` records after the committed offsets, taken evenly from the front of each partition.
+
+    What is taken of a partition is a prefix by offset, whatever the timestamps say, so the offset
+    after it may be committed. The rank is cut in every task before rows are shuffled.
+    """
     if committed is not None:
-        # One row per partition of the topic.
-        topic = topic.join(committed, "partition", "left").filter(
-            F.col("offset") >= F.coalesce("committed_offset", F.lit(0))).drop("committed_offset")
-    return topic.orderBy(*ARRIVAL).limit(size)
+        topic = uncommitted(topic, committed)
+    w = Window.partitionBy("partition").orderBy("offset")
+    ranked = topic.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= size)
+    return ranked.orderBy("_rank", "partition").limit(size).drop("_rank")
 
 
 def partition_lag(topic: DataFrame, committed: DataFrame = None) -> DataFrame:

@@ -13,7 +13,6 @@ DLQ_CHANNELS = ("raw", "raw_file", "kafka")
 REPORTED_CHANNELS = ("json", "batch", "jsonl")
 
 MAX_REPORTED_ERRORS = 20
-MAX_RAW_PAYLOAD = 10000
 PARSE_ERROR = "parse_error"
 MESSAGE_PARSE_ERROR = "message_parse_error"
 INSERT_FAILURE = "clickhouse_insert_failure"
@@ -80,7 +79,7 @@ def parser_reject_envelopes(rejects: DataFrame, as_of: Column, id_from, source="
 
 
 def message_reject_envelopes(rejects: DataFrame, as_of: Column, id_from, keep=()) -> DataFrame:
-    """Envelopes of unparseable topic messages: the payload is cut to 10,000 characters."""
+    """Envelopes of unparseable topic messages: the payload is kept whole, so it can be replayed."""
     return rejects.select(
         *keep, F.lit(None).cast("string").alias("key"),
         _envelope(
@@ -89,7 +88,7 @@ def message_reject_envelopes(rejects: DataFrame, as_of: Column, id_from, keep=()
             F.concat(F.lit("Failed to parse message: "), F.col("error_message"))
             .alias("error_message"),
             F.lit(MESSAGE_PARSE_ERROR).alias("error_type"),
-            F.substring("raw_payload", 1, MAX_RAW_PAYLOAD).alias("raw_payload"),
+            F.col("raw_payload"),
         ).alias("value"))
 
 

@@ -39,6 +39,14 @@ class Search:
 
     def checked(self, as_of: dt.datetime) -> "Search":
         """Validate the parameters, upper-case the level and fill the default time range."""
+        self.check()
+        time_to = self.time_to or as_of
+        return replace(
+            self, level=self.level.upper() if self.level is not None else None, time_to=time_to,
+            time_from=self.time_from or time_to - DEFAULT_RANGE)
+
+    def check(self) -> None:
+        """Raise ValueError for parameters out of bounds; every search does this first."""
         for name, longest in MAX_LENGTHS.items():
             value = getattr(self, name)
             if value is not None and len(value) > longest:
@@ -47,10 +55,6 @@ class Search:
             raise ValueError("offset: must be at least 0")
         if not 1 <= self.limit <= MAX_LIMIT:
             raise ValueError(f"limit: must be 1 to {MAX_LIMIT}")
-        time_to = self.time_to or as_of
-        return replace(
-            self, level=self.level.upper() if self.level is not None else None, time_to=time_to,
-            time_from=self.time_from or time_to - DEFAULT_RANGE)
 
 
 def _instant(value: dt.datetime) -> Column:
@@ -83,13 +87,15 @@ def predicates(search: Search, partitioned=False) -> list[Column]:
     if search.event_time_missing is not None:
         found.append(F.col("event_time_missing") == F.lit(int(search.event_time_missing)))
     if search.query:
-        # % and _ keep their meaning as wildcards.
-        found.append(F.col("message").ilike(f"%{search.query}%"))
+        # % and _ keep their meaning as wildcards; a backslash is itself.
+        text = search.query.replace("\\", "\\\\")
+        found.append(F.col("message").ilike(f"%{text}%"))
     return found
 
 
 def matching(logs: DataFrame, search: Search) -> DataFrame:
     """The records that satisfy every set parameter; none set means all."""
+    search.check()
     wanted = predicates(search, "event_date" in logs.columns)
     return logs.filter(reduce(Column.__and__, wanted)) if wanted else logs
 
@@ -124,18 +130,29 @@ def page_after(logs: DataFrame, search: Search, created_at: dt.datetime, id: str
     return found.select(*LOG_COLUMNS).orderBy(*_newest_first()).limit(search.limit)
 
 
-# Ever narrower groups of the result order: (group of a row, newest group first?).
+# Ever narrower groups of the result order: (group of a row, its width or None for one time or id
+# prefix, newest group first?).
 _BUCKETS = [
-    (lambda: F.date_trunc("day", "created_at"), True),
-    (lambda: F.date_trunc("hour", "created_at"), True),
-    (lambda: F.date_trunc("second", "created_at"), True),
-    (lambda: F.col("created_at"), True),
-    (lambda: F.substring("id", 1, 2), False),
-    (lambda: F.substring("id", 1, 4), False),
-    (lambda: F.substring("id", 1, 6), False),
+    (lambda: F.date_trunc("day", "created_at"), dt.timedelta(days=1), True),
+    (lambda: F.date_trunc("hour", "created_at"), dt.timedelta(hours=1), True),
+    (lambda: F.date_trunc("second", "created_at"), dt.timedelta(seconds=1), True),
+    (lambda: F.col("created_at"), None, True),
+    (lambda: F.substring("id", 1, 2), None, False),
+    (lambda: F.substring("id", 1, 4), None, False),
+    (lambda: F.substring("id", 1, 6), None, False),
 ]
 
 
+def _time_slice(start: dt.datetime, width, partitioned: bool) -> Column:
+    """Rows of a time bucket as plain bounds, which the scan can use to skip days and row groups."""
+    at = F.col("created_at")
+    found = (at == _instant(start)) if width is None else (
+        (at >= _instant(start)) & (at < _instant(start + width)))
+    if partitioned:
+        found = found & (F.col("event_date") == F.to_date(_instant(start)))
+    return found
+
+
 def deep_page(logs: DataFrame, search: Search, max_skip=MAX_SKIP) -> DataFrame:
     """The same page as ``page`` for any offset, without sorting what comes before it.
 
@@ -147,20 +164,30 @@ def deep_page(logs: DataFrame, search: Search, max_skip=MAX_SKIP) -> DataFrame:
     scope = found
     # The group the page starts in, and the groups after it (the page may run past the first).
     inside, beyond = F.lit(True), F.lit(False)
-    for bucket, newest in _BUCKETS:
+    partitioned = "event_date" in logs.columns
+    for bucket, width, newest in _BUCKETS:
         if skip <= max_skip:
             break
         counts = scope.groupBy(bucket().alias("b")).agg(F.count("*").alias("n"))
         # One row per group of this width inside one group of the width before.
         w = Window.orderBy(F.desc("b") if newest else F.asc("b"))
         running = counts.withColumn("upto", F.sum("n").over(w)).filter(F.col("upto") > skip)
-        hit = running.orderBy("upto").limit(1).collect()
+        first = running.orderBy("upto").limit(1)
+        hit = (first.withColumn("b", F.unix_micros("b")) if newest else first).collect()
         if not hit:
             return found.select(*LOG_COLUMNS).limit(0)
         skip -= hit[0]["upto"] - hit[0]["n"]
-        start = F.lit(hit[0]["b"])
-        beyond = beyond | (inside & (bucket() < start if newest else bucket() > start))
-        inside = inside & (bucket() == start)
+        start = hit[0]["b"]
+        if newest:
+            start = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=start)
+            beyond = beyond | (inside & (F.col("created_at") < _instant(start)))
+            inside = inside & _time_slice(start, width, partitioned)
+            # No later row is on the page: bounds that prune the last read too.
+            reach = F.col("created_at") < _instant(start + width) if width else F.col("created_at") <= _instant(start)
+            found = found.filter(reach & (F.col("event_date") <= F.to_date(_instant(start))) if partitioned else reach)
+        else:
+            beyond = beyond | (inside & (bucket() > start))
+            inside = inside & (bucket() == start)
         scope = found.filter(inside)
     rows = found.filter(inside | beyond)
     return rows.select(*LOG_COLUMNS).orderBy(*_newest_first()).offset(skip).limit(search.limit)

@@ -45,12 +45,12 @@ UNION ALL SELECT 'dead letters', count(*), cast(sum(length('Failed to parse mess
 UNION ALL SELECT 'consumed', count(*), 0 FROM msg"""))
 def stream_ingest(spark, folder):
     root = run_ingest(spark, folder)
-    stored = source_tables.read_batches(spark, f"{root}/logs").agg(
+    stored = source_tables.read_log_table(spark, f"{root}/logs").agg(
         F.lit("stored").alias("part"), F.count("*").alias("n"),
         F.sum(F.length("message")).alias("chars"))
     dead = source_tables.read_batches(spark, f"{root}/dead_letters").agg(
         F.lit("dead letters").alias("part"), F.count("*").alias("n"),
-        F.sum(F.length(F.get_json_object("value", "$.error_message"))).alias("chars"))
+        F.sum(F.length(F.get_json_object(F.col("value").cast("string"), "$.error_message"))).alias("chars"))
     stats = source_tables.read_batches(spark, f"{root}/stats").agg(
         F.lit("consumed").alias("part"), F.sum("consumed").alias("n"),
         F.lit(0).cast("bigint").alias("chars"))
@@ -110,7 +110,7 @@ SELECT sampled_count, dominant_class, {_GATE} AS replayed,
   CASE WHEN {_GATE} THEN 3 ELSE 0 END AS committed_partitions FROM dom"""))
 def triage_run(spark, folder):
     root = scratch_dir(spark, "triage")
-    report = TriageJob(spark, root, sample_size=None).run(
+    report = TriageJob(spark, root, sample_size=None, park_refused=False).run(
         inputs.dead_letters(spark, folder), inputs.logs(spark, folder), inputs.as_of(), run_id=1)
     replayed = report.first()["replayed"]
     rows = spark.read.parquet(f"{root}/replayed/run_id=1").count() if replayed else 0

@@ -1,5 +1,6 @@
 """Session settings the library relies on, and the shared scratch location."""
 
+import re
 import tempfile
 import uuid
 
@@ -44,10 +45,13 @@ def local_session(app="lograil", cpus=8, shuffle_partitions=8, memory="12g"):
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is used.
+    Where that setting is absent, a session on one machine takes a temporary folder; on a cluster
+    each executor would write to its own disk, so there it is an error.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None)
+    if not root and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="lograil-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lograil.operators.validate import with_event_date
 from lograil.schema import LOG_COLUMNS
+from lograil.session import scratch_dir
 
 # Columns searched by equality that the sort order does not serve.
 BLOOM_COLUMNS = ("trace_id", "user_id")
 RETENTION_DAYS = 30
 
 
-def writer_options() -> dict:
-    options = {"compression": "zstd"}
+def bloom_options() -> dict:
+    """Bloom filters sized by the values a file holds; for the log table's large files only."""
+    options = {"parquet.bloom.filter.adaptive.enabled": "true"}
     for name in BLOOM_COLUMNS:
         options[f"parquet.bloom.filter.enabled#{name}"] = "true"
-        options[f"parquet.bloom.filter.expected.ndv#{name}"] = "100000"
     return options
 
 
@@ -30,15 +31,58 @@ def append_logs(logs: DataFrame, path: str, rebalance=True) -> None:
     if rebalance:
         df = df.hint("rebalance", "event_date")
     df = df.sortWithinPartitions("event_date", "source", "level", "created_at")
-    df.write.mode("append").options(**writer_options()).partitionBy("event_date").parquet(path)
+    df.write.mode("append").option("compression", "zstd").options(**bloom_options()).partitionBy(
+        "event_date").parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_by=()) -> None:
+def store_batch(logs: DataFrame, path: str, batch_id: int) -> None:
+    """One micro-batch of log records into the day-partitioned table.
+
+    Day first, then batch: days prune and expire as in any log table. Each day of the batch gets one
+    file, or more if it is large. Only this batch's folders are replaced, when it runs again; an
+    attempt that fails leaves nothing that readers see.
+    """
+    df = with_event_date(logs).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    df = df.hint("rebalance", "event_date").sortWithinPartitions(
+        "event_date", "source", "level", "created_at")
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+        "compression", "zstd").partitionBy("event_date", "batch_id").parquet(path)
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one micro-batch to its own folder, replacing what an earlier attempt left there."""
-    writer = df.write.mode("overwrite").options(**writer_options())
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch_id={batch_id}")
+
+
+def compact_day(spark: SparkSession, path: str, day: str, upto: int) -> None:
+    """Rewrite the batches up to ``upto`` of one day as few large files with Bloom filters.
+
+    The merged rows take the place of batch ``upto``; the smaller batches' folders are removed after
+    it is complete. Run it on days that are closed, while no reader lists the day.
+    """
+    days = spark.read.option("basePath", path).parquet(f"{path}/event_date={day}")
+    merged = saved_copy(days.filter(F.col("batch_id") <= upto), "compacted")
+    merged.withColumn("batch_id", F.lit(upto).cast("bigint")).hint("rebalance").sortWithinPartitions(
+        "source", "level", "created_at").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").option("compression", "zstd").options(
+        **bloom_options()).partitionBy("event_date", "batch_id").parquet(path)
+    fs, root = _file_system(spark, f"{path}/event_date={day}")
+    for status in fs.listStatus(root):
+        number = status.getPath().getName().removeprefix("batch_id=")
+        if number.isdigit() and int(number) < upto:
+            fs.delete(status.getPath(), True)
+
+
+def saved_copy(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table of its own, so that its source may be replaced."""
+    target = scratch_dir(df.sparkSession, name)
+    df.write.parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
+def _file_system(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
 
 
 def retained(logs: DataFrame, as_of, days=RETENTION_DAYS) -> DataFrame:
@@ -56,9 +100,7 @@ def drop_expired_days(spark: SparkSession, path: str, as_of, days=RETENTION_DAYS
     Only directory names are read; returns the removed days.
     """
     oldest = (_timestamp(as_of) - dt.timedelta(days=days)).date().isoformat()
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, root = _file_system(spark, path)
     removed = []
     for status in fs.listStatus(root):
         name = status.getPath().getName()

@@ -11,6 +11,7 @@ def read_log_table(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*LOG_COLUMNS, *[c for c in df.columns if c not in LOG_COLUMNS])
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All ``batch_id=`` folders below a path."""
-    return spark.read.option("basePath", path).parquet(f"{path}/batch_id=*")
+def read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """All ``batch_id=`` folders below a path; with a schema also where none is there yet."""
+    reader = spark.read.option("basePath", path)
+    return (reader.schema(schema) if schema else reader).parquet(f"{path}/batch_id=*")

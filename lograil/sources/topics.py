@@ -1,37 +1,47 @@
 """Topic sources: Kafka readers, and file streams with the same column shape."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lograil.schema import TOPIC_SCHEMA
 
-# Topic names and the size of one poll.
+# Topic names.
 RAW_TOPIC = "logs.raw"
 DLQ_TOPIC = "logs.dead_letter"
-POLL_RECORDS = 1000
 
 
-def kafka_options(servers: str, topic: str, stream: bool, max_records=POLL_RECORDS) -> dict:
-    """Reader options: from the earliest offset, a bounded number of records per trigger."""
+def starting_offsets(topic: str, committed: DataFrame, partitions: int) -> str:
+    """Reader option: each partition from its committed offset, others from the earliest (-2).
+
+    ``committed`` has one row per partition of the topic.
+    """
+    at = {r["partition"]: r["committed_offset"] for r in committed.collect()}
+    return json.dumps({topic: {str(p): at.get(p, -2) for p in range(partitions)}})
+
+
+def kafka_options(servers: str, topic: str, start="earliest", max_records=None) -> dict:
+    """Reader options. ``max_records`` bounds the records of a trigger; by default none is left out."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": "earliest",
+        "startingOffsets": start,
         "includeHeaders": "true",
     }
-    if stream:
+    if max_records:
         options["maxOffsetsPerTrigger"] = str(max_records)
     return options
 
 
-def read_topic_stream(spark: SparkSession, servers, topic=RAW_TOPIC, max_records=POLL_RECORDS):
+def read_topic_stream(spark: SparkSession, servers, topic=RAW_TOPIC, max_records=None):
     """The topic as a stream; needs the Kafka connector on the class path."""
     return spark.readStream.format("kafka").options(
-        **kafka_options(servers, topic, True, max_records)).load()
+        **kafka_options(servers, topic, max_records=max_records)).load()
 
 
-def read_topic(spark: SparkSession, servers, topic=DLQ_TOPIC) -> DataFrame:
-    """The whole topic as a batch; needs the Kafka connector on the class path."""
-    return spark.read.format("kafka").options(**kafka_options(servers, topic, False)).load()
+def read_topic(spark: SparkSession, servers, topic=DLQ_TOPIC, start="earliest") -> DataFrame:
+    """The topic as a batch from ``start``; needs the Kafka connector on the class path."""
+    return spark.read.format("kafka").options(**kafka_options(servers, topic, start)).load()
 
 
 def read_topic_files(spark: SparkSession, path: str, max_files=None) -> DataFrame:

@@ -8,15 +8,18 @@ advance only after the batch function returned.
 import time
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JError
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lograil.operators import ingest, jsonlog
 from lograil.operators.rollups import ROLLUPS
-from lograil.operators.validate import accepted, finish, rejected, with_event_date
-from lograil.schema import BATCH_STATS_SCHEMA
-from lograil.sinks.tables import write_batch
-from lograil.sources.topics import RAW_TOPIC, topic_text
+from lograil.operators.validate import accepted, finish, rejected
+from lograil.schema import BATCH_STATS_SCHEMA, LOG_COLUMNS
+from lograil.sinks.tables import store_batch, write_batch
+from lograil.sources.tables import read_batches
+from lograil.sources.topics import DLQ_TOPIC, RAW_TOPIC, topic_text
 
 # Attempts per batch, pauses between them in seconds, and the flush interval.
 MAX_ATTEMPTS = 3
@@ -24,13 +27,19 @@ PAUSES = (1, 2)
 FLUSH_INTERVAL = "5 seconds"
 
 _POSITION = ["topic", "partition", "offset"]
+_PLACE = ["partition", "offset", "timestamp"]
+ERROR_CHARS = 300
 
 
-def store_log_batch(logs: DataFrame, path: str, batch_id: int) -> None:
-    """One micro-batch of log records, in day folders below its batch folder."""
-    ordered = with_event_date(logs).sortWithinPartitions(
-        "event_date", "source", "level", "created_at")
-    write_batch(ordered, path, batch_id, ["event_date"])
+def short_text(error: Exception) -> str:
+    """The first line of an error, without the stack trace of the JVM."""
+    text = str(getattr(error, "java_exception", None) or error).strip()
+    return (text.splitlines() or [type(error).__name__])[0][:ERROR_CHARS]
+
+
+def is_storage_failure(error: Exception) -> bool:
+    """Failures of the file system or of Spark while it writes."""
+    return isinstance(error, (OSError, Py4JError, PySparkException))
 
 
 @dataclass
@@ -41,7 +50,7 @@ class TopicIngest:
     root: str
     topic: str = RAW_TOPIC
     rollups: tuple = tuple(ROLLUPS)
-    store: object = store_log_batch
+    store: object = store_batch
     pause: object = time.sleep
     clock: object = field(default=time.monotonic)
 
@@ -66,9 +75,10 @@ class TopicIngest:
             counts = done.agg(
                 F.count("*").alias("consumed"),
                 F.count_if(F.col("errors").isNotNull()).alias("rejected")).first()
-            logs = accepted(done)
+            placed = accepted(done, _PLACE)
+            logs = placed.select(*LOG_COLUMNS)
             failed, problem, write_seconds = self._store(logs, batch_id)
-            self._write_dead_letters(done, logs, problem, batch_id)
+            self._write_dead_letters(done, placed, problem, batch_id)
             stored = logs if problem is None else logs.limit(0)
             for name in self.rollups:
                 partial, _ = ROLLUPS[name]
@@ -89,30 +99,40 @@ class TopicIngest:
             try:
                 self.store(logs, self.path("logs"), batch_id)
                 return attempt - 1, None, self.clock() - started
-            except OSError as error:
-                problem = (ingest.INSERT_FAILURE,
-                           f"Failed to insert after {MAX_ATTEMPTS} retries: {error}")
             except Exception as error:  # noqa: BLE001 - any failure must end in the queue
-                problem = (f"unexpected_{type(error).__name__}",
-                           f"Unexpected error during flush: {error}")
+                if is_storage_failure(error):
+                    problem = (ingest.INSERT_FAILURE,
+                               f"Failed to insert after {MAX_ATTEMPTS} retries: {short_text(error)}")
+                else:
+                    problem = (f"unexpected_{type(error).__name__}",
+                               f"Unexpected error during flush: {short_text(error)}")
             if attempt < MAX_ATTEMPTS:
                 self.pause(PAUSES[attempt - 1])
         return MAX_ATTEMPTS, problem, self.clock() - started
 
-    def _write_dead_letters(self, done, logs, problem, batch_id):
+    def _write_dead_letters(self, done, placed, problem, batch_id):
+        """Dead letters as topic records; a letter keeps the position of the message it stands for."""
         refused = rejected(done, "value", [*_POSITION, "timestamp"])
-        letters = ingest.message_reject_envelopes(refused, F.col("timestamp"), _POSITION)
+        letters = ingest.message_reject_envelopes(refused, F.col("timestamp"), _POSITION, _PLACE)
         if problem is not None:
             letters = ingest.union_envelopes(letters, ingest.failed_batch_envelopes(
-                logs, F.col("ingested_at"), problem[1], problem[0]))
-        write_batch(letters, self.path("dead_letters"), batch_id)
+                placed, F.col("ingested_at"), problem[1], problem[0], _PLACE))
+        topic = letters.select(
+            F.encode("key", "UTF-8").alias("key"), F.encode("value", "UTF-8").alias("value"),
+            F.lit(DLQ_TOPIC).alias("topic"), *_PLACE, F.lit(0).alias("timestampType"),
+            F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"))
+        write_batch(topic, self.path("dead_letters"), batch_id)
+
+    def dead_letters(self) -> DataFrame:
+        """The dead-letter queue that this stream wrote."""
+        return read_batches(self.spark, self.path("dead_letters"))
 
     def _write_stats(self, batch_id, row):
         frame = self.spark.createDataFrame([row], BATCH_STATS_SCHEMA).drop("batch_id")
         write_batch(frame, self.path("stats"), batch_id)
 
     def start(self, stream: DataFrame, checkpoint: str, available_now=False):
-        """Run the stream: every few seconds, or once over all that is there."""
+        """Run the stream: every few seconds over all that has come, or once over all that is there."""
         parsed = self.prepare(stream)
         writer = parsed.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
         if available_now:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lograil.operators.rollups import ROLLUPS
+from lograil.schema import LOG_SCHEMA
 
 
 def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
@@ -31,6 +32,9 @@ def _partials(spark, root, name, upto=None) -> DataFrame:
     paths = [f"{base}/batch_id={b}" for b in wanted]
     if states:
         paths.append(f"{base}/compacted/upto={start}")
+    if not paths:
+        partial, _ = ROLLUPS[name]
+        return partial(spark.createDataFrame([], LOG_SCHEMA))
     return spark.read.parquet(*paths)
 
 
@@ -43,11 +47,23 @@ def read_rollup(spark: SparkSession, root: str, name: str) -> DataFrame:
 def compact_rollup(spark: SparkSession, root: str, name: str, upto: int) -> None:
     """Merge all partials up to a finished batch into one state that readers use instead.
 
-    The state counts only once its folder is complete; the batch folders stay as they are.
+    The state counts only once its folder is complete. The batches and the states before it are
+    removed then, so that what a reader lists does not grow with the table's age.
     """
     _, merge = ROLLUPS[name]
     merge(_partials(spark, root, name, upto)).write.mode("overwrite").option(
         "compression", "zstd").parquet(f"{root}/rollups/{name}/compacted/upto={upto}")
+    base = f"{root}/rollups/{name}"
+    _remove(spark, base, "batch_id", [n for n in _numbers(spark, base, "batch_id") if n <= upto])
+    _remove(spark, f"{base}/compacted", "upto",
+            [n for n in _numbers(spark, f"{base}/compacted", "upto") if n < upto])
+
+
+def _remove(spark: SparkSession, path: str, prefix: str, numbers: list[int]) -> None:
+    jvm = spark.sparkContext._jvm
+    for n in numbers:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{prefix}={n}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def hourly_health_stream(logs: DataFrame, delay="1 hour") -> DataFrame:

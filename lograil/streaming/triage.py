@@ -1,4 +1,4 @@
-"""One scheduled triage run over the dead-letter queue: report, replay, commit."""
+"""One scheduled triage run over the dead-letter queue: report, replay or park, commit."""
 
 from dataclasses import dataclass
 
@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lograil.operators import dlq, replay
 from lograil.operators.signals import health_signals
+from lograil.sources.topics import read_topic_files
 from lograil.streaming.rollups import _numbers
 
 COMMITTED_SCHEMA = "partition int, committed_offset bigint"
@@ -24,38 +25,56 @@ def read_committed(spark: SparkSession, path: str) -> DataFrame:
 
 @dataclass
 class TriageJob:
-    """Reads the queue from the committed offsets, reports, and replays if the gate allows it."""
+    """Reads the queue from the committed offsets, reports, replays or parks each letter, commits.
+
+    A letter is replayed if the gate is open (or forced) and ingest would accept it; it is parked,
+    whole and with the reason, otherwise. So the queue moves on and nothing leaves it unseen.
+    ``park_refused=False`` leaves the queue as it is while the gate is closed.
+    """
 
     spark: SparkSession
     root: str
     sample_size: int | None = dlq.SAMPLE_SIZE
+    park_refused: bool = True
 
     def run(self, topic: DataFrame, logs: DataFrame, as_of: Column, run_id: int, force=False,
             dry_run=False) -> DataFrame:
         """One run; returns the stored one-row final report.
 
-        The replayed messages are written before the offsets, so a run that breaks in between is
-        repeated rather than lost. ``sample_size=None`` takes the whole backlog.
+        Replayed and parked letters are written before the offsets, so a run that breaks in between
+        is repeated rather than lost. ``sample_size=None`` takes the whole backlog.
         """
         committed = read_committed(self.spark, f"{self.root}/committed")
-        if self.sample_size is None:
-            taken = topic.join(committed, "partition", "left").filter(
-                F.col("offset") >= F.coalesce("committed_offset", F.lit(0))
-            ).drop("committed_offset")
-        else:
-            taken = dlq.sample(topic, committed, self.sample_size)
+        taken = (dlq.uncommitted(topic, committed) if self.sample_size is None
+                 else dlq.sample(topic, committed, self.sample_size))
         classified = dlq.classify(dlq.decode(taken)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            report, rows, points = replay.triage_run(
-                classified, dlq.backlog(topic, committed), health_signals(logs, as_of),
-                force=force, dry_run=dry_run)
-            report = report.persist()
-            if report.select("replayed").first()["replayed"]:
-                rows.write.mode("overwrite").parquet(f"{self.root}/replayed/run_id={run_id}")
-                points.write.mode("overwrite").parquet(f"{self.root}/committed/run_id={run_id}")
+            gate = replay.replay_gate(dlq.dominant_class(dlq.class_counts(classified))).persist()
+            opened = force or gate.first()["should_replay"]
+            verdict = replay.with_verdict(classified, None if opened else gate)
+            rows = replay.replays(verdict)
+            report = replay.final_report(
+                dlq.backlog(topic, committed), gate, health_signals(logs, as_of),
+                replay.replay_report(gate, rows, dry_run=dry_run, force=force))
             target = f"{self.root}/reports/run_id={run_id}"
+            if not dry_run and (opened or self.park_refused):
+                self._write(rows, "replayed", run_id)
+                self._write(replay.parked(verdict), "parked", run_id)
+                self._write(replay.commit_points(classified), "committed", run_id)
             report.write.mode("overwrite").parquet(target)
-            report.unpersist()
+            gate.unpersist()
         finally:
             classified.unpersist()
         return self.spark.read.parquet(target)
+
+    def _write(self, rows: DataFrame, name: str, run_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/run_id={run_id}")
+
+    def replay_stream(self) -> DataFrame:
+        """All replayed letters as a topic stream, for ``TopicIngest.start``."""
+        return read_topic_files(self.spark, f"{self.root}/replayed/run_id=*")
+
+    def parked(self) -> DataFrame:
+        """All parked letters."""
+        return self.spark.read.option("basePath", f"{self.root}/parked").parquet(
+            f"{self.root}/parked/run_id=*")

@@ -11,7 +11,7 @@ from lograil.operators.search import Search
 from lograil.schema import LOG_COLUMNS, TOPIC_SCHEMA
 from lograil.sinks import tables as sinks, topics
 from lograil.sources import raw, tables, topics as topic_sources
-from lograil.streaming.ingest import TopicIngest, store_log_batch
+from lograil.streaming.ingest import TopicIngest
 from lograil.streaming.rollups import compact_rollup, read_rollup
 
 INGESTED = "2024-02-01 00:00:00"
@@ -170,7 +170,7 @@ def test_stream_retry_and_repeat(spark, tmp_path):
             raise OSError("disk is gone")
         if len(calls) == 1:
             raise RuntimeError("once")
-        store_log_batch(logs, path, batch_id)
+        sinks.store_batch(logs, path, batch_id)
 
     root = str(tmp_path / "out")
     job = TopicIngest(spark, root, store=flaky, pause=pauses.append,
@@ -179,10 +179,10 @@ def test_stream_retry_and_repeat(spark, tmp_path):
     job.run_batch(batch, 0)
     job.run_batch(batch, 1)
     assert pauses == [1, 1, 2]
-    assert tables.read_batches(spark, f"{root}/logs").count() == 2
+    assert tables.read_log_table(spark, f"{root}/logs").count() == 2
     letters = tables.read_batches(spark, f"{root}/dead_letters")
     types = {r["t"]: r["n"] for r in letters.groupBy(
-        F.get_json_object("value", "$.error_type").alias("t")).agg(F.count("*").alias("n"))
+        F.get_json_object(F.col("value").cast("string"), "$.error_type").alias("t")).agg(F.count("*").alias("n"))
         .collect()}
     assert types == {"message_parse_error": 2, "clickhouse_insert_failure": 2}
     stats = {r["batch_id"]: r for r in tables.read_batches(spark, f"{root}/stats").collect()}
@@ -192,7 +192,10 @@ def test_stream_retry_and_repeat(spark, tmp_path):
 
 
 def test_kafka_options_and_keys(spark):
-    options = topic_sources.kafka_options("host:9092", "logs.raw", stream=True)
-    assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "1000"
+    options = topic_sources.kafka_options("host:9092", "logs.raw")
+    assert options["startingOffsets"] == "earliest" and "maxOffsetsPerTrigger" not in options
+    assert topic_sources.kafka_options("h", "t", max_records=5)["maxOffsetsPerTrigger"] == "5"
+    committed = spark.createDataFrame([(1, 7)], "partition int, committed_offset long")
+    assert json.loads(topic_sources.starting_offsets("t", committed, 2)) == {"t": {"0": -2, "1": 7}}
     row = topics.log_messages(make_logs(spark, 1)).first()
     assert row["key"] == "s0" and list(json.loads(row["value"])) == LOG_COLUMNS
