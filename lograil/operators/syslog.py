@@ -20,6 +20,7 @@ _TOLERANT_SD = rf"(?d)^({_ELEMENT}(?: *{_ELEMENT})*+)(?! *\[)"
 _ADJACENT_SD = rf"(?d)^((?:{_ELEMENT})++)(?!\[)"
 
 NOT_SYSLOG = "line does not match the RFC 5424 syslog header"
+# Stored texts of the two faults of structured data.
 SD_START = "STRUCTURED-DATA must start with '-' or '['"
 SD_OPEN = "Unterminated STRUCTURED-DATA (missing closing ']')"
 

@@ -193,9 +193,9 @@ def batch_documents(spark, folder, size=50) -> DataFrame:
 
 MESSAGE_SQL = """
 CASE event_id % 20
-  WHEN 3 THEN '{"invalid": "json", missing'
-  WHEN 4 THEN '{"source": 123, "level": "INFO"}'
-  WHEN 5 THEN concat('not json at all ', event_id)
+  WHEN 3 THEN '{"source": "http", "level'
+  WHEN 4 THEN '{"level": "WARN", "source": [7]}'
+  WHEN 5 THEN concat('plain words ', event_id)
   WHEN 6 THEN '{}'
   ELSE concat('{"id": "', CASE WHEN event_id % 20 = 7 THEN 'no-uuid'
       WHEN event_id % 20 = 8 THEN upper(md5(cast(event_id AS string)))
@@ -238,11 +238,10 @@ def topic_messages(spark, folder) -> DataFrame:
 
 # Error texts of the dead letters by event number, and the place each one is found in.
 DLQ_TEXT_SQL = """
-element_at(array('Connection timeout to storage', 'Network error: connection refused',
-  'Upstream service 503 temporarily unavailable', 'Connection reset by peer',
-  'Storage timeout after 30s', 'Network timeout', 'Connection to database timed out',
-  'Invalid JSON: expecting property name', 'Parse error: malformed syslog format',
-  'Unrecognized column \\'old_field\\' in table logs'), cast(event_id % 10 + 1 AS int))
+element_at(array('write timed out after 12 s', 'pool gave no connection', 'gateway answered 503',
+  'Connection reset while sending', 'lookup TIMEOUT', 'Network error on the second link',
+  'peer answered 504', 'malformed header field', 'invalid json at byte 7',
+  'unknown column extra_field'), cast(event_id % 10 + 1 AS int))
 """
 LOG_VALUE_SQL = """
 concat('{"level":"INFO","message":"', event_type, ' ', event_id, '","source":"http",',

@@ -137,11 +137,10 @@ msg AS (
 
 DLQ = EVENTS + r""",
 dlq_text AS (
-  SELECT *, ['Connection timeout to storage', 'Network error: connection refused',
-    'Upstream service 503 temporarily unavailable', 'Connection reset by peer',
-    'Storage timeout after 30s', 'Network timeout', 'Connection to database timed out',
-    'Invalid JSON: expecting property name', 'Parse error: malformed syslog format',
-    'Unrecognized column ''old_field'' in table logs'][event_id % 10 + 1] AS txt,
+  SELECT *, ['write timed out after 12 s', 'pool gave no connection', 'gateway answered 503',
+    'Connection reset while sending', 'lookup TIMEOUT', 'Network error on the second link',
+    'peer answered 504', 'malformed header field', 'invalid json at byte 7',
+    'unknown column extra_field'][event_id % 10 + 1] AS txt,
     CASE WHEN event_id % 23 = 0 THEN 'junk' WHEN event_id % 29 = 0 THEN 'bare'
       WHEN event_id % 4 = 1 THEN 'parser_reject' WHEN event_id % 4 = 2 THEN 'failed_batch'
       WHEN event_id % 4 = 3 THEN 'unparseable_message' ELSE 'log' END AS kind,
@@ -171,6 +170,7 @@ dlq_class AS (
       nullif(regexp_extract(error_text, '\b504\b'), ''),
       nullif(regexp_extract(error_text, '(?i)network error'), ''),
       nullif(regexp_extract(error_text, '(?i)unrecognized column'), ''),
+      nullif(regexp_extract(error_text, '(?i)unknown column'), ''),
       nullif(regexp_extract(error_text, '(?i)schema'), ''),
       nullif(regexp_extract(error_text, '(?i)invalid json'), ''),
       nullif(regexp_extract(error_text, '(?i)malformed'), ''),

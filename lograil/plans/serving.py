@@ -141,8 +141,8 @@ def parser_rejects(spark, folder):
 @query("k4_unparseable_messages", with_(oracle.MESSAGES, """
 SELECT event_id, '2024-01-31T00:00:00' AS dlq_timestamp,
   'Failed to parse message: ' || error AS error_message, 'message_parse_error' AS error_type,
-  CASE m WHEN 3 THEN '{"invalid": "json", missing' WHEN 5 THEN 'not json at all ' || event_id
-    WHEN 6 THEN '{}' WHEN 4 THEN '{"source": 123, "level": "INFO"}' END AS short_payload
+  CASE m WHEN 3 THEN '{"source": "http", "level' WHEN 5 THEN 'plain words ' || event_id
+    WHEN 6 THEN '{}' WHEN 4 THEN '{"level": "WARN", "source": [7]}' END AS short_payload
 FROM msg WHERE error IS NOT NULL"""))
 def unparseable_messages(spark, folder):
     _, bad = dispatch.run_message_job(
@@ -235,6 +235,18 @@ def search_text(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("q5_backslash", log(r"""
+SELECT 'by\user' AS query, id FROM logs WHERE contains(lower(replace(message, ' ', '\')), 'by\user')
+UNION ALL SELECT '7\', id FROM logs WHERE contains(replace(message, ' ', '\') || '\', '7\')"""))
+def search_backslash(spark, folder):
+    """Paths are everyday search text: a backslash stands for itself."""
+    logs = inputs.logs(spark, folder).withColumn(
+        "message", F.concat(F.replace("message", F.lit(" "), F.lit("\\")), F.lit("\\")))
+    parts = [search.matching(logs, Search(query=q)).select(F.lit(q).alias("query"), "id")
+             for q in ("by\\user", "7\\")]
+    return parts[0].unionByName(parts[1])
+
+
 _ALL = f"{_RANGE} AND source = 'kafka' AND level = 'INFO' AND message ILIKE '%user%'"
 _ALL_SEARCH = dict(time_from=_T0, time_to=_T1, source="kafka", level="info", query="USER")
 

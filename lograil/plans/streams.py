@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from lograil.functions import times
+from lograil.operators import dlq
 from lograil.operators.rollups import summarise_messages
 from lograil.plans import inputs, oracle
 from lograil.plans.inputs import millis_text, seconds_text
@@ -10,6 +11,7 @@ from lograil.plans.letters import summary, _GATE, _REPLAYABLE
 from lograil.plans.oracle import ts0, ts3, with_
 from lograil.plans.registry import query
 from lograil.session import scratch_dir
+from lograil.sinks import tables as sink_tables
 from lograil.sources import tables as source_tables
 from lograil.sources.topics import read_topic_files
 from lograil.streaming.ingest import TopicIngest
@@ -118,3 +120,97 @@ def triage_run(spark, folder):
     return report.select("sampled_count", "dominant_class", "replayed").withColumns({
         "replayed_rows": F.lit(rows).cast("bigint"),
         "committed_partitions": F.lit(committed).cast("bigint")})
+
+
+@query("t7_sampled_runs", with_(oracle.DLQ, """
+SELECT part AS partition, off AS offset, CASE WHEN kind IN ('log', 'bare', 'failed_batch')
+  THEN 'replayed' ELSE 'parked' END AS outcome, CAST(1 AS BIGINT) AS times FROM dlq"""))
+def sampled_runs(spark, folder):
+    """Triage by samples until the queue is empty, with times that run against the offsets."""
+    root = scratch_dir(spark, "sampled")
+    topic = inputs.dead_letters(spark, folder).withColumn(
+        "timestamp", F.timestamp_seconds(F.lit(1_700_000_000) - F.col("offset")))
+    logs, count = inputs.logs(spark, folder), topic.count()
+    job = TriageJob(spark, root, sample_size=count // 3 + 1)
+    run = 0
+    while run == 0 or report["sampled_count"]:
+        report = job.run(topic, logs, inputs.as_of(), run, force=True).first()
+        run += 1
+    replayed = spark.read.parquet(f"{root}/replayed/run_id=*").withColumn("outcome", F.lit("replayed"))
+    parked = job.parked().withColumn("outcome", F.lit("parked"))
+    both = replayed.select("partition", "offset", "outcome").unionByName(
+        parked.select("partition", "offset", "outcome"))
+    return both.groupBy("partition", "offset", "outcome").agg(F.count("*").alias("times"))
+
+
+@query("t7_closed_gate", with_(oracle.DLQ_SUMMARY, f"""
+SELECT 'parked' AS part, count(*) AS n FROM dlq, dom WHERE NOT ({_GATE})
+UNION ALL SELECT 'left', count(*) FROM dlq, dom WHERE {_GATE} AND false"""))
+def closed_gate(spark, folder):
+    """While the gate is closed all letters are parked, whole, and the queue moves on."""
+    root = scratch_dir(spark, "closed")
+    topic, logs = inputs.dead_letters(spark, folder), inputs.logs(spark, folder)
+    job = TriageJob(spark, root, sample_size=None)
+    job.run(topic, logs, inputs.as_of(), 0)
+    left = dlq.uncommitted(topic, read_committed(spark, f"{root}/committed"))
+    return job.parked().agg(F.lit("parked").alias("part"), F.count("*").alias("n")).unionByName(
+        left.agg(F.lit("left").alias("part"), F.count("*").alias("n")))
+
+
+def _no_store(logs, path, batch_id):
+    """A writer that fails as Spark's do: its target cannot be made."""
+    logs.write.mode("overwrite").parquet("unknown-scheme://nowhere/logs")
+
+
+@query("t6_t7_loop", with_(oracle.MESSAGES, """
+SELECT 'failed batch' AS part, count(*) AS n, cast(count(*) AS bigint) AS detail FROM msg WHERE error IS NULL
+UNION ALL SELECT 'unparseable', count(*), cast(count(*) AS bigint) FROM msg WHERE error IS NOT NULL
+UNION ALL SELECT 'parked', count(*), cast(count(*) AS bigint) FROM msg WHERE error IS NOT NULL
+UNION ALL SELECT 'stored', count(*), cast(sum(length(event_type || ' ' || event_id)) AS bigint)
+  FROM msg WHERE error IS NULL"""))
+def loop(spark, folder):
+    """A store that is down: messages to dead letters, to triage, to the replay topic, to the table."""
+    root = scratch_dir(spark, "loop")
+    topic = inputs.topic_messages(spark, folder).drop("event_id")
+    broken = TopicIngest(spark, f"{root}/first", rollups=(), store=_no_store, pause=lambda seconds: None)
+    broken.run_batch(topic, 0)
+    letters = broken.dead_letters()
+    kind = F.get_json_object(F.col("value").cast("string"), "$.error_type")
+    job = TriageJob(spark, f"{root}/triage", sample_size=None)
+    job.run(letters, inputs.logs(spark, folder), inputs.as_of(), 0, force=True)
+    again = TopicIngest(spark, f"{root}/second", rollups=())
+    again.start(job.replay_stream(), f"{root}/checkpoint", available_now=True).awaitTermination()
+    stored = source_tables.read_log_table(spark, f"{root}/second/logs").dropDuplicates(["id"])
+
+    def counted(rows, part, detail=None):
+        return rows.agg(F.lit(part).alias("part"), F.count("*").alias("n"),
+                        (F.count("*") if detail is None else F.sum(detail)).alias("detail"))
+    return (counted(letters.filter(kind == "clickhouse_insert_failure"), "failed batch")
+            .unionByName(counted(letters.filter(kind == "message_parse_error"), "unparseable"))
+            .unionByName(counted(job.parked(), "parked"))
+            .unionByName(counted(stored, "stored", F.length("message"))))
+
+
+@query("k7_stream_retention", with_(_STREAMED, """
+SELECT cast(created_at AS date)::varchar AS day, count(*) AS n FROM streamed
+WHERE cast(created_at AS date) >= DATE '2024-01-20' GROUP BY ALL"""))
+def stream_retention(spark, folder):
+    """Days that expired are removed from the table that the stream writes."""
+    root = run_ingest(spark, folder)
+    sink_tables.drop_expired_days(spark, f"{root}/logs", "2024-01-27 00:00:00", days=7)
+    kept = source_tables.read_log_table(spark, f"{root}/logs")
+    return kept.groupBy(F.col("event_date").cast("string").alias("day")).agg(F.count("*").alias("n"))
+
+
+@query("k1_compacted_day", with_(_STREAMED, """
+SELECT cast(created_at AS date)::varchar AS day, count(*) AS n, 1 AS batches FROM streamed
+WHERE cast(created_at AS date) = (SELECT min(cast(created_at AS date)) FROM streamed) GROUP BY ALL"""))
+def compacted_day(spark, folder):
+    """The first day of the stream's table after its batches were merged."""
+    root = run_ingest(spark, folder)
+    logs = source_tables.read_log_table(spark, f"{root}/logs")
+    day = logs.agg(F.min("event_date").cast("string")).first()[0]
+    sink_tables.compact_day(spark, f"{root}/logs", day, upto=2)
+    rows = source_tables.read_log_table(spark, f"{root}/logs").filter(F.col("event_date") == day)
+    return rows.groupBy(F.col("event_date").cast("string").alias("day")).agg(
+        F.count("*").alias("n"), F.countDistinct("batch_id").cast("int").alias("batches"))
