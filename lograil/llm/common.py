@@ -138,6 +138,11 @@ def starts_of(*columns) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def ends_of(starts: np.ndarray, n: int) -> np.ndarray:
+    """The last row of each run."""
+    return np.append(starts[1:], n)[:len(starts)] - 1
+
+
 def per_row(starts: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
     """A run's value for every row of it."""
     return np.repeat(values, np.diff(np.append(starts, n)))

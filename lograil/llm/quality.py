@@ -128,30 +128,37 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine |
     return Machine().fit(sparse, np.array([q for _, q, _, _ in found], np.float32))
 
 
+def _scores(batch, machine: Machine | None) -> np.ndarray:
+    """The chance of label 1 for every document of a batch."""
+    if machine is None or not batch.num_rows:
+        return np.full(batch.num_rows, 0.5)
+    n_chars = batch["n_chars"].cast(pa.int64()).to_pylist()
+    rows = [features(t or b"", n) for t, n in zip(texts_of(batch["text"]), n_chars)]
+    return np.concatenate([machine.scores(*stacked(rows[i:i + 64])) for i in range(0, len(rows), 64)])
+
+
 def score(docs: DataFrame, machine: Machine | None) -> DataFrame:
-    """(score, and the columns of docs): the chance that a document's label is 1."""
+    """(doc_id, score): the chance that a document's label is 1."""
     model = docs.sparkSession.sparkContext.broadcast(machine)
-    shape = docs.select(F.lit(0.0).alias("score"), "*").schema
 
     def run(batches):
         for batch in batches:
-            if model.value is None or not batch.num_rows:
-                got = np.full(batch.num_rows, 0.5)
-            else:
-                n_chars = batch["n_chars"].cast(pa.int64()).to_pylist()
-                rows = [features(t or b"", n) for t, n in zip(texts_of(batch["text"]), n_chars)]
-                got = np.concatenate([model.value.scores(*stacked(rows[i:i + 64])) for i in range(0, len(rows), 64)])
-            yield pa.RecordBatch.from_arrays([pa.array(got), *batch.columns], ["score", *batch.schema.names])
-    return docs.mapInArrow(run, shape)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(_scores(batch, model.value))], ["doc_id", "score"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "n_chars")
+    return rows.mapInArrow(run, "doc_id long, score double")
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject; every column as it was."""
-    return score(docs, train(docs, labels)).where(F.col("score") >= REJECT_BELOW).drop("score")
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(batch, model.value) >= REJECT_BELOW))
+    return docs.mapInArrow(run, docs.schema)
 
 
 def summary(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: whether it was held out, its score and the decision."""
-    scored = score(docs.select("doc_id", "text", "n_chars"), train(docs, labels))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+    return score(docs, train(docs, labels)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= REJECT_BELOW).cast("int").alias("predicted"))

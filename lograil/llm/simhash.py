@@ -30,6 +30,8 @@ from lograil.llm.components import components, saved
 SEED, WORDS, RADIUS = 42, 3, 3
 # Different fingerprints on one half value from which the value is dealt on by the other half's bytes.
 CROWDED = 200_000
+# Comparisons up to which the rows of one variant are compared outright.
+OUTRIGHT = 4_000_000
 _LOW = 0xFFFFFFFF
 
 
@@ -98,7 +100,7 @@ def bucket_links(fps: np.ndarray, exact: np.ndarray, shift: int) -> tuple[np.nda
     ``shift`` is where that half begins; the other half decides.
     """
     n, centre = len(fps), np.flatnonzero(exact)
-    if len(centre) * n <= 4_000_000:  # few enough to compare outright, a chunk of rows at a time
+    if len(centre) * n <= OUTRIGHT:  # few enough to compare outright, a chunk of rows at a time
         a, b = [], []
         chunk = max(1, 200_000 // n)
         for i in range(0, len(centre), chunk):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lograil.llm.common import (Block, columns_of, dealt, grams, mixed, per_row, sliding, starts_of,
+from lograil.llm.common import (Block, columns_of, dealt, ends_of, grams, mixed, per_row, sliding, starts_of,
                                 with_blocks)
 
 WINDOW, MINIMISER = 13, 5
@@ -98,7 +98,7 @@ def _path_entries(buckets):
         order = np.lexsort((p.owner, p.path, p.anchor))
         anchor, path, doc = p.anchor[order], p.path[order], p.owner[order]
         starts = starts_of(anchor, path)
-        ends = np.append(starts[1:], len(anchor)) - 1
+        ends = ends_of(starts, len(anchor))
         a = anchor[starts]
         return dealt(mixed(a + _STEP) % np.uint64(buckets), table["block"][0].as_py(), anchor=a, path=path[starts],
                      low=doc[starts], high=doc[ends])
@@ -222,12 +222,17 @@ def repeated_spans(docs: DataFrame, *more: str) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents with the kept words as text where words went, else as they were; n_chars follows."""
-    more = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # Other columns travel in one struct, so that none clashes with a name used here.
+    carried = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *rest).alias("rest"))
     cut = F.col("n_removed") > 0
-    text = F.when(cut, F.col("kept")).otherwise(F.col("text")).alias("text")
-    columns = {"text": text} | ({"n_chars": F.when(cut, F.length("kept").cast(docs.schema["n_chars"].dataType))
-                                 .otherwise(F.col("n_chars")).alias("n_chars")} if "n_chars" in more else {})
-    return repeated_spans(docs, *more).select([columns.get(c, F.col(c)) for c in docs.columns])
+    columns = {c: F.col("rest")[c].alias(c) for c in rest} | {
+        "doc_id": F.col("doc_id"), "text": F.when(cut, F.col("kept")).otherwise(F.col("text")).alias("text")}
+    if "n_chars" in rest:
+        told = F.col("rest")["n_chars"]
+        kind = docs.schema["n_chars"].dataType
+        columns["n_chars"] = F.when(cut, F.length("kept").cast(kind)).otherwise(told).alias("n_chars")
+    return repeated_spans(carried, "rest").select([columns[c] for c in docs.columns])
 
 
 def summary(docs: DataFrame) -> DataFrame:

@@ -28,7 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lograil.llm.common import Block, columns_of, dealt, grams, minimisers, mixed, starts_of, with_blocks
+from lograil.llm.common import (
+    Block, columns_of, dealt, ends_of, grams, minimisers, mixed, starts_of, with_blocks)
 from lograil.llm.components import saved
 
 LEAST, SAMPLED = 50, 8
@@ -56,7 +57,7 @@ def _minimiser_entries(buckets):
         order = np.lexsort((doc, anchor))
         anchor, doc = anchor[order], doc[order]
         starts = starts_of(anchor)
-        ends = np.append(starts[1:], len(anchor)) - 1
+        ends = ends_of(starts, len(anchor))
         return dealt(mixed(anchor[starts] + _STEP) % np.uint64(buckets), table["block"][0].as_py(),
                      anchor=anchor[starts], low=doc[starts], high=doc[ends])
     return run

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 SEGMENTS = 4
 CANDIDATES, QUERIES = 4096, 1024
-_LOWEST = np.iinfo(np.int64).min
+_LOWEST = -(1 << 62)  # the cutoff of a query with fewer than k known scores
 
 
 def whole_vectors(embeddings: DataFrame, scale: int = 256) -> DataFrame:
@@ -44,9 +44,9 @@ def _arrays(batch, row, *names):
     return [batch[n][row].values.to_numpy(zero_copy_only=False) for n in names]
 
 
-def _partial_scores(q, c, dim, segments):
+def _partial_scores(q, c, segments):
     """The lists: per segment of dimensions a matrix of inner products, exact."""
-    q, c = q.reshape(-1, dim), c.reshape(-1, dim)
+    dim = q.shape[1]
     top = float(max(np.abs(q).max(initial=0), 1)) * float(max(np.abs(c).max(initial=0), 1)) * max(dim, 1)
     if top < 2.0 ** 53:  # doubles then hold every sum exactly
         q, c = q.astype(np.float64), c.astype(np.float64)
@@ -69,15 +69,16 @@ def _phase(k, segments, resolve):
         for batch in batches:
             for i in range(batch.num_rows):
                 q_id, q_v, c_id, c_v = _arrays(batch, i, "qb_vec_id", "qb_v", "cb_vec_id", "cb_v")
-                lists = _partial_scores(q_v, c_v, batch["dim"][i].as_py(), segments)
+                dim = batch["dim"][i].as_py()
+                lists = _partial_scores(q_v.reshape(len(q_id), dim), c_v.reshape(len(c_id), dim), segments)
                 total = sum(lists)
                 own = q_id[:, None] == c_id[None, :]
                 if resolve:
                     cutoff, = _arrays(batch, i, "qb_cutoff")
-                    reach = np.where(cutoff == _LOWEST, -np.inf, cutoff)[:, None]
+                    share = -(-cutoff // len(lists))[:, None]  # the least whole number that is enough
                     enough = np.zeros_like(own)
                     for part in lists:
-                        enough |= part * len(lists) >= reach
+                        enough |= part >= share
                     rows, cols = np.nonzero(enough & ~own)
                     score = total[rows, cols].astype(np.int64)
                     kept = score >= cutoff[rows]
@@ -117,7 +118,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, segments: int =
     local = ranked(meet(_packed(queries, n_q, "qb"), False))
     cutoffs = local.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"),
                                                      F.col("score").alias("cutoff"))
-    asked = queries.join(cutoffs, "vec_id", "left").fillna(int(_LOWEST), "cutoff")
+    asked = queries.join(cutoffs, "vec_id", "left").fillna(_LOWEST, "cutoff")
     found = ranked(meet(_packed(asked, n_q, "qb", "cutoff"), True))
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
