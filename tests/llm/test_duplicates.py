@@ -72,6 +72,18 @@ def test_substring(docs_of, seed, vocabulary):
     pairs = copies(seed, vocabulary=vocabulary) + ODD
     got = [(str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substring.summary(docs_of(pairs)).collect()]
     assert sorted(got) == brute_substring(pairs)
+    # The source coordinates of every span lead to the same words in an earlier document.
+    texts = {i: words(t) for i, t in pairs}
+    rows = substring.repeated_spans(docs_of(pairs, extra=False)).collect()
+    for r in rows:
+        covered = set()
+        for s in r.spans:
+            assert s.source_id < r.doc_id and s.end - s.start >= 13
+            there = texts[s.source_id][s.source_start:s.source_start + s.end - s.start]
+            assert there == texts[r.doc_id][s.start:s.end]
+            covered.update(range(s.start, s.end))
+        assert len(covered) == r.n_removed
+    assert max(s.end - s.start for r in rows for s in r.spans) > 50
 
 
 def test_substring_as_a_stage(docs_of):
