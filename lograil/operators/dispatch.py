@@ -9,7 +9,7 @@ from lograil.operators import jsonlog
 from lograil.operators.clf import parse_clf
 from lograil.operators.syslog import parse_syslog
 from lograil.operators.validate import accepted, finish, rejected, with_record_defaults
-from lograil.schema import RECORD_TYPES
+from lograil.schema import LOG_SCHEMA, RECORD_TYPES
 
 TEXT_FORMATS = {"syslog": parse_syslog, "clf": parse_clf}
 
@@ -70,6 +70,18 @@ def parse_mixed(df: DataFrame, format_column="format", content="value", source_s
     return reduce(DataFrame.unionByName, [*branches, other.select(*keep, *record)])
 
 
+def store_outcome(done: DataFrame, path: str, keep=(), raw="value") -> DataFrame:
+    """Write a checked frame once, valid and refused rows apart, and return it as it is stored.
+
+    Records, rejects and reports then come from this table: the input is read and parsed once.
+    """
+    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA.fields]
+    rows = done.select(*keep, *fields, F.col(raw).cast("string").alias("value"), "errors",
+                       F.col("errors").isNotNull().alias("is_error"))
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy("is_error").parquet(path)
+    return done.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def run_text_job(df: DataFrame, format, source_service="unknown", source="http",
                  content="value", ingested_at=None, id_from=None, keep=(), **options):
     """Raw lines to (log records, rejects)."""

@@ -158,16 +158,22 @@ def finish(df: DataFrame, ingested_at=None, id_from=None, promoted=False, meta=N
     return df.withColumns(storage_columns())
 
 
+def _outcome(df: DataFrame, bad: bool) -> DataFrame:
+    """The rows of one outcome; a stored outcome reads only the folder of it."""
+    rows = df.filter(F.col("errors").isNotNull() if bad else F.col("errors").isNull())
+    return rows.filter(F.col("is_error") == bad) if "is_error" in df.columns else rows
+
+
 def accepted(df: DataFrame, keep=()) -> DataFrame:
     """The valid rows as log records (plus the named input columns)."""
     # Every column after the id is non-null by validation; the cast fixes the type only.
     fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA.fields]
-    return df.filter(F.col("errors").isNull()).select(*keep, *fields)
+    return _outcome(df, False).select(*keep, *fields)
 
 
 def rejected(df: DataFrame, raw="value", keep=()) -> DataFrame:
     """The invalid rows: their raw text and all reasons in one text."""
-    return df.filter(F.col("errors").isNotNull()).select(
+    return _outcome(df, True).select(
         *keep, F.col(raw).cast("string").alias("raw_payload"),
         F.col("errors").alias("error_message"))
 

@@ -48,7 +48,7 @@ FROM clf_fields GROUP BY ALL"""))
 def raw_text_scan(spark, folder):
     path = scratch_dir(spark, "raw")
     inputs.clf_lines(spark, folder).select("value").write.text(path)
-    lines = raw.read_raw_lines(spark, path)
+    lines = raw.numbered(raw.read_raw_lines(spark, path))
     done = validate.finish(dispatch.parse_lines(lines, "clf", source="file"),
                            ingested_at=as_of(), id_from=raw.LINE_KEY)
     return done.groupBy("value", F.col("errors").isNull().alias("valid")).agg(

@@ -1,6 +1,6 @@
 """File sources: raw text lines and JSONL, with file names and line numbers."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lograil.functions.text import strip
 
@@ -38,8 +38,8 @@ def read_jsonl_lines(spark: SparkSession, paths) -> DataFrame:
     return _read_lines(spark, paths, JSONL_EXTENSIONS)
 
 
-# What identifies a line of a file.
-LINE_KEY = ["file", "block_start", "line_pos"]
+# What identifies a line of a file, however files are packed into tasks: ids derive from it.
+LINE_KEY = ["file", "line"]
 
 
 def block_offsets(lines: DataFrame) -> DataFrame:
@@ -59,7 +59,8 @@ def block_offsets(lines: DataFrame) -> DataFrame:
 def with_line_numbers(rows: DataFrame, lines: DataFrame) -> DataFrame:
     """Add the 1-based number among the non-blank lines of its file to each row of ``rows``.
 
-    ``rows`` is any selection of ``lines`` that kept the line key.
+    ``rows`` is any selection of ``lines`` that kept file, block and position. The number depends on
+    the file alone, not on what else is read or how it is split.
     """
     number = F.col("lines_before") + F.col("line_pos") - F.col("first_pos") + 1
     return (
@@ -69,5 +70,6 @@ def with_line_numbers(rows: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def file_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+def numbered(lines: DataFrame) -> DataFrame:
+    """The lines with their number, so that ``LINE_KEY`` stands."""
+    return with_line_numbers(lines, lines)

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lograil.operators import dispatch, dlq, ingest, replay, rollups, search
+from lograil.operators import dispatch, dlq, ingest, jsonlog, replay, rollups, search, validate
 from lograil.operators.search import Search
 from lograil.schema import LOG_COLUMNS, TOPIC_SCHEMA
 from lograil.sinks import tables as sinks, topics
@@ -47,6 +47,47 @@ def test_line_numbers_across_file_splits(spark, tmp_path):
     assert all(r["value"] in (f"line {r['line']}", "only") for r in rows)
 
 
+def test_ids_do_not_depend_on_what_else_is_read(spark, tmp_path):
+    line = "<134>1 2024-01-15T10:30:00Z h a - - - m"
+    for name, n in (("a", 40), ("b", 5), ("c", 900)):
+        (tmp_path / f"{name}.log").write_text("\n".join(f"{line}{i}" for i in range(n)) + "\n")
+
+    def ids(paths):
+        lines = raw.numbered(raw.read_raw_lines(spark, paths))
+        logs, _ = dispatch.run_text_job(lines, "syslog", source="file", id_from=raw.LINE_KEY,
+                                        ingested_at=dt.datetime(2024, 1, 16))
+        return {r["message"]: r["id"] for r in logs.select("message", "id").collect()}
+
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        alone = ids(str(tmp_path / "b.log"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    together = spark.read.text(str(tmp_path / "b.log")).count()
+    every = raw.numbered(raw.read_raw_lines(spark, str(tmp_path / "*.log")))
+    logs, _ = dispatch.run_text_job(every, "syslog", source="file", id_from=raw.LINE_KEY, keep=["file"],
+                                    ingested_at=dt.datetime(2024, 1, 16))
+    found = {r["message"]: r["id"] for r in logs.filter(F.col("file").endswith("/b.log")).collect()}
+    assert len(alone) == together == 5 and found == alone
+
+
+def test_rows_of_both_outcomes_from_one_pass(spark, tmp_path):
+    """Records, rejects and report come from one stored parse; the lines are read once."""
+    (tmp_path / "x.jsonl").write_text("\n".join(
+        '{"source":"s","source_service":"v","level":"info","message":"m%d"}' % i if i % 3 else "bad %d" % i
+        for i in range(30)))
+    lines = raw.numbered(raw.read_jsonl_lines(spark, str(tmp_path / "x.jsonl")))
+    done = validate.finish(jsonlog.parse_requests(lines), ingested_at=dt.datetime(2024, 1, 16),
+                           id_from=raw.LINE_KEY, promoted=True, meta="_meta")
+    stored = dispatch.store_outcome(done, str(tmp_path / "out"), keep=["file", "line"])
+    plan = validate.accepted(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(is_error" in plan and plan.count("Scan parquet") == 1
+    assert validate.accepted(stored).count() == 20 and validate.rejected(stored).count() == 10
+    report = ingest.ingest_report(stored).first()
+    assert (report["count"], report["success"], report["failed"]) == (30, 20, 10)
+    assert [e["line"] for e in report["errors"]] == list(range(1, 31, 3))
+
+
 def test_report_keeps_first_twenty_errors(spark):
     lines = spark.range(1, 501).select(
         F.lit("f.log").alias("file"), F.col("id").alias("line"),
@@ -87,6 +128,55 @@ def test_deep_page_equals_page(spark):
         assert [r["id"] for r in search.deep_page(logs, wanted, max_skip=2).collect()] == plain
 
 
+def test_deep_page_prunes_days(spark, tmp_path):
+    path = str(tmp_path / "deep")
+    logs = make_logs(spark)
+    sinks.append_logs(logs, path)
+    stored = tables.read_log_table(spark, path)
+    wanted = Search(offset=250, limit=10)
+    got = search.deep_page(stored, wanted, max_skip=2)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "LessThan(created_at" in plan
+    assert [r["id"] for r in got.collect()] == [r["id"] for r in search.page(logs, wanted).collect()]
+
+
+def test_every_search_checks_its_parameters(spark):
+    logs = make_logs(spark, 5)
+    for find in (search.page, search.total, search.matching, search.deep_page):
+        with pytest.raises(ValueError):
+            find(logs, Search(limit=10**9))
+
+
+def test_rollup_before_the_first_batch(spark, tmp_path):
+    assert read_rollup(spark, str(tmp_path), "service_health").count() == 0
+
+
+def test_spark_write_errors_are_storage_failures(spark, tmp_path):
+    """A real writer that fails: its letters name the storage, without the JVM's stack trace."""
+    good = json.dumps({"source": "http", "source_service": "s", "level": "error", "message": "m"})
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "logs").write_text("a file where the table should be")
+    job = TopicIngest(spark, str(tmp_path / "out"), rollups=(), pause=lambda seconds: None)
+    job.run_batch(topic_rows(spark, [good, good, "junk"]), 0)
+    letters = [json.loads(bytes(r["value"])) for r in job.dead_letters().collect()]
+    assert sorted(x["error_type"] for x in letters) == ["clickhouse_insert_failure"] * 2 + ["message_parse_error"]
+    assert all(len(x["error_message"]) < 400 and "\n" not in x["error_message"] for x in letters)
+
+
+def test_repeated_batch_replaces_only_itself(spark, tmp_path):
+    path, logs = str(tmp_path / "t"), make_logs(spark, 60)
+    for batch in (0, 1, 1):
+        sinks.store_batch(logs, path, batch)
+    stored = tables.read_log_table(spark, path)
+    assert stored.count() == 120
+    days = stored.select("event_date").distinct().count()
+    assert len(stored.inputFiles()) <= 2 * days
+    day = str(stored.agg(F.min("event_date")).first()[0])
+    sinks.compact_day(spark, path, day, upto=1)
+    after = tables.read_log_table(spark, path)
+    assert after.count() == 120 and after.filter(F.col("event_date") == day).select("batch_id").distinct().count() == 1
+
+
 def test_search_parameters():
     now = dt.datetime(2024, 1, 31)
     filled = Search(level="warning").checked(now)
