@@ -184,10 +184,19 @@ def _precedence(name: Column) -> Column:
     return F.array_position(F.array(*map(F.lit, CLASSES)), name)
 
 
-def class_counts(classified: DataFrame) -> DataFrame:
-    """Count and share per class that occurs; one aggregation over all rows."""
-    totals = classified.agg(F.count("*").alias("_total"), *[
-        F.count_if(F.col("error_class") == name).alias(f"_{i}") for i, name in enumerate(CLASSES)])
+def reason_counts(classified: DataFrame) -> DataFrame:
+    """Per class and reason: number and first arrival. Class counts and top reasons follow from it."""
+    return classified.groupBy("error_class", "error_reason").agg(
+        F.count("*").alias("n"), F.min(F.struct(*ARRIVAL)).alias("first_seen"))
+
+
+def class_counts(classified: DataFrame, n: Column = None) -> DataFrame:
+    """Count and share per class that occurs; one aggregation over all rows (``n`` letters each)."""
+    n = F.lit(1) if n is None else n
+    zero = F.lit(0).cast("bigint")
+    totals = classified.agg(F.coalesce(F.sum(n), zero).alias("_total"), *[
+        F.coalesce(F.sum(F.when(F.col("error_class") == name, n)), zero).alias(f"_{i}")
+        for i, name in enumerate(CLASSES)])
     entries = F.array(*[
         F.struct(F.lit(name).alias("error_class"), F.col(f"_{i}").alias("count"),
                  F.try_divide(F.col(f"_{i}"), F.col("_total")).alias("percentage"))
@@ -197,8 +206,12 @@ def class_counts(classified: DataFrame) -> DataFrame:
 
 def top_reasons(classified: DataFrame, k=TOP_REASONS) -> DataFrame:
     """The first k distinct reasons of each class in order of first arrival."""
-    first = classified.filter(blank_to_null(F.col("error_reason")).isNotNull()).groupBy(
-        "error_class", "error_reason").agg(F.min(F.struct(*ARRIVAL)).alias("first_seen"))
+    return first_reasons(reason_counts(classified), k).drop("n")
+
+
+def first_reasons(counts: DataFrame, k=TOP_REASONS) -> DataFrame:
+    """The same from the counts per reason."""
+    first = counts.filter(blank_to_null(F.col("error_reason")).isNotNull())
     w = Window.partitionBy("error_class").orderBy("first_seen", "error_reason")
     return first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
@@ -230,7 +243,8 @@ def dominant_class(counts: DataFrame) -> DataFrame:
 
 def triage_report(classified: DataFrame) -> DataFrame:
     """One row per class that occurs: count, share, top reasons and sample messages."""
-    reasons = top_reasons(classified).groupBy("error_class").agg(
+    counts = reason_counts(classified)
+    reasons = first_reasons(counts).groupBy("error_class").agg(
         F.transform(
             F.sort_array(F.collect_list(F.struct("rank", "error_reason"))),
             lambda x: x.error_reason).alias("top_errors"))
@@ -239,6 +253,6 @@ def triage_report(classified: DataFrame) -> DataFrame:
     samples = sample_messages(classified).groupBy("error_class").agg(
         F.sort_array(F.collect_list(message)).alias("sample_messages"))
     return (
-        class_counts(classified)
+        class_counts(counts, F.col("n"))
         .join(reasons, "error_class", "left").join(samples, "error_class", "left")
         .withColumn("top_errors", F.coalesce("top_errors", F.array().cast("array<string>"))))

@@ -64,11 +64,16 @@ def error_type_partials(logs: DataFrame) -> DataFrame:
         F.expr(f"approx_top_k_accumulate(message, {SKETCH_ITEMS})").alias("message_state"))
 
 
-def merge_error_type_partials(partials: DataFrame, k=TOP_MESSAGES) -> DataFrame:
+def merge_error_type_states(partials: DataFrame) -> DataFrame:
+    """Partials of the same kind; a state stays bounded however many it was merged from."""
     return partials.groupBy(*ERROR_TYPE_KEYS).agg(
         F.sum("error_count").alias("error_count"),
-        F.expr(f"approx_top_k_combine(message_state, {SKETCH_ITEMS})").alias("message_state"),
-    ).select(
+        F.expr(f"approx_top_k_combine(message_state, {SKETCH_ITEMS})").alias("message_state"))
+
+
+def merge_error_type_partials(partials: DataFrame, k=TOP_MESSAGES) -> DataFrame:
+    """The summary of merged states."""
+    return merge_error_type_states(partials).select(
         *ERROR_TYPE_KEYS, "error_count",
         F.expr(f"transform(approx_top_k_estimate(message_state, {k}), x -> x.item)")
         .alias("sample_messages"))
@@ -140,7 +145,9 @@ def merge_errors_top(partials: DataFrame) -> DataFrame:
 
 
 # Rollup name: (partial of a batch, merge of partials into one). A merge gives partials again.
+# "error_messages" is exact and grows with the number of different messages; "error_types" is bounded.
 ROLLUPS = {
+    "error_types": (error_type_partials, merge_error_type_states),
     "error_messages": (error_message_counts, merge_error_message_counts),
     "service_errors": (service_error_matrix, merge_service_error_matrix),
     "service_health": (service_health, merge_service_health),

@@ -35,3 +35,23 @@ def health_signals(logs: DataFrame, as_of: Column,
     lag = (F.unix_micros(as_of) - F.unix_micros("max_ingested_at")) / 1_000_000
     return df.select("parse_errors_last_10min", "max_ingested_at",
                      lag.alias("ingestion_lag_seconds"), "total_logs_count")
+
+
+def stored_signals(logs: DataFrame, health: DataFrame, as_of: Column,
+                   minutes=UNPARSED_WINDOW_MINUTES, days=1) -> DataFrame:
+    """The same signals from a day-partitioned table and its ``service_health`` rollup.
+
+    Only the newest days are read; the total comes from the rollup. A null lag says that none of
+    the records of the last ``days`` days and today has come.
+    """
+    newest = logs.filter(F.col("event_date") >= F.date_sub(F.to_date(as_of), days))
+    start = as_of - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    recent = newest.agg(
+        F.count_if((F.col("is_parsed") == 0) & (F.col("created_at") >= start)).alias("parse_errors_last_10min"),
+        F.max("ingested_at").alias("max_ingested_at"))
+    total = health.agg(F.coalesce(F.sum("log_count"), F.lit(0)).alias("total_logs_count"))
+    lag = (F.unix_micros(as_of) - F.unix_micros("max_ingested_at")) / 1_000_000
+    stacked = recent.unionByName(total, allowMissingColumns=True)
+    row = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+    return row.select("parse_errors_last_10min", "max_ingested_at",
+                      lag.alias("ingestion_lag_seconds"), "total_logs_count")

@@ -346,6 +346,27 @@ def approximate_messages(spark, folder):
         F.size("sample_messages").cast("bigint").alias("messages"))
 
 
+@query("a6_sketch_winners", log(_ERRORS + """,
+kinds AS (SELECT day, etype, level, CASE WHEN event_id % 7 < 4 THEN 'often' WHEN event_id % 7 < 6 THEN 'at times'
+  ELSE 'seldom' END AS kind, count(*) AS n FROM err GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER w AS r, lead(n) OVER w AS next FROM kinds
+  WINDOW w AS (PARTITION BY day, etype, level ORDER BY n DESC))
+SELECT cast(day AS varchar) AS date, etype AS error_type, level, kind AS message, n FROM ranked
+WHERE r = 1 AND n > coalesce(next, 0)"""))
+def sketch_winners(spark, folder):
+    """The top message of merged states, where one message leads."""
+    kind = F.expr("CASE WHEN event_id % 7 < 4 THEN 'often' WHEN event_id % 7 < 6 THEN 'at times' ELSE 'seldom' END")
+    logs = inputs.logs(spark, folder, ["event_id"]).withColumn("message", kind)
+    parts = [rollups.error_type_partials(logs.filter(F.col("event_id") % 3 == h)) for h in (0, 1, 2)]
+    first = rollups.merge_error_type_states(parts[0].unionByName(parts[1]))
+    merged = rollups.merge_error_type_states(first.unionByName(parts[2]))
+    best = F.expr("approx_top_k_estimate(message_state, 2)")
+    return merged.select("date", "error_type", "level", best.alias("best")).filter(
+        (F.size("best") == 1) | (F.col("best")[0]["count"] > F.try_element_at("best", F.lit(2))["count"])).select(
+        F.col("date").cast("string").alias("date"), "error_type", "level",
+        F.col("best")[0]["item"].alias("message"), F.col("best")[0]["count"].alias("n"))
+
+
 _MATRIX = f"""SELECT cast(day AS varchar) AS date, source_service, etype AS error_type, level,
   count(*) AS error_count, {ts3('max(created_at)')} AS last_error_time FROM err GROUP BY ALL"""
 
@@ -470,6 +491,18 @@ def health_signals(spark, folder):
         "max_ingested_at", millis_text(F.col("max_ingested_at")))
 
 
+@query("h5_stored_signals", log(f"""SELECT count(*) FILTER (WHERE is_parsed = 0 AND
+  created_at >= TIMESTAMP '{inputs.AS_OF}' - INTERVAL 6 HOUR) AS parse_errors_last_10min,
+  {ts3(f"max(l.ingested_at) FILTER (WHERE cast(created_at AS date) >= cast(TIMESTAMP '{inputs.AS_OF}' AS date) - 1)")}
+    AS max_ingested_at,
+  count(*) AS total_logs_count FROM logs l"""))
+def stored_signals(spark, folder):
+    logs = stored_logs(spark, folder)
+    found = signals.stored_signals(logs, rollups.service_health(logs), as_of(), minutes=360)
+    return found.drop("ingestion_lag_seconds").withColumn(
+        "max_ingested_at", millis_text(F.col("max_ingested_at")))
+
+
 def stat(sql):
     return with_(oracle.STATS, sql)
 
@@ -544,8 +577,9 @@ def conservation(spark, folder):
 def flagship(spark, folder):
     """Access-log lines to stored records to the top errors of every service."""
     lines = inputs.clf_lines(spark, folder)
-    logs, _ = dispatch.run_text_job(lines, "clf", source="file", ingested_at=F.col("received"),
-                                    id_from=["event_id"])
+    service = F.concat(F.lit("svc-"), F.col("event_id") % 8)
+    logs, _ = dispatch.run_text_job(lines, "clf", source_service=service, source="file",
+                                    ingested_at=F.col("received"), id_from=["event_id"])
     path = scratch_dir(spark, "flagship")
     sink_tables.append_logs(logs, path)
     stored = source_tables.read_log_table(spark, path)
@@ -556,7 +590,7 @@ def flagship(spark, folder):
 
 
 query("flagship_lines_to_top_errors", with_(oracle.CLF, f"""
-SELECT 'access-log' AS source_service, 'Unknown' AS error_type, count(*) AS error_count,
+SELECT 'svc-' || event_id % 8 AS source_service, 'Unknown' AS error_type, count(*) AS error_count,
   {ts3("max(coalesce(event_time, date_trunc('milliseconds', received)))")} AS last_error_time,
   1 AS rank
-FROM clf_fields WHERE fits AND status BETWEEN 500 AND 599"""))(flagship)
+FROM clf_fields WHERE fits AND status BETWEEN 500 AND 599 GROUP BY event_id % 8"""))(flagship)

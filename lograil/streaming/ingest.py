@@ -29,6 +29,8 @@ FLUSH_INTERVAL = "5 seconds"
 _POSITION = ["topic", "partition", "offset"]
 _PLACE = ["partition", "offset", "timestamp"]
 ERROR_CHARS = 300
+# All rollups but the one that keeps every message.
+BOUNDED_ROLLUPS = tuple(name for name in ROLLUPS if name != "error_messages")
 
 
 def short_text(error: Exception) -> str:
@@ -49,7 +51,7 @@ class TopicIngest:
     spark: SparkSession
     root: str
     topic: str = RAW_TOPIC
-    rollups: tuple = tuple(ROLLUPS)
+    rollups: tuple = BOUNDED_ROLLUPS
     store: object = store_batch
     pause: object = time.sleep
     clock: object = field(default=time.monotonic)
