@@ -6,9 +6,9 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 # Distinct words a Python worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 # Text of one block, in bytes: what one grouped task holds at a time.
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 4_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 np.seterr(over="ignore")  # hashes wrap around
