@@ -6,17 +6,18 @@ positions, so each of them contains a sampled suffix in every document that hold
 
 1. Blocks of documents tell the buckets which minimisers they hold; a minimiser of one document
    only cannot start a repeat and goes. Hot ones come once per block, not once per document.
-2. The remaining suffixes carry REACH words to the right and to the left as word hashes. They are
-   sorted: by the words to the right, then by those to the left, read backwards.
-3. Each suffix is compared with its nearest neighbours of other documents, also in the order of the
-   words to the left among the suffixes of a minimiser; the match is extended to the right and to the
-   left. LEAST words or more in common are a repeat. The last suffix of each sorted part also meets
-   the first of the next.
-4. Matches that reach the end of the carried words overlap with those of the next sampled suffix;
-   overlapping matches of a document are merged into maximal spans.
-
-The sort is Spark's range partitioning over all of the key and the document, so that a passage in a
-third of all documents spreads over as many parts as it needs.
+2. The windows of LEAST words that selected a remaining suffix decide what repeats: every block sends
+   each of its different windows (128 bits) with its two smallest documents to the window's bucket,
+   which answers with the two smallest of all. No neighbourhood, chunk or part has a say in this.
+3. The suffixes that repeated windows selected carry REACH words to the right and to the left as word hashes. They are
+   sorted by the words to the right, then by those to the left, read backwards. Each is compared with its
+   nearest neighbours of other documents and the match is extended to the right and to the left; LEAST
+   words or more in common are a repeat. The last suffix of each sorted part also meets the first of
+   the next. Such a match only joins windows that are known to repeat.
+4. Overlapping matches of a document are merged into maximal spans.
+
+The sort is Spark's range partitioning over all of the key and the document, and windows are dealt by
+their own hash, so that a passage or phrase in a third of all documents spreads over many tasks.
 
 Defined cases: null text has no words; documents of fewer than LEAST words have no spans; rows of a
 null doc_id take no part; repeats inside one document, or between rows of one id, do not count; ties
@@ -29,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lograil.llm.common import (
-    Block, columns_of, dealt, ends_of, grams, minimisers, mixed, starts_of, with_blocks)
+    Block, columns_of, dealt, ends_of, grams, minimisers, mixed, per_row, sliding, starts_of, with_blocks)
 from lograil.llm.components import saved
 
 LEAST, SAMPLED = 50, 8
 REACH = LEAST
 # Sorted suffixes that are compared at a time.
 CHUNK = 20_000
-_STEP = np.uint64(0xD6E8FEB86659FD93)
+_STEP, _SECOND = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 SUFFIX = "anchor long, right binary, left binary, doc_id long, at long, n_left int, n_right int"
 MATCH = "doc_id long, start long, end long, other_id long"
 
@@ -75,14 +76,86 @@ def _shared_minimisers(table):
     return pa.table({"block": table["block"].take(out["bucket"]), "anchors": out["anchor"]})
 
 
-def _contexts(table, shared):
-    """The suffixes at shared minimisers, with the words around them as 4-byte hashes."""
-    if not len(table):
-        return pa.table({n: pa.array([], t) for n, t in _KINDS.items()})
-    block, at, anchor = _sampled(table)
-    known = np.frombuffer(b"".join(shared["anchors"].to_pylist()), np.uint64)
-    keep = np.isin(anchor, known)
-    at, anchor = at[keep], anchor[keep]
+def _hashed(block, at):
+    """The two hashes of the windows at some positions."""
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    return grams(block.hashes, LEAST)[at], grams(block.hashes, LEAST, _SECOND)[at]
+
+
+def _window_entries(buckets):
+    """The different windows of a block at shared minimisers, each with its two smallest documents."""
+    def run(table, shared):
+        if not len(table) or not len(shared):
+            return dealt(np.zeros(0, np.uint64), 0, **{c: np.zeros(0) for c in ("one", "two", "doc")})
+        block = Block(table, LEAST)
+        at = np.flatnonzero(block.windows)
+        least = sliding(grams(block.hashes, SAMPLED), LEAST - SAMPLED + 1, np.minimum)[at]
+        at = at[np.isin(least, np.frombuffer(b"".join(shared["anchors"].to_pylist()), np.uint64))]
+        one, two = _hashed(block, at)
+        doc = block.ids[block.doc[at]]
+        order = np.lexsort((doc, two, one))
+        order = order[starts_of(one[order], two[order], doc[order])]
+        starts = starts_of(one[order], two[order])
+        order = order[np.arange(len(order)) - per_row(starts, len(order), starts) < 2]
+        return dealt(mixed(one[order] + _STEP) % np.uint64(buckets), table["block"][0].as_py(), one=one[order],
+                     two=two[order], doc=doc[order])
+    return run
+
+
+def _window_bucket(table):
+    """The windows of several documents with the two smallest of these, for each block that holds them."""
+    one, two, doc, row = columns_of(table, "one", "two", "doc", kinds=("doc",))
+    order = np.lexsort((row, doc, two, one))
+    one, two, doc, row = (x[order] for x in (one, two, doc, row))
+    starts, n = starts_of(one, two), len(one)
+    low = per_row(starts, n, doc[starts])
+    second = np.minimum.reduceat(np.where(doc > low, doc, np.iinfo(np.int64).max), starts)
+    repeats = per_row(starts, n, doc[starts] < doc[ends_of(starts, n)])
+    one, two, low, second, row = (x[repeats] for x in (one, two, low, per_row(starts, n, second), row))
+    # A block that sent two documents is answered once.
+    order = np.lexsort((two, one, row))
+    order = order[starts_of(row[order], one[order], two[order])]
+    out = dealt(row[order], 0, one=one[order], two=two[order], low=low[order], second=second[order])
+    return pa.table({"block": table["block"].take(out["bucket"]), **{c: out[c] for c in ("one", "two", "low", "second")}})
+
+
+def _repeated(table, answers):
+    """A block, the positions of its repeated windows and the smallest other document that holds each."""
+    one, two, low, second, _ = columns_of(answers, "one", "two", "low", "second", kinds=("low", "second"))
+    order = np.lexsort((two, one))
+    one, two, low, second = (x[order] for x in (one, two, low, second))
+    block = Block(table, LEAST)
+    at = np.flatnonzero(block.windows)
+    mine, also = _hashed(block, at)
+    place = np.minimum(np.searchsorted(one, mine), len(one) - 1)
+    hit = (one[place] == mine) & (two[place] == also)
+    at, place = at[hit], place[hit]
+    return block, at, np.where(low[place] == block.ids[block.doc[at]], second[place], low[place])
+
+
+def _found(table, answers):
+    """The runs of repeated windows of a block as matches, and the suffixes that these windows selected."""
+    if not len(table) or not len(answers):
+        return _filled(pa.table({}))
+    block, at, other = _repeated(table, answers)
+    if not len(at):
+        return _filled(pa.table({}))
+    starts = starts_of(block.doc[at], at - np.arange(len(at)))
+    first = block.first[block.doc[at[starts]]]
+    runs = pa.table({
+        "doc_id": pa.array(block.ids[block.doc[at[starts]]]), "start": pa.array(at[starts] - first),
+        "end": pa.array(at[ends_of(starts, len(at))] - first + LEAST),
+        "other_id": pa.array(np.minimum.reduceat(other, starts))})
+    return pa.concat_tables([_filled(runs), _filled(_contexts(block, at))])
+
+
+def _contexts(block, windows):
+    """The suffixes that some windows selected, with the words around them as 4-byte hashes."""
+    some = np.zeros(len(block.windows), bool)
+    some[windows] = True
+    at = np.flatnonzero(minimisers(block.hashes, some, LEAST, SAMPLED))
+    anchor = grams(block.hashes, SAMPLED)[at]
     short = np.concatenate([np.zeros(REACH, ">u4"), (block.hashes >> np.uint64(32)).astype(">u4"), np.zeros(REACH, ">u4")])
     first = block.first[block.doc[at]]
     n_right, n_left = np.minimum(block.left[at], REACH), np.minimum(at - first, REACH)
@@ -117,22 +190,19 @@ def neighbour_matches(table: pa.Table) -> pa.Table:
     doc, at, n_left, n_right, anchor = (table[c].to_numpy() for c in ("doc_id", "at", "n_left", "n_right", "anchor"))
     right = np.frombuffer(b"".join(table["right"].to_pylist()), ">u4").reshape(n, REACH)
     left = np.frombuffer(b"".join(table["left"].to_pylist()), ">u4").reshape(n, REACH)
-    # The order they came in, and within a minimiser the one of the words to the left.
-    backwards = np.lexsort((np.arange(n), left.view(f"S{4 * REACH}").ravel(), anchor))
     found = []
-    for order in (np.arange(n), backwards):
-        runs = starts_of(anchor[order], doc[order])
-        ends = np.append(runs[1:], n)
-        each = np.repeat(np.arange(len(runs)), ends - runs)
-        for place in (runs[each] - 1, ends[each]):
-            here = np.flatnonzero((place >= 0) & (place < n))
-            a, b = order[here], order[place[here]]
-            met = anchor[a] == anchor[b]
-            a, b = a[met], b[met]
-            r, l = _equal(right, n_right, a, b), _equal(left, n_left, a, b)
-            hit = (r >= SAMPLED) & (r + l >= LEAST)
-            a, b, r, l = a[hit], b[hit], r[hit], l[hit]
-            found.append((doc[a], at[a] - l, at[a] + r, doc[b]))
+    runs = starts_of(anchor, doc)
+    ends = np.append(runs[1:], n)
+    each = np.repeat(np.arange(len(runs)), ends - runs)
+    for place in (runs[each] - 1, ends[each]):
+        a = np.flatnonzero((place >= 0) & (place < n))
+        b = place[a]
+        met = anchor[a] == anchor[b]
+        a, b = a[met], b[met]
+        r, l = _equal(right, n_right, a, b), _equal(left, n_left, a, b)
+        hit = (r >= SAMPLED) & (r + l >= LEAST)
+        a, b, r, l = a[hit], b[hit], r[hit], l[hit]
+        found.append((doc[a], at[a] - l, at[a] + r, doc[b]))
     return pa.table({c: pa.array(np.concatenate(x).astype(np.int64))
                      for c, x in zip(("doc_id", "start", "end", "other_id"), zip(*found))})
 
@@ -168,7 +238,7 @@ def _compare(batches):
 
 
 def _filled(found):
-    for name, kind in _KINDS.items():
+    for name, kind in {**dict.fromkeys(("start", "end", "other_id"), pa.int64()), **_KINDS}.items():
         if name not in found.column_names:
             found = found.append_column(name, pa.nulls(found.num_rows, kind))
     return found.select(_COLUMNS)
@@ -196,21 +266,28 @@ def matches(docs: DataFrame) -> DataFrame:
     by_block = blocks.groupBy("block")
     shared = (by_block.applyInArrow(_minimiser_entries(buckets), "bucket long, block long, anchor binary, low binary, high binary")
               .groupBy("bucket").applyInArrow(_shared_minimisers, "block long, anchors binary"))
-    suffixes = saved(by_block.cogroup(shared.groupBy("block")).applyInArrow(_contexts, SUFFIX), "suffixes")
+    entries = by_block.cogroup(shared.groupBy("block")).applyInArrow(
+        _window_entries(buckets), "bucket long, block long, one binary, two binary, doc binary")
+    answers = saved(entries.groupBy("bucket").applyInArrow(
+        _window_bucket, "block long, one binary, two binary, low binary, second binary"), "suffix-windows")
+    both = "start long, end long, other_id long, " + SUFFIX
+    repeats = saved(by_block.cogroup(answers.groupBy("block")).applyInArrow(_found, both), "suffixes")
+    windows = repeats.where(F.col("start").isNotNull()).select("doc_id", "start", "end", "other_id")
+    suffixes = repeats.where(F.col("start").isNull()).select(*_KINDS)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["anchor", "right", "left", "doc_id", "at"]
     parts = suffixes.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    found = saved(parts.mapInArrow(_compare, "start long, end long, other_id long, " + SUFFIX), "suffix-neighbours")
+    found = saved(parts.mapInArrow(_compare, both), "suffix-neighbours")
     inside = found.where(F.col("start").isNotNull()).select("doc_id", "start", "end", "other_id")
     # Two rows per part: their number is that of the parts, whatever the data.
     edges = found.where(F.col("start").isNull()).select(*_KINDS).repartition(1).sortWithinPartitions(*order)
-    return inside.union(edges.mapInArrow(_across, MATCH))
+    return windows.union(inside).union(edges.mapInArrow(_across, MATCH))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, start, end, n_words, other_id): maximal word spans that repeat across documents.
 
-    ``other_id`` is the smallest other document met in the span.
+    ``other_id`` is the smallest other document that holds LEAST words of the span in a row.
     """
     by_doc = Window.partitionBy("doc_id").orderBy("start", "end")
     merged = (matches(docs).groupBy("doc_id", "start", "end").agg(F.min("other_id").alias("other_id"))

@@ -199,6 +199,58 @@ def test_suffixes_of_a_hot_passage(spark, docs_of):
     assert {(r.doc_id, r.start, r.end) for r in got} == {(i, 30, 90) for i in range(300)}
 
 
+def brute_suffix_spans(pairs):
+    """(doc_id, start, end, other_id) of all maximal spans, by plain windows."""
+    rows = [(i, words(t)) for i, t in pairs if i is not None]
+    holders = {}
+    for i, w in rows:
+        for s in range(len(w) - 49):
+            holders.setdefault(tuple(w[s:s + 50]), set()).add(i)
+    spans = {}
+    for i, w in rows:
+        for s in range(len(w) - 49):
+            others = holders[tuple(w[s:s + 50])] - {i}
+            mine = spans.setdefault(i, [])
+            if others and mine and s <= mine[-1][1]:
+                mine[-1][1:] = [s + 50, min(mine[-1][2], *others)]
+            elif others:
+                mine.append([s, s + 50, min(others)])
+    return {(i, *x) for i, xs in spans.items() for x in xs}
+
+
+def spans_around_a_hot_phrase():
+    """Pairs that share 42 words before a phrase in all documents, which alone is sampled; and other documents."""
+    rng = random.Random(5)
+    fresh = lambda n: [f"q{rng.randrange(10**9)}" for _ in range(n)]
+    smallest = lambda p: int(suffixes.grams(suffixes_hash(p), 8)[0])
+    phrase = min((fresh(8) for _ in range(5000)), key=smallest)
+    docs = []
+    for _ in range(20):
+        shared = fresh(42)
+        docs += [fresh(5) + shared + phrase + fresh(60) for _ in range(2)]
+    docs += [fresh(60) + phrase + fresh(60) for _ in range(300)]
+    return [(i, " ".join(w)) for i, w in enumerate(docs)]
+
+
+def suffixes_hash(listed):
+    return np.array([xxhash.xxh64_intdigest(w.encode()) for w in listed], np.uint64)
+
+
+@pytest.mark.parametrize("partitions", ["4", "13"])
+@pytest.mark.parametrize("make", [spans_around_a_hot_phrase, lambda: [p for p in copies(2) + ODD if p[0] != 903]])
+def test_suffixes_are_exact(spark, docs_of, make, partitions):
+    """All spans and smallest other documents, however many parts the suffixes are sorted into."""
+    pairs = make()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = suffixes.repeated_spans(docs_of(pairs)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = brute_suffix_spans(pairs)
+    assert len(want) >= 20 and {(r.doc_id, r.start, r.end, r.other_id) for r in got} == want and len(got) == len(want)
+
+
 def brute_contaminated(pairs, items):
     total = len(items)
     known = [(i, decontaminate.words_of((t or "").encode())) for i, t in items]
