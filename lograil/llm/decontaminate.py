@@ -15,6 +15,8 @@ document is contaminated by an item if some window reaches SIMILARITY.
 
 The benchmark is taken in parts of PART items, each a broadcast of bounded size, with a pass over the
 documents for each; the documents are never shuffled and a hot passage costs no more than another.
+Weights come from the whole benchmark: with several parts, the shingles that two or more items hold
+(all others weigh the most) go to every part by hash, in broadcasts of COMMON shingles.
 
 Defined cases: null texts and items are empty; an empty item matches nothing; of several windows of
 a document the most similar, then the first counts for an item; a null item_id or doc_id is carried;
@@ -32,10 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lograil.llm.common import grams, hash_words, mixed, texts_of
+from lograil.llm.components import saved
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 23, 8
 PART = 20_000
+# Shingles of several items in one broadcast, 16 bytes each.
+COMMON = 2_000_000
 SHAPE = "doc_id long, item_id long, similarity double, start long, n_words long"
 # Bytes: digits, letters and all of non-ASCII make words.
 _GAPS = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
@@ -61,6 +66,8 @@ class Benchmark:
         self.items = [(i, w, shingles(w)) for i, w in items]
         self.weight_of = {s: log(1 + total / held[s]) for _, _, sh in self.items for s in sh}
         self.most = log(1 + total)
+        # By shingle size, sorted hashes and weights of the shingles that several items of any part hold.
+        self.common = []
         self.sizes = {}
         for at, (_, words, _) in enumerate(self.items):
             self.sizes.setdefault(len(words), []).append(at)
@@ -89,12 +96,27 @@ class Benchmark:
         return maybe[hit], at[hit]
 
     def weights(self, hashes, k):
-        """Weight of every shingle: the highest where no item holds it."""
+        """Weight of every shingle: the highest where no item of any part holds it."""
+        return self.weighed(hashes, k, *self.places(hashes, k))
+
+    def weighed(self, hashes, k, hits, at):
+        """Weights where the places in the table are known."""
         out = np.full(len(hashes), self.most)
-        hits, at = self.places(hashes, k)
+        for piece in self.common:
+            if k in piece:
+                table, weight = piece[k]
+                found = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
+                out = np.where(table[found] == hashes, weight[found], out)
         out[hits] = self.tables[k][1][at]
         return out
 
+    def weight(self, shingle: tuple) -> float:
+        """Weight of one shingle, by its words if an item of this part holds it."""
+        got = self.weight_of.get(shingle)
+        if got is None and self.common:
+            got = self.weights(grams(hash_words(shingle), len(shingle)), len(shingle))[0]
+        return self.most if got is None else got
+
     def fingerprint(self, hashes, weights):
         """Weighted SimHash of shingle hashes, as bytes."""
         bits = np.unpackbits(mixed(hashes).view(np.uint8).reshape(-1, 8), axis=1).astype(np.float64)
@@ -123,7 +145,7 @@ class Benchmark:
         """Weighted Jaccard of two shingle counters."""
         low = high = 0.0
         for s in item.keys() | window.keys():
-            w = self.weight_of.get(s, self.most)
+            w = self.weight(s)
             low += w * min(item[s], window[s])
             high += w * max(item[s], window[s])
         return low / high if high else 0.0
@@ -139,8 +161,7 @@ class Benchmark:
             hits, place = self.places(h, k)
             if not len(hits):
                 continue
-            weight = np.full(len(h), self.most)
-            weight[hits] = self.tables[k][1][place]
+            weight = self.weighed(h, k, hits, place)
             total = np.concatenate([[0.0], np.cumsum(weight)])
             for n, holds in self.tables[k][3].items():
                 own, m = hits[holds[place]], n - k + 1  # m shingles in a window
@@ -163,11 +184,12 @@ class Benchmark:
         return [(at, *x) for at, x in sorted(best.items())]
 
 
-def _part_matches(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
+def _part_matches(docs: DataFrame, benchmark: Benchmark, common: list) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(benchmark)
 
     def run(batches):
         known = model.value
+        known.common = [c.value for c in common]
         for batch in batches:
             out = [(d, known.items[at][0], got, s, n) for d, t in
                    zip(batch["doc_id"].to_pylist(), texts_of(batch["text"])) for at, got, s, n in known.matches(t)]
@@ -178,52 +200,83 @@ def _part_matches(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SHAPE)
 
 
-def _without_matches(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
+def _without_matches(docs: DataFrame, benchmark: Benchmark, common: list) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(benchmark)
 
     def run(batches):
+        known = model.value
+        known.common = [c.value for c in common]
         for batch in batches:
-            yield batch.filter(pa.array([not model.value.matches(t) for t in texts_of(batch["text"])], pa.bool_()))
+            yield batch.filter(pa.array([not known.matches(t) for t in texts_of(batch["text"])], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
 
 
 def _parts(benchmark: DataFrame, part: int):
-    """The benchmark as lookups of at most about ``part`` items.
+    """The benchmark as lookups of at most about ``part`` items, and broadcasts of the shingles they share.
 
     Shingle frequencies are counted over the whole benchmark; its items come to the driver part by part.
     """
     total = benchmark.count()
     parts = total // part + 1
     dealt = benchmark.select("item_id", "text", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)).alias("part"))
+    common = common_weights(dealt, total) if parts > 1 else []
     for p in range(parts):
         rows = dealt.where(F.col("part") == p).orderBy("item_id", "text").collect()
         items = [(r.item_id, w) for r in rows if (w := words_of((r.text or "").encode()))]
         if items:
             held = Counter(s for _, w in items for s in shingles(w)) if parts == 1 else frequencies(dealt, p)
-            yield Benchmark(items, held, total)
+            yield Benchmark(items, held, total), common
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, part: int = PART) -> DataFrame:
     """(doc_id, item_id, similarity, start, n_words): the best window of each item in each document."""
-    found = [_part_matches(docs, known) for known in _parts(benchmark, part)]
+    found = [_part_matches(docs, known, common) for known, common in _parts(benchmark, part)]
     return functools.reduce(DataFrame.union, found, docs.sparkSession.createDataFrame([], SHAPE))
 
 
-def frequencies(dealt: DataFrame, part: int) -> Counter:
-    """In how many items of all parts each shingle of one part stands."""
+def _counted(dealt: DataFrame, *more) -> DataFrame:
+    """(s, n, more...): in how many items of all parts each shingle stands."""
     def run(batches):
         for batch in batches:
             out = [(p, b"\x00".join(s)) for p, t in zip(batch["part"].to_pylist(), texts_of(batch["text"]))
                    for s in shingles(words_of(t))]
             p, s = list(zip(*out)) or ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(s, pa.binary())], ["part", "s"])
-    counts = dealt.select("part", "text").mapInArrow(run, "part long, s binary").groupBy("s").agg(
-        F.count("*").alias("n"), F.max((F.col("part") == part).cast("int")).alias("own"))
+    return dealt.select("part", "text").mapInArrow(run, "part long, s binary").groupBy("s").agg(
+        F.count("*").alias("n"), *more)
+
+
+def frequencies(dealt: DataFrame, part: int) -> Counter:
+    """In how many items of all parts each shingle of one part stands."""
+    counts = _counted(dealt, F.max((F.col("part") == part).cast("int")).alias("own"))
     return Counter({tuple(bytes(r.s).split(b"\x00")): r.n for r in counts.where("own = 1").select("s", "n").collect()})
 
 
+def common_weights(dealt: DataFrame, total: int) -> list:
+    """Broadcasts of at most about COMMON shingles that several items hold: by size, sorted hashes and weights."""
+    def run(batches):
+        for batch in batches:
+            listed = [bytes(s).split(b"\x00") for s in batch["s"].to_pylist()]
+            h = np.array([grams(hash_words(s), len(s))[0] for s in listed], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array([len(s) for s in listed], pa.int64()),
+                                              pa.array(h.view(np.int64)), batch["n"]], ["k", "h", "n"])
+    spark = dealt.sparkSession
+    hashes = saved(_counted(dealt).where("n > 1").mapInArrow(run, "k long, h long, n long"), "common-shingles")
+    pieces, out = hashes.count() // COMMON + 1, []
+    for p in range(pieces):
+        rows = hashes.where(F.pmod("h", F.lit(pieces)) == p).toArrow()
+        k, h, n = (rows[c].to_numpy() for c in ("k", "h", "n"))
+        h, piece = h.view(np.uint64), {}
+        for size in np.unique(k).tolist():
+            order = np.flatnonzero(k == size)
+            order = order[np.argsort(h[order])]
+            piece[size] = h[order], np.log(1 + total / n[order])
+        out.append(spark.sparkContext.broadcast(piece))
+    return out
+
+
 def kept_documents(docs: DataFrame, benchmark: DataFrame, part: int = PART) -> DataFrame:
     """The documents in which no item stands; every column as it was."""
-    for known in _parts(benchmark, part):
-        docs = _without_matches(docs, known)
+    for known, common in _parts(benchmark, part):
+        docs = _without_matches(docs, known, common)
     return docs

@@ -299,6 +299,23 @@ def test_decontamination(spark, docs_of, part):
     assert decontaminate.contaminated(df, bench.where("false")).count() == 0
 
 
+def test_decontamination_weighs_by_the_whole_benchmark(spark, docs_of, monkeypatch):
+    """Changed words that are template text of items in other parts weigh as little as with one part."""
+    monkeypatch.setattr(decontaminate, "COMMON", 15)  # two broadcasts
+    rng = random.Random(3)
+    fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    template = fresh(30)
+    own = [fresh(60) for _ in range(20)]
+    items = [(i, " ".join(w)) for i, w in enumerate(own)]
+    items += [(100 + i, " ".join(template + fresh(20))) for i in range(12)]
+    pairs = [(i, " ".join(fresh(10) + w[:53] + template[:7] + fresh(10))) for i, w in enumerate(own)]
+    want = brute_contaminated(pairs, items)
+    assert len(want) == len(own) and all(x[2] < 0.82 for x in want)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(docs_of(pairs), bench, 5).collect()
+    assert sorted((str(r.doc_id), str(r.item_id), round(r.similarity, 9), r.start) for r in got) == want
+
+
 def brute_topk(rows, k):
     vectors = {}
     for i, v in rows:
