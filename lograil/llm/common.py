@@ -93,6 +93,12 @@ def prepared(spark):
     return spark
 
 
+def usual_length(vectors: DataFrame, name: str) -> int:
+    """The most frequent length of an array column, of equally frequent ones the longest; 0 without rows."""
+    most = vectors.groupBy(F.size(name).alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+    return most.d if most else 0
+
+
 def with_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
     """Documents dealt by hash into blocks of about BLOCK_BYTES of text (column block); how many blocks.
 

@@ -2,7 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lograil.llm import bpe, chat, decontaminate, langid, licenses, quality, simhash, substring, suffixes, topk
+from lograil.llm import (
+    bpe, chat, decontaminate, langid, licenses, middle, multiindex, quality, simhash, substring, suffixes, topk,
+    whitening)
 from lograil.llm.common import prepared
 from lograil.llm.sql import ORACLES  # noqa: F401
 
@@ -83,3 +85,21 @@ def op1(spark, folder):
 def op9(spark, folder):
     """Every span of fifty or more words that also stands in another document."""
     return suffixes.repeated_spans(table(spark, folder, "documents"))
+
+
+@query("op11_whitening")
+def op11(spark, folder):
+    """Every embedding on the first components of all, whitened."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query("op12_middle")
+def op12(spark, folder):
+    """Every document with a middle part moved to its end, as digests."""
+    return middle.digests(table(spark, folder, "documents"))
+
+
+@query("op13_neighbours")
+def op13(spark, folder):
+    """The twenty nearest vectors that the index finds for every query vector."""
+    return multiindex.nearest(table(spark, folder, "embeddings"))
