@@ -105,7 +105,13 @@ def conservation(sent: DataFrame, stored: DataFrame, refused: DataFrame,
         "missing", F.col("sent") - F.col("stored") - F.col("rejected"))
 
 
-def observed(df: DataFrame, name="ingest", rejected: Column = None) -> DataFrame:
-    """Attach live counters that a query listener can read while the job runs."""
+OBSERVED = "ingest"
+
+
+def observed(df: DataFrame, name=OBSERVED, rejected: Column = None) -> DataFrame:
+    """Attach counters of the rows that pass; ``name`` may be an Observation.
+
+    A named counter of a stream is part of its progress reports, which a listener gets while it runs.
+    """
     bad = rejected if rejected is not None else F.col("errors").isNotNull()
     return df.observe(name, F.count("*").alias("consumed"), F.count_if(bad).alias("rejected"))

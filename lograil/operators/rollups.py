@@ -155,6 +155,22 @@ ROLLUPS = {
     "errors_top": (errors_top, merge_errors_top),
 }
 
+# The time column of each rollup's rows that tells their month; one has none, and is kept by month besides.
+ROLLUP_TIMES = {"error_types": "date", "error_messages": "date", "service_errors": "date",
+                "service_health": "hour", "hourly_volume": "hour"}
+
+
+def monthly_partials(name: str, logs: DataFrame) -> DataFrame:
+    """The partials of a rollup with the month (``yyyy-MM``) that each belongs to."""
+    partial, _ = ROLLUPS[name]
+    if name in ROLLUP_TIMES:
+        return partial(logs).withColumn("month", F.date_format(ROLLUP_TIMES[name], "yyyy-MM"))
+    month = F.date_format("created_at", "yyyy-MM").alias("month")
+    found = logs.filter((F.col("level") == "ERROR") & F.col("error_type").isNotNull())
+    return found.groupBy(*TOP_ERROR_KEYS, month).agg(
+        F.count("*").alias("error_count"), F.max("created_at").alias("last_seen"))
+
+
 # --- dashboards --------------------------------------------------------------------------------
 
 

@@ -1,7 +1,11 @@
 """Health signals of the log table at a given time."""
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lograil.sinks.commits import CommitTable
+
 UNPARSED_WINDOW_MINUTES = 10
 
 
@@ -37,21 +41,27 @@ def health_signals(logs: DataFrame, as_of: Column,
                      lag.alias("ingestion_lag_seconds"), "total_logs_count")
 
 
-def stored_signals(logs: DataFrame, health: DataFrame, as_of: Column,
-                   minutes=UNPARSED_WINDOW_MINUTES, days=1) -> DataFrame:
-    """The same signals from a day-partitioned table and its ``service_health`` rollup.
+def recent_folders(table: CommitTable, start: dt.datetime) -> DataFrame:
+    """The rows of the folders that hold unparsed records and reach past ``start``; others stay closed."""
+    def wanted(part, stats):
+        return int(stats["unparsed"]) > 0 and dt.datetime.fromisoformat(stats["max_created_at"]) >= start
+    return table.read(only=wanted)
+
 
-    Only the newest days are read; the total comes from the rollup. A null lag says that none of
-    the records of the last ``days`` days and today has come.
+def table_signals(table: CommitTable, as_of: Column, minutes=UNPARSED_WINDOW_MINUTES) -> DataFrame:
+    """The same signals of a stored log table, from the statistics that its commits keep.
+
+    Total and newest ingest time come from the commit log alone; rows are read only of folders that
+    hold unparsed records of the last minutes. It equals ``health_signals`` over all rows.
     """
-    newest = logs.filter(F.col("event_date") >= F.date_sub(F.to_date(as_of), days))
-    start = as_of - F.expr(f"INTERVAL {int(minutes)} MINUTES")
-    recent = newest.agg(
-        F.count_if((F.col("is_parsed") == 0) & (F.col("created_at") >= start)).alias("parse_errors_last_10min"),
-        F.max("ingested_at").alias("max_ingested_at"))
-    total = health.agg(F.coalesce(F.sum("log_count"), F.lit(0)).alias("total_logs_count"))
-    lag = (F.unix_micros(as_of) - F.unix_micros("max_ingested_at")) / 1_000_000
-    stacked = recent.unionByName(total, allowMissingColumns=True)
+    now = table.spark.range(1).select(as_of.cast("timestamp").alias("now")).first()["now"]
+    start = now - dt.timedelta(minutes=minutes)
+    recent = recent_folders(table, start).agg(
+        F.count_if((F.col("is_parsed") == 0) & (F.col("created_at") >= F.lit(start))).alias("parse_errors_last_10min"))
+    known = table.entries().agg(
+        F.max("max_ingested_at").alias("max_ingested_at"), F.coalesce(F.sum("rows"), F.lit(0)).alias("total_logs_count"))
+    stacked = recent.unionByName(known, allowMissingColumns=True)
     row = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+    lag = (F.unix_micros(F.lit(now)) - F.unix_micros("max_ingested_at")) / 1_000_000
     return row.select("parse_errors_last_10min", "max_ingested_at",
                       lag.alias("ingestion_lag_seconds"), "total_logs_count")

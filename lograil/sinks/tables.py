@@ -1,12 +1,12 @@
-"""Table sinks: append to the day-partitioned log table, idempotent batch folders, retention."""
+"""Table sinks: the committed, day-partitioned log table, idempotent batch folders, retention."""
 
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lograil.operators.validate import with_event_date
-from lograil.schema import LOG_COLUMNS
-from lograil.session import scratch_dir
+from lograil.schema import LOG_COLUMNS, LOG_SCHEMA
+from lograil.sinks.commits import CommitTable
 
 # Columns searched by equality that the sort order does not serve.
 BLOOM_COLUMNS = ("trace_id", "user_id")
@@ -21,32 +21,40 @@ def bloom_options() -> dict:
     return options
 
 
-def append_logs(logs: DataFrame, path: str, rebalance=True) -> None:
-    """Append log records, partitioned by day and sorted by source, level and time.
+LOG_ORDER = ("source", "level", "created_at")
+# Statistics kept of every folder of the log table.
+LOG_STATS = {
+    "min_created_at": ("timestamp", "min(created_at)"),
+    "max_created_at": ("timestamp", "max(created_at)"),
+    "max_ingested_at": ("timestamp", "max(ingested_at)"),
+    "unparsed": ("bigint", "count_if(is_parsed = 0)"),
+}
 
-    ``rebalance`` spreads the rows by day so that each day gets few, evenly sized files; adaptive
-    execution splits a day that is larger than the others. Small micro-batches skip it.
+
+def log_table(spark: SparkSession, path: str) -> CommitTable:
+    """The log table at a path: days of committed folders."""
+    return CommitTable(spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LOG_SCHEMA),
+                       stats=LOG_STATS)
+
+
+def append_logs(logs: DataFrame, path: str) -> None:
+    """Append log records, partitioned by day and sorted by source, level and time, with Bloom filters.
+
+    The rows are spread by day so that each day gets few, evenly sized files; adaptive execution
+    splits a day that is larger than the others.
     """
-    df = with_event_date(logs.select(*LOG_COLUMNS))
-    if rebalance:
-        df = df.hint("rebalance", "event_date")
-    df = df.sortWithinPartitions("event_date", "source", "level", "created_at")
-    df.write.mode("append").option("compression", "zstd").options(**bloom_options()).partitionBy(
-        "event_date").parquet(path)
+    table = log_table(logs.sparkSession, path)
+    table.options = bloom_options()
+    table.append(with_event_date(logs.select(*LOG_COLUMNS)), LOG_ORDER)
 
 
-def store_batch(logs: DataFrame, path: str, batch_id: int) -> None:
-    """One micro-batch of log records into the day-partitioned table.
+def store_batch(logs: DataFrame, path: str, batch_id: int, writer="stream") -> None:
+    """One micro-batch of a stream into the log table; a batch that was stored before adds nothing.
 
-    Day first, then batch: days prune and expire as in any log table. Each day of the batch gets one
-    file, or more if it is large. Only this batch's folders are replaced, when it runs again; an
-    attempt that fails leaves nothing that readers see.
+    ``writer`` names the stream, so that several may write into one table.
     """
-    df = with_event_date(logs).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    df = df.hint("rebalance", "event_date").sortWithinPartitions(
-        "event_date", "source", "level", "created_at")
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
-        "compression", "zstd").partitionBy("event_date", "batch_id").parquet(path)
+    log_table(logs.sparkSession, path).append(
+        with_event_date(logs.select(*LOG_COLUMNS)), LOG_ORDER, writer, batch_id)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -54,35 +62,12 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/batch_id={batch_id}")
 
 
-def compact_day(spark: SparkSession, path: str, day: str, upto: int) -> None:
-    """Rewrite the batches up to ``upto`` of one day as few large files with Bloom filters.
+def compact_day(spark: SparkSession, path: str, day: str) -> int | None:
+    """Rewrite one day as few large files with Bloom filters, in one commit.
 
-    The merged rows take the place of batch ``upto``; the smaller batches' folders are removed after
-    it is complete. Run it on days that are closed, while no reader lists the day.
+    The stream may go on meanwhile, and repeat batches that are merged here.
     """
-    days = spark.read.option("basePath", path).parquet(f"{path}/event_date={day}")
-    merged = saved_copy(days.filter(F.col("batch_id") <= upto), "compacted")
-    merged.withColumn("batch_id", F.lit(upto).cast("bigint")).hint("rebalance").sortWithinPartitions(
-        "source", "level", "created_at").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").option("compression", "zstd").options(
-        **bloom_options()).partitionBy("event_date", "batch_id").parquet(path)
-    fs, root = _file_system(spark, f"{path}/event_date={day}")
-    for status in fs.listStatus(root):
-        number = status.getPath().getName().removeprefix("batch_id=")
-        if number.isdigit() and int(number) < upto:
-            fs.delete(status.getPath(), True)
-
-
-def saved_copy(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a written table of its own, so that its source may be replaced."""
-    target = scratch_dir(df.sparkSession, name)
-    df.write.parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(target)
-
-
-def _file_system(spark: SparkSession, path: str):
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+    return log_table(spark, path).compact(day, order=LOG_ORDER, options=bloom_options())
 
 
 def retained(logs: DataFrame, as_of, days=RETENTION_DAYS) -> DataFrame:
@@ -97,18 +82,11 @@ def retained(logs: DataFrame, as_of, days=RETENTION_DAYS) -> DataFrame:
 def drop_expired_days(spark: SparkSession, path: str, as_of, days=RETENTION_DAYS) -> list[str]:
     """Remove the day partitions that lie wholly before the retention period.
 
-    Only directory names are read; returns the removed days.
+    Only the commit log is read; returns the removed days.
     """
     oldest = (_timestamp(as_of) - dt.timedelta(days=days)).date().isoformat()
-    fs, root = _file_system(spark, path)
-    removed = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        day = name.removeprefix("event_date=")
-        if name != day and day < oldest:
-            fs.delete(status.getPath(), True)
-            removed.append(day)
-    return sorted(removed)
+    table = log_table(spark, path)
+    return table.retire({day for day, _ in table.snapshot().live if day < oldest})
 
 
 def _timestamp(value) -> dt.datetime:

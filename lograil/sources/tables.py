@@ -2,13 +2,15 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lograil.schema import LOG_COLUMNS
+from lograil.sinks.tables import log_table
 
 
-def read_log_table(spark: SparkSession, path: str) -> DataFrame:
-    """The log table: its columns plus the partition column ``event_date``."""
-    df = spark.read.parquet(path)
-    return df.select(*LOG_COLUMNS, *[c for c in df.columns if c not in LOG_COLUMNS])
+def read_log_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The committed rows of the log table: its columns plus the partition column ``event_date``.
+
+    The frame keeps to the version that it was made with, whatever is committed later.
+    """
+    return log_table(spark, path).read(version)
 
 
 def read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:

@@ -1,30 +1,37 @@
 """Streaming ingest: topic messages to the log table, dead letters, rollup partials and statistics.
 
-Each micro-batch writes folders named after its batch id and replaces them when it runs again, so
-a batch that is repeated after a failure counts once. Offsets live in the query's checkpoint and
-advance only after the batch function returned.
+Each micro-batch commits what it writes under its own number, so a batch that is repeated after a
+failure counts once: records and rollups keep the first commit, dead letters and statistics the last.
+Offsets live in the query's checkpoint and advance only after the batch function returned.
 """
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from py4j.protocol import Py4JError
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lograil.operators import ingest, jsonlog
+from lograil.operators.metrics import observed
 from lograil.operators.rollups import ROLLUPS
 from lograil.operators.validate import accepted, finish, rejected
 from lograil.schema import BATCH_STATS_SCHEMA, LOG_COLUMNS
+from lograil.sinks.commits import CommitTable
 from lograil.sinks.tables import store_batch, write_batch
-from lograil.sources.tables import read_batches
+from lograil.sinks.topics import append_topic, topic_table
 from lograil.sources.topics import DLQ_TOPIC, RAW_TOPIC, topic_text
+from lograil.streaming.rollups import write_rollup
 
 # Attempts per batch, pauses between them in seconds, and the flush interval.
 MAX_ATTEMPTS = 3
 PAUSES = (1, 2)
 FLUSH_INTERVAL = "5 seconds"
+# Writes of a batch that run side by side.
+WRITERS = 4
 
 _POSITION = ["topic", "partition", "offset"]
 _PLACE = ["partition", "offset", "timestamp"]
@@ -52,13 +59,18 @@ class TopicIngest:
     root: str
     topic: str = RAW_TOPIC
     rollups: tuple = BOUNDED_ROLLUPS
-    store: object = store_batch
+    store: object = None
     pause: object = time.sleep
     clock: object = field(default=time.monotonic)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def writer(self) -> str:
+        """Who commits: the stream as its checkpoint knows it, so that batch numbers are its own."""
+        query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        return f"{self.topic}/{query or 'batches'}"
+
     def prepare(self, topic: DataFrame) -> DataFrame:
         """Topic rows (stream or batch) to checked records."""
         return finish(
@@ -70,21 +82,20 @@ class TopicIngest:
         self(self.prepare(topic), batch_id)
 
     def __call__(self, done: DataFrame, batch_id: int) -> None:
-        started = self.clock()
-        # Read several times below; recomputed from the source if an executor is lost.
-        done = done.persist(StorageLevel.MEMORY_AND_DISK)
+        started, seen, writer = self.clock(), Observation(), self.writer()
+        # Read several times below; recomputed from the source if an executor is lost. The counts come
+        # from the first pass; rows that are computed again after such a loss may count again there,
+        # while the commit log has the exact number of rows stored.
+        done = observed(done, seen).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            counts = done.agg(
-                F.count("*").alias("consumed"),
-                F.count_if(F.col("errors").isNotNull()).alias("rejected")).first()
             placed = accepted(done, _PLACE)
             logs = placed.select(*LOG_COLUMNS)
-            failed, problem, write_seconds = self._store(logs, batch_id)
-            self._write_dead_letters(done, placed, problem, batch_id)
-            stored = logs if problem is None else logs.limit(0)
-            for name in self.rollups:
-                partial, _ = ROLLUPS[name]
-                write_batch(partial(stored), self.path(f"rollups/{name}"), batch_id)
+            failed, problem, write_seconds = self._store(logs, batch_id, writer)
+            jobs = [lambda: self._write_dead_letters(done, placed, problem, batch_id, writer)]
+            if problem is None:
+                jobs += [partial(write_rollup, logs, self.root, name, writer, batch_id) for name in self.rollups]
+            self._at_once(jobs)
+            counts = seen.get
             good = counts["consumed"] - counts["rejected"]
             self._write_stats(batch_id, (
                 batch_id, self.topic, counts["consumed"], good if problem is None else 0,
@@ -94,12 +105,19 @@ class TopicIngest:
         finally:
             done.unpersist()
 
-    def _store(self, logs, batch_id):
+    def _at_once(self, jobs) -> None:
+        """Independent writes of a batch run side by side: each is a short job of its own."""
+        with ThreadPoolExecutor(WRITERS) as pool:
+            for future in [pool.submit(inheritable_thread_target(self.spark)(job)) for job in jobs]:
+                future.result()
+
+    def _store(self, logs, batch_id, writer):
         """Write the logs; after the last failed attempt return (type, text) of the problem."""
         for attempt in range(1, MAX_ATTEMPTS + 1):
             started = self.clock()
             try:
-                self.store(logs, self.path("logs"), batch_id)
+                store = self.store or partial(store_batch, writer=writer)
+                store(logs, self.path("logs"), batch_id)
                 return attempt - 1, None, self.clock() - started
             except Exception as error:  # noqa: BLE001 - any failure must end in the queue
                 if is_storage_failure(error):
@@ -112,22 +130,22 @@ class TopicIngest:
                 self.pause(PAUSES[attempt - 1])
         return MAX_ATTEMPTS, problem, self.clock() - started
 
-    def _write_dead_letters(self, done, placed, problem, batch_id):
+    def _write_dead_letters(self, done, placed, problem, batch_id, writer):
         """Dead letters as topic records; a letter keeps the position of the message it stands for."""
         refused = rejected(done, "value", [*_POSITION, "timestamp"])
         letters = ingest.message_reject_envelopes(refused, F.col("timestamp"), _POSITION, _PLACE)
         if problem is not None:
             letters = ingest.union_envelopes(letters, ingest.failed_batch_envelopes(
                 placed, F.col("ingested_at"), problem[1], problem[0], _PLACE))
-        topic = letters.select(
+        append_topic(letters.select(
             F.encode("key", "UTF-8").alias("key"), F.encode("value", "UTF-8").alias("value"),
             F.lit(DLQ_TOPIC).alias("topic"), *_PLACE, F.lit(0).alias("timestampType"),
-            F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"))
-        write_batch(topic, self.path("dead_letters"), batch_id)
+            F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers")),
+            self.path("dead_letters"), writer, batch_id)
 
-    def dead_letters(self) -> DataFrame:
-        """The dead-letter queue that this stream wrote."""
-        return read_batches(self.spark, self.path("dead_letters"))
+    def dead_letters(self) -> CommitTable:
+        """The dead-letter queue that this stream wrote, as a stored topic."""
+        return topic_table(self.spark, self.path("dead_letters"))
 
     def _write_stats(self, batch_id, row):
         frame = self.spark.createDataFrame([row], BATCH_STATS_SCHEMA).drop("batch_id")
@@ -135,17 +153,8 @@ class TopicIngest:
 
     def start(self, stream: DataFrame, checkpoint: str, available_now=False):
         """Run the stream: every few seconds over all that has come, or once over all that is there."""
-        parsed = self.prepare(stream)
+        parsed = observed(self.prepare(stream))
         writer = parsed.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
         if available_now:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=FLUSH_INTERVAL).start()
-
-
-def progress_frame(spark: SparkSession, query) -> DataFrame:
-    """The recent progress reports of a running query as rows."""
-    rows = [
-        (p["batchId"], p["numInputRows"], float(p["durationMs"].get("triggerExecution", 0)) / 1000)
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(rows, "batch_id long, consumed long, flush_seconds double")

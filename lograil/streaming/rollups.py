@@ -1,69 +1,58 @@
-"""Rollups kept from a stream: merge on read, compaction, and final hourly rows."""
+"""Rollups kept from a stream: months of committed partials, merge on read, compaction, and final hourly rows."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lograil.operators.rollups import ROLLUPS
+from lograil.operators.rollups import ROLLUPS, monthly_partials
 from lograil.schema import LOG_SCHEMA
+from lograil.sinks.commits import CommitTable
 
+_schemas: dict[str, str] = {}
 
-def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers of the complete folders ``prefix=N`` below a path (names only are read)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith(f"{prefix}=") and fs.exists(done):
-            found.append(int(name.split("=", 1)[1]))
-    return sorted(found)
-
-
-def _partials(spark, root, name, upto=None) -> DataFrame:
-    """Partials of all batches: the newest compacted state and the batches after it."""
-    base = f"{root}/rollups/{name}"
-    states = _numbers(spark, f"{base}/compacted", "upto")
-    batches = _numbers(spark, base, "batch_id")
-    start = states[-1] if states else -1
-    wanted = [b for b in batches if b > start and (upto is None or b <= upto)]
-    paths = [f"{base}/batch_id={b}" for b in wanted]
-    if states:
-        paths.append(f"{base}/compacted/upto={start}")
-    if not paths:
-        partial, _ = ROLLUPS[name]
-        return partial(spark.createDataFrame([], LOG_SCHEMA))
-    return spark.read.parquet(*paths)
-
-
-def read_rollup(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A rollup as of now: the partials of all batches merged by key."""
+
+def rollup_table(spark: SparkSession, root: str, name: str) -> CommitTable:
+    """The stored partials of a rollup, parted by month."""
+    if name not in _schemas:
+        empty = monthly_partials(name, spark.createDataFrame([], LOG_SCHEMA)).drop("month")
+        _schemas[name] = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in empty.schema)
+    return CommitTable(spark, f"{root}/rollups/{name}", _schemas[name], key="month", kind="string")
+
+
+def write_rollup(logs: DataFrame, root: str, name: str, writer: str, batch_id: int) -> None:
+    """The partials of one batch, per month; a batch that has been written adds nothing."""
+    table = rollup_table(logs.sparkSession, root, name)
+    table.append(monthly_partials(name, logs), writer=writer, batch_id=batch_id)
+
+
+def read_partials(spark: SparkSession, root: str, name: str, months=None) -> DataFrame:
+    """The partials of some months, or of all, without the month."""
+    wanted = None if months is None else set(months)
+    return rollup_table(spark, root, name).read(
+        only=lambda month, _: wanted is None or month in wanted).drop("month")
+
+
+def read_rollup(spark: SparkSession, root: str, name: str, months=None) -> DataFrame:
+    """A rollup as of now: the partials of all batches merged by key. Months not asked for stay closed."""
     _, merge = ROLLUPS[name]
-    return merge(_partials(spark, root, name))
+    return merge(read_partials(spark, root, name, months))
 
 
-def compact_rollup(spark: SparkSession, root: str, name: str, upto: int) -> None:
-    """Merge all partials up to a finished batch into one state that readers use instead.
+def compact_rollup(spark: SparkSession, root: str, name: str, month: str | None = None) -> list[str]:
+    """Merge the partials of a month, or of every month, into one state each; returns the merged months.
 
-    The state counts only once its folder is complete. The batches and the states before it are
-    removed then, so that what a reader lists does not grow with the table's age.
+    Each month is one commit: readers see its partials or its state, and batches that come or repeat
+    meanwhile count once.
     """
     _, merge = ROLLUPS[name]
-    merge(_partials(spark, root, name, upto)).write.mode("overwrite").option(
-        "compression", "zstd").parquet(f"{root}/rollups/{name}/compacted/upto={upto}")
-    base = f"{root}/rollups/{name}"
-    _remove(spark, base, "batch_id", [n for n in _numbers(spark, base, "batch_id") if n <= upto])
-    _remove(spark, f"{base}/compacted", "upto",
-            [n for n in _numbers(spark, f"{base}/compacted", "upto") if n < upto])
-
-
-def _remove(spark: SparkSession, path: str, prefix: str, numbers: list[int]) -> None:
-    jvm = spark.sparkContext._jvm
-    for n in numbers:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{prefix}={n}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    table = rollup_table(spark, root, name)
+    months = sorted({m for m, _ in table.snapshot().live}) if month is None else [month]
+    return [m for m in months
+            if table.compact(m, lambda rows, m=m: merge(rows.drop("month")).withColumn("month", F.lit(m))) is not None]
+
+
+def retire_rollup(spark: SparkSession, root: str, name: str, before: str) -> list[str]:
+    """Remove the months before a month (``yyyy-MM``); only the commit log is read."""
+    table = rollup_table(spark, root, name)
+    return table.retire({m for m, _ in table.snapshot().live if m < before})
 
 
 def hourly_health_stream(logs: DataFrame, delay="1 hour") -> DataFrame:

@@ -158,12 +158,12 @@ def test_spark_write_errors_are_storage_failures(spark, tmp_path):
     (tmp_path / "out" / "logs").write_text("a file where the table should be")
     job = TopicIngest(spark, str(tmp_path / "out"), rollups=(), pause=lambda seconds: None)
     job.run_batch(topic_rows(spark, [good, good, "junk"]), 0)
-    letters = [json.loads(bytes(r["value"])) for r in job.dead_letters().collect()]
+    letters = [json.loads(bytes(r["value"])) for r in job.dead_letters().read().collect()]
     assert sorted(x["error_type"] for x in letters) == ["clickhouse_insert_failure"] * 2 + ["message_parse_error"]
     assert all(len(x["error_message"]) < 400 and "\n" not in x["error_message"] for x in letters)
 
 
-def test_repeated_batch_replaces_only_itself(spark, tmp_path):
+def test_repeated_batch_adds_nothing(spark, tmp_path):
     path, logs = str(tmp_path / "t"), make_logs(spark, 60)
     for batch in (0, 1, 1):
         sinks.store_batch(logs, path, batch)
@@ -172,9 +172,9 @@ def test_repeated_batch_replaces_only_itself(spark, tmp_path):
     days = stored.select("event_date").distinct().count()
     assert len(stored.inputFiles()) <= 2 * days
     day = str(stored.agg(F.min("event_date")).first()[0])
-    sinks.compact_day(spark, path, day, upto=1)
-    after = tables.read_log_table(spark, path)
-    assert after.count() == 120 and after.filter(F.col("event_date") == day).select("batch_id").distinct().count() == 1
+    sinks.compact_day(spark, path, day)
+    assert tables.read_log_table(spark, path).count() == 120
+    assert len([1 for part, _ in sinks.log_table(spark, path).snapshot().live if part == day]) == 1
 
 
 def test_search_parameters():
@@ -270,14 +270,14 @@ def test_stream_retry_and_repeat(spark, tmp_path):
     job.run_batch(batch, 1)
     assert pauses == [1, 1, 2]
     assert tables.read_log_table(spark, f"{root}/logs").count() == 2
-    letters = tables.read_batches(spark, f"{root}/dead_letters")
+    letters = job.dead_letters().read()
     types = {r["t"]: r["n"] for r in letters.groupBy(
         F.get_json_object(F.col("value").cast("string"), "$.error_type").alias("t")).agg(F.count("*").alias("n"))
         .collect()}
     assert types == {"message_parse_error": 2, "clickhouse_insert_failure": 2}
     stats = {r["batch_id"]: r for r in tables.read_batches(spark, f"{root}/stats").collect()}
     assert (stats[1]["status"], stats[1]["written"], stats[1]["failed_attempts"]) == ("dlq", 0, 3)
-    compact_rollup(spark, root, "service_health", upto=0)
+    compact_rollup(spark, root, "service_health")
     assert read_rollup(spark, root, "service_health").first()["log_count"] == 2
 
 
