@@ -162,9 +162,18 @@ def sample(topic: DataFrame, committed: DataFrame = None, size=SAMPLE_SIZE) -> D
     return ranked.orderBy("_rank", "partition").limit(size).drop("_rank")
 
 
+def end_offsets(topic: DataFrame) -> DataFrame:
+    """Partition and end offset of topic records, by reading their offsets."""
+    return topic.groupBy("partition").agg((F.max("offset") + 1).alias("end_offset"))
+
+
 def partition_lag(topic: DataFrame, committed: DataFrame = None) -> DataFrame:
     """Per partition: end offset, committed offset and lag."""
-    ends = topic.groupBy("partition").agg((F.max("offset") + 1).alias("end_offset"))
+    return lag_behind(end_offsets(topic), committed)
+
+
+def lag_behind(ends: DataFrame, committed: DataFrame = None) -> DataFrame:
+    """The same from known end offsets."""
     if committed is None:
         ends = ends.withColumn("committed_offset", F.lit(0).cast("bigint"))
     else:
@@ -175,7 +184,12 @@ def partition_lag(topic: DataFrame, committed: DataFrame = None) -> DataFrame:
 
 def backlog(topic: DataFrame, committed: DataFrame = None) -> DataFrame:
     """One row: number of partitions and the sum of their lags."""
-    return partition_lag(topic, committed).agg(
+    return backlog_behind(end_offsets(topic), committed)
+
+
+def backlog_behind(ends: DataFrame, committed: DataFrame = None) -> DataFrame:
+    """The same from known end offsets."""
+    return lag_behind(ends, committed).agg(
         F.count("*").alias("partitions"),
         F.coalesce(F.sum("lag"), F.lit(0)).alias("total_lag"))
 

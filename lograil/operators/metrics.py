@@ -109,9 +109,9 @@ OBSERVED = "ingest"
 
 
 def observed(df: DataFrame, name=OBSERVED, rejected: Column = None) -> DataFrame:
-    """Attach counters of the rows that pass; ``name`` may be an Observation.
+    """Attach counters of the rows that pass, for the progress reports that a listener of a stream gets.
 
-    A named counter of a stream is part of its progress reports, which a listener gets while it runs.
+    Rows that Spark computes again after the loss of an executor may count again.
     """
     bad = rejected if rejected is not None else F.col("errors").isNotNull()
     return df.observe(name, F.count("*").alias("consumed"), F.count_if(bad).alias("rejected"))

@@ -58,6 +58,14 @@ def put_new(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the folders above the target are made."""
+    fs, to = file_system(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(file_system(spark, source)[1], to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, root = file_system(spark, path)
     fs.delete(root, True)

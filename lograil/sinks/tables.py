@@ -24,6 +24,7 @@ def bloom_options() -> dict:
 LOG_ORDER = ("source", "level", "created_at")
 # Statistics kept of every folder of the log table.
 LOG_STATS = {
+    "rows": ("bigint", "count(*)"),
     "min_created_at": ("timestamp", "min(created_at)"),
     "max_created_at": ("timestamp", "max(created_at)"),
     "max_ingested_at": ("timestamp", "max(ingested_at)"),

@@ -13,7 +13,7 @@ from functools import partial
 from py4j.protocol import Py4JError
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lograil.operators import ingest, jsonlog
 from lograil.operators.metrics import observed
@@ -82,12 +82,14 @@ class TopicIngest:
         self(self.prepare(topic), batch_id)
 
     def __call__(self, done: DataFrame, batch_id: int) -> None:
-        started, seen, writer = self.clock(), Observation(), self.writer()
-        # Read several times below; recomputed from the source if an executor is lost. The counts come
-        # from the first pass; rows that are computed again after such a loss may count again there,
-        # while the commit log has the exact number of rows stored.
-        done = observed(done, seen).persist(StorageLevel.MEMORY_AND_DISK)
+        started, writer = self.clock(), self.writer()
+        # Read several times below; recomputed from the source if an executor is lost. The count fills
+        # it; observed counters may count rows again that are computed again, these do not.
+        done = done.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            counts = done.agg(
+                F.count("*").alias("consumed"),
+                F.count_if(F.col("errors").isNotNull()).alias("rejected")).first()
             placed = accepted(done, _PLACE)
             logs = placed.select(*LOG_COLUMNS)
             failed, problem, write_seconds = self._store(logs, batch_id, writer)
@@ -95,7 +97,6 @@ class TopicIngest:
             if problem is None:
                 jobs += [partial(write_rollup, logs, self.root, name, writer, batch_id) for name in self.rollups]
             self._at_once(jobs)
-            counts = seen.get
             good = counts["consumed"] - counts["rejected"]
             self._write_stats(batch_id, (
                 batch_id, self.topic, counts["consumed"], good if problem is None else 0,

@@ -1,4 +1,4 @@
-"""One scheduled triage run over the dead-letter queue: report, replay or park, commit."""
+"""Scheduled triage runs over the dead-letter queue: report, replay or park, commit; and release of parked letters."""
 
 from dataclasses import dataclass
 
@@ -6,16 +6,26 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lograil.operators import dlq, replay
-from lograil.operators.signals import health_signals
-from lograil.sources.topics import read_topic_files
-from lograil.streaming.rollups import _numbers
+from lograil.operators.signals import health_signals, table_signals
+from lograil.sinks import files
+from lograil.sinks.commits import CommitTable
+from lograil.sources.topics import read_front, read_stored, read_topic_files, stored_ends
 
 COMMITTED_SCHEMA = "partition int, committed_offset bigint"
+PARKED_SCHEMA = ("partition int, offset bigint, key string, timestamp timestamp, value string, "
+                 "error_class string, reason string, run_id int")
+PLACE = ["partition", "offset"]
+
+
+def complete_runs(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete folders ``run_id=N`` below a path (names only are read)."""
+    runs = [n.removeprefix("run_id=") for n in files.names(spark, path) if n.startswith("run_id=")]
+    return sorted(int(n) for n in runs if "_SUCCESS" in files.names(spark, f"{path}/run_id={n}"))
 
 
 def read_committed(spark: SparkSession, path: str) -> DataFrame:
     """Committed offset per partition: the highest of all runs."""
-    runs = _numbers(spark, path, "run_id")
+    runs = complete_runs(spark, path)
     empty = spark.createDataFrame([], COMMITTED_SCHEMA)
     if not runs:
         return empty
@@ -29,7 +39,11 @@ class TriageJob:
 
     A letter is replayed if the gate is open (or forced) and ingest would accept it; it is parked,
     whole and with the reason, otherwise. So the queue moves on and nothing leaves it unseen.
-    ``park_refused=False`` leaves the queue as it is while the gate is closed.
+    ``park_refused=False`` leaves the queue as it is while the gate is closed. ``release`` takes parked
+    letters up again once the cause is mended.
+
+    Every outcome is written once: a run that is repeated after a stop adds only the letters that its
+    first attempt has not written, whatever came into the queue meanwhile.
     """
 
     spark: SparkSession
@@ -37,16 +51,24 @@ class TriageJob:
     sample_size: int | None = dlq.SAMPLE_SIZE
     park_refused: bool = True
 
-    def run(self, topic: DataFrame, logs: DataFrame, as_of: Column, run_id: int, force=False,
-            dry_run=False) -> DataFrame:
+    def run(self, topic: DataFrame | CommitTable, logs: DataFrame | CommitTable, as_of: Column, run_id: int,
+            force=False, dry_run=False) -> DataFrame:
         """One run; returns the stored one-row final report.
 
+        ``topic`` and ``logs`` may be stored tables: then the run opens only the segments behind the
+        committed offsets that it needs, and takes backlog and signals from the tables' commit logs.
         Replayed and parked letters are written before the offsets, so a run that breaks in between
         is repeated rather than lost. ``sample_size=None`` takes the whole backlog.
         """
         committed = read_committed(self.spark, f"{self.root}/committed")
-        taken = (dlq.uncommitted(topic, committed) if self.sample_size is None
-                 else dlq.sample(topic, committed, self.sample_size))
+        stored = isinstance(topic, CommitTable)
+        if self.sample_size is None:
+            taken = read_stored(topic, committed) if stored else dlq.uncommitted(topic, committed)
+        else:
+            front = read_front(topic, committed, self.sample_size) if stored else topic
+            taken = dlq.sample(front, committed, self.sample_size)
+        ends = stored_ends(topic) if stored else dlq.end_offsets(topic)
+        signals = table_signals(logs, as_of) if isinstance(logs, CommitTable) else health_signals(logs, as_of)
         classified = dlq.classify(dlq.decode(taken)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             gate = replay.replay_gate(dlq.dominant_class(dlq.class_counts(classified))).persist()
@@ -54,27 +76,58 @@ class TriageJob:
             verdict = replay.with_verdict(classified, None if opened else gate)
             rows = replay.replays(verdict)
             report = replay.final_report(
-                dlq.backlog(topic, committed), gate, health_signals(logs, as_of),
+                dlq.backlog_behind(ends, committed), gate, signals,
                 replay.replay_report(gate, rows, dry_run=dry_run, force=force))
             target = f"{self.root}/reports/run_id={run_id}"
             if not dry_run and (opened or self.park_refused):
-                self._write(rows, "replayed", run_id)
-                self._write(replay.parked(verdict), "parked", run_id)
-                self._write(replay.commit_points(classified), "committed", run_id)
+                self._add(rows, "replayed", run_id)
+                self._add(replay.parked(verdict), "parked", run_id)
+                replay.commit_points(classified).write.mode("overwrite").parquet(
+                    f"{self.root}/committed/run_id={run_id}")
             report.write.mode("overwrite").parquet(target)
             gate.unpersist()
         finally:
             classified.unpersist()
         return self.spark.read.parquet(target)
 
-    def _write(self, rows: DataFrame, name: str, run_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/run_id={run_id}")
+    def release(self, run_id: int, reason: str | None = None, error_class: str | None = None) -> int:
+        """Sends parked letters on that ingest would accept by now; returns how many.
+
+        ``reason`` (a pattern) and ``error_class`` choose among them. What ingest would still refuse
+        stays parked. ``run_id`` is one of its own, not that of a run; repeated, it adds nothing.
+        """
+        letters = self.parked()
+        if reason is not None:
+            letters = letters.filter(F.col("reason").rlike(reason))
+        if error_class is not None:
+            letters = letters.filter(F.col("error_class") == error_class)
+        topic = letters.select(
+            F.encode("key", "UTF-8").alias("key"), F.encode("value", "UTF-8").alias("value"), *PLACE, "timestamp",
+            F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"))
+        rows = replay.replays(replay.with_verdict(dlq.decode(topic)))
+        return self._add(rows, "replayed", run_id)
+
+    def _add(self, rows: DataFrame, name: str, run_id: int) -> int:
+        """Write the rows that this run has not written before; how many there are in all."""
+        target = f"{self.root}/{name}/run_id={run_id}"
+        if run_id in complete_runs(self.spark, f"{self.root}/{name}"):
+            before = self.spark.read.schema(rows.schema).parquet(target)
+            rows = rows.join(before.select(*PLACE), PLACE, "left_anti").select(*rows.columns)
+        rows.write.mode("append").parquet(target)
+        return self.spark.read.schema(rows.schema).parquet(target).count()
 
     def replay_stream(self) -> DataFrame:
         """All replayed letters as a topic stream, for ``TopicIngest.start``."""
         return read_topic_files(self.spark, f"{self.root}/replayed/run_id=*")
 
+    def _stored(self, name: str) -> DataFrame | None:
+        runs = complete_runs(self.spark, f"{self.root}/{name}")
+        return self.spark.read.option("basePath", f"{self.root}/{name}").parquet(
+            *[f"{self.root}/{name}/run_id={r}" for r in runs]) if runs else None
+
     def parked(self) -> DataFrame:
-        """All parked letters."""
-        return self.spark.read.option("basePath", f"{self.root}/parked").parquet(
-            f"{self.root}/parked/run_id=*")
+        """The parked letters that have not been sent on since."""
+        letters, sent = self._stored("parked"), self._stored("replayed")
+        if letters is None:
+            return self.spark.createDataFrame([], PARKED_SCHEMA)
+        return letters if sent is None else letters.join(sent.select(*PLACE), PLACE, "left_anti")
