@@ -191,13 +191,8 @@ def batch_documents(spark, folder, size=50) -> DataFrame:
         .otherwise(F.concat(F.lit('{"logs": ['), "body", F.lit("]}"))).alias("value"))
 
 
-MESSAGE_SQL = """
-CASE event_id % 20
-  WHEN 3 THEN '{"source": "http", "level'
-  WHEN 4 THEN '{"level": "WARN", "source": [7]}'
-  WHEN 5 THEN concat('plain words ', event_id)
-  WHEN 6 THEN '{}'
-  ELSE concat('{"id": "', CASE WHEN event_id % 20 = 7 THEN 'no-uuid'
+VALID_MESSAGE_SQL = """
+concat('{"id": "', CASE WHEN event_id % 20 = 7 THEN 'no-uuid'
       WHEN event_id % 20 = 8 THEN upper(md5(cast(event_id AS string)))
       ELSE md5(cast(event_id AS string)) END,
     '", "created_at": ', CASE WHEN event_id % 20 = 9 THEN 'null' ELSE concat('"',
@@ -206,9 +201,11 @@ CASE event_id % 20
     '"event_time_missing": ', CASE WHEN event_id % 20 = 10 THEN '"maybe"' WHEN event_id % 2 = 0
       THEN 'false' ELSE '0' END,
     ', "source": "http", "source_host": null, "source_service": "svc-', user_id % 8,
-    '", "level": "', CASE WHEN event_id % 20 = 11 THEN 'INVALID_LEVEL'
-      WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END,
-    '", "message": "', event_type, ' ', event_id, '", "format": "json", "metadata": ',
+    '", "level": ', CASE WHEN event_id % 20 = 5 THEN concat('[', user_id, ']')
+      WHEN event_id % 20 = 11 THEN concat('"grade ', user_id % 3, '"')
+      WHEN event_type = 'error' THEN '"ERROR"' ELSE '"INFO"' END,
+    CASE WHEN event_id % 20 = 6 THEN '' ELSE concat(', "message": "', event_type, ' ', event_id, '"') END,
+    ', "format": "json", "metadata": ',
     CASE WHEN event_id % 20 = 12 THEN '"[1]"' WHEN event_id % 20 = 13 THEN 'null'
       WHEN event_id % 20 = 14 THEN concat('"{\\\\"k\\\\": ', k, '}"')
       ELSE concat('{"http_status": 404, "k": ', k, '}') END,
@@ -218,7 +215,12 @@ CASE event_id % 20
       ELSE 'null' END,
     ', "error_type": ', CASE WHEN event_type = 'error' AND event_id % 3 > 0
       THEN '"TimeoutError"' ELSE 'null' END,
-    ', "is_parsed": true, "parse_errors": null}') END
+    ', "is_parsed": true, "parse_errors": null}')
+"""
+# A message that breaks off at a place of its own, one inside a list, and all others.
+MESSAGE_SQL = f"""
+CASE event_id % 20 WHEN 3 THEN left({VALID_MESSAGE_SQL}, cast(15 + event_id % 60 AS int))
+  WHEN 4 THEN concat('[', {VALID_MESSAGE_SQL}, ']') ELSE {VALID_MESSAGE_SQL} END
 """
 
 
@@ -236,13 +238,24 @@ def topic_messages(spark, folder) -> DataFrame:
         F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"))
 
 
-# Error texts of the dead letters by event number, and the place each one is found in.
-DLQ_TEXT_SQL = """
-element_at(array('write timed out after 12 s', 'pool gave no connection', 'gateway answered 503',
-  'Connection reset while sending', 'lookup TIMEOUT', 'Network error on the second link',
-  'peer answered 504', 'malformed header field', 'invalid json at byte 7',
-  'unknown column extra_field'), cast(event_id % 10 + 1 AS int))
-"""
+# Error texts of the dead letters: one for every pattern of the classes, then texts of two classes and of none.
+DLQ_PHRASES = [
+    "timeout", "timed out", "connection", "temporarily disabled", "502", "503", "504", "upstream timed out",
+    "connection refused", "connection reset", "network error",
+    "unrecognized column", "unknown column", "table t_7 doesn't exist", "access denied", "authentication",
+    "permission denied", "schema", "type mismatch", "cannot parse",
+    "invalid json", "json decode", "malformed", "validation error", "parse error", "decode error",
+    "schema lookup timeout", "malformed schema", "5021 rows", "no cause given", "disk full",
+]
+
+
+def dlq_text():
+    """The phrase of an event with its number behind it, every other time in capitals."""
+    phrase = F.element_at(F.array(*map(F.lit, DLQ_PHRASES)), F.expr(f"cast(event_id % {len(DLQ_PHRASES)} + 1 AS int)"))
+    return F.concat(F.lit("step "), F.expr("event_id % 4"), F.lit(": "),
+                    F.when(F.expr("event_id % 2 = 0"), F.upper(phrase)).otherwise(phrase))
+
+
 LOG_VALUE_SQL = """
 concat('{"level":"INFO","message":"', event_type, ' ', event_id, '","source":"http",',
   '"source_service":"svc-', user_id % 8, '"}')
@@ -265,7 +278,7 @@ CASE WHEN event_id % 23 = 0 THEN concat('junk ', event_id)
 
 def dead_letters(spark, folder) -> DataFrame:
     """The dead-letter topic: four value shapes and junk; errors in headers or in the value."""
-    df = events(spark, folder).withColumn("text", F.expr(DLQ_TEXT_SQL))
+    df = events(spark, folder).withColumn("text", dlq_text())
     plain_log = (F.col("event_id") % 4 == 0) & (F.col("event_id") % 23 != 0) & (
         F.col("event_id") % 29 != 0)
     header = lambda key, value: F.struct(

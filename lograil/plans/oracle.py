@@ -120,12 +120,12 @@ msg AS (
   SELECT event_id, event_id % 20 AS m, ts, event_type, user_id, k,
     CASE event_id % 20
       WHEN 3 THEN 'value is not valid JSON'
-      WHEN 4 THEN 'source: must be a string'
-      WHEN 5 THEN 'value is not valid JSON'
-      WHEN 6 THEN 'source: required; source_service: required; level: required; message: required'
+      WHEN 4 THEN 'value is not a JSON object'
+      WHEN 5 THEN 'level: must be a string'
+      WHEN 6 THEN 'message: required'
       WHEN 7 THEN 'id: must be a UUID'
       WHEN 10 THEN 'event_time_missing: must be a boolean'
-      WHEN 11 THEN 'level: unknown level ''INVALID_LEVEL'''
+      WHEN 11 THEN 'level: unknown level ''grade ' || user_id % 3 || ''''
       WHEN 12 THEN 'metadata: must be a JSON object'
       WHEN 17 THEN 'http_status: must be an integer'
       WHEN 18 THEN 'http_status: must be 100 to 599'
@@ -135,46 +135,56 @@ msg AS (
   FROM ev)
 """
 
-DLQ = EVENTS + r""",
+_PHRASES = ["timeout", "timed out", "connection", "temporarily disabled", "502", "503", "504", "upstream timed out",
+            "connection refused", "connection reset", "network error",
+            "unrecognized column", "unknown column", "table t_7 doesn't exist", "access denied", "authentication",
+            "permission denied", "schema", "type mismatch", "cannot parse",
+            "invalid json", "json decode", "malformed", "validation error", "parse error", "decode error",
+            "schema lookup timeout", "malformed schema", "5021 rows", "no cause given", "disk full"]
+
+# The patterns of each class, in the order in which they give the reason.
+_INFRA = [r"timeout", r"timed out", r"connection", r"temporarily disabled", r"\b502\b", r"\b503\b", r"\b504\b",
+          r"upstream timed out", r"connection refused", r"connection reset", r"network error"]
+_STORAGE = [r"unrecognized column", r"unknown column", r"table.*doesn't exist", r"access denied", r"authentication",
+            r"permission denied", r"schema", r"type mismatch", r"cannot parse"]
+_DATA = [r"invalid json", r"json decode", r"malformed", r"validation error", r"parse error", r"decode error"]
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _found(patterns) -> str:
+    return f"regexp_matches(class_text, {_text('(?i)' + '|'.join(patterns))})"
+
+
+_REASONS = ", ".join(f"nullif(regexp_extract(class_text, {_text('(?i)' + p)}), '')" for p in _INFRA + _STORAGE + _DATA)
+
+DLQ = EVENTS + rf""",
 dlq_text AS (
-  SELECT *, ['write timed out after 12 s', 'pool gave no connection', 'gateway answered 503',
-    'Connection reset while sending', 'lookup TIMEOUT', 'Network error on the second link',
-    'peer answered 504', 'malformed header field', 'invalid json at byte 7',
-    'unknown column extra_field'][event_id % 10 + 1] AS txt,
+  SELECT *, 'step ' || event_id % 4 || ': ' || CASE WHEN event_id % 2 = 0 THEN upper(phrase) ELSE phrase END AS txt,
     CASE WHEN event_id % 23 = 0 THEN 'junk' WHEN event_id % 29 = 0 THEN 'bare'
       WHEN event_id % 4 = 1 THEN 'parser_reject' WHEN event_id % 4 = 2 THEN 'failed_batch'
       WHEN event_id % 4 = 3 THEN 'unparseable_message' ELSE 'log' END AS kind,
-    '{"level":"INFO","message":"' || event_type || ' ' || event_id || '","source":"http",' ||
-      '"source_service":"svc-' || user_id % 8 || '"}' AS log_json
-  FROM ev),
+    '{{"level":"INFO","message":"' || event_type || ' ' || event_id || '","source":"http",' ||
+      '"source_service":"svc-' || user_id % 8 || '"}}' AS log_json
+  FROM (SELECT *, [{", ".join(map(_text, _PHRASES))}][event_id % {len(_PHRASES)} + 1] AS phrase FROM ev)),
 dlq AS (
   SELECT event_id, cast(event_id % 3 AS integer) AS part, event_id // 3 AS off, ts, kind, log_json,
     CASE WHEN event_id % 5 <> 0 THEN 'svc-' || user_id % 8 END AS msg_key,
     'svc-' || user_id % 8 AS service,
-    CASE WHEN kind NOT IN ('junk', 'bare') THEN txt END AS error_text
+    CASE WHEN kind NOT IN ('junk', 'bare') THEN txt END AS error_text,
+    -- Letters that tell the error in a header have it twice in the text that is classified.
+    CASE WHEN kind = 'log' THEN txt || ' ' || txt WHEN kind NOT IN ('junk', 'bare') THEN txt END AS class_text
   FROM dlq_text),
 dlq_class AS (
   SELECT *, CASE
-    WHEN regexp_matches(error_text, '(?i)timeout|timed out|connection|temporarily disabled|\b502\b|\b503\b|\b504\b|network error') THEN 'infra/transient'
-    WHEN regexp_matches(error_text, '(?i)unrecognized column|unknown column|table.*doesn''t exist|access denied|authentication|permission denied|schema|type mismatch|cannot parse') THEN 'storage/schema/config'
-    WHEN regexp_matches(error_text, '(?i)invalid json|json decode|malformed|validation error|parse error|decode error') THEN 'data/parsing'
+    WHEN {_found(_INFRA)} THEN 'infra/transient'
+    WHEN {_found(_STORAGE)} THEN 'storage/schema/config'
+    WHEN {_found(_DATA)} THEN 'data/parsing'
     WHEN kind = 'junk' THEN 'data/parsing' ELSE 'unknown' END AS error_class,
     CASE WHEN error_text IS NULL THEN CASE WHEN kind = 'junk' THEN 'JSON decode error' END ELSE
-    coalesce(
-      nullif(regexp_extract(error_text, '(?i)timeout'), ''),
-      nullif(regexp_extract(error_text, '(?i)timed out'), ''),
-      nullif(regexp_extract(error_text, '(?i)connection'), ''),
-      nullif(regexp_extract(error_text, '(?i)temporarily disabled'), ''),
-      nullif(regexp_extract(error_text, '\b502\b'), ''),
-      nullif(regexp_extract(error_text, '\b503\b'), ''),
-      nullif(regexp_extract(error_text, '\b504\b'), ''),
-      nullif(regexp_extract(error_text, '(?i)network error'), ''),
-      nullif(regexp_extract(error_text, '(?i)unrecognized column'), ''),
-      nullif(regexp_extract(error_text, '(?i)unknown column'), ''),
-      nullif(regexp_extract(error_text, '(?i)schema'), ''),
-      nullif(regexp_extract(error_text, '(?i)invalid json'), ''),
-      nullif(regexp_extract(error_text, '(?i)malformed'), ''),
-      nullif(regexp_extract(error_text, '(?i)parse error'), '')) END AS error_reason
+    coalesce({_REASONS}) END AS error_reason
   FROM dlq),
 committed AS (
   SELECT cast(event_id % 3 AS integer) AS part, count(*) // 4 AS committed_offset

@@ -141,8 +141,9 @@ def parser_rejects(spark, folder):
 @query("k4_unparseable_messages", with_(oracle.MESSAGES, """
 SELECT event_id, '2024-01-31T00:00:00' AS dlq_timestamp,
   'Failed to parse message: ' || error AS error_message, 'message_parse_error' AS error_type,
-  CASE m WHEN 3 THEN '{"source": "http", "level' WHEN 5 THEN 'plain words ' || event_id
-    WHEN 6 THEN '{}' WHEN 4 THEN '{"level": "WARN", "source": [7]}' END AS short_payload
+  left(CASE m WHEN 4 THEN '[' ELSE '' END || '{"id": "' || CASE m WHEN 7 THEN 'no-uuid' ELSE md5(event_id::varchar) END ||
+    '", "created_at": "' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '", ',
+    CASE m WHEN 3 THEN least(60, 15 + event_id % 60) ELSE 60 END) AS payload_start
 FROM msg WHERE error IS NOT NULL"""))
 def unparseable_messages(spark, folder):
     _, bad = dispatch.run_message_job(
@@ -151,8 +152,7 @@ def unparseable_messages(spark, folder):
     letters = ingest.message_reject_envelopes(bad, as_of(), ["event_id"], keep=["event_id"])
     out = envelope_fields(letters, ["dlq_timestamp", "error_message", "error_type",
                                     "raw_payload"])
-    short = F.when(F.length("raw_payload") < 40, F.col("raw_payload"))
-    return out.withColumn("short_payload", short).drop("raw_payload")
+    return out.withColumn("payload_start", F.left("raw_payload", F.lit(60))).drop("raw_payload")
 
 
 @query("k5_failed_batch", log("""

@@ -1,7 +1,9 @@
 """Small files of a shared file system: list, read, put in place once, remove."""
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -66,6 +68,13 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def move_all(spark: SparkSession, pairs) -> None:
+    """Several moves side by side; each only waits for the file system."""
+    with ThreadPoolExecutor(8) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(move), spark, *pair) for pair in pairs]:
+            done.result()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, root = file_system(spark, path)
     fs.delete(root, True)

@@ -31,7 +31,7 @@ MAX_ATTEMPTS = 3
 PAUSES = (1, 2)
 FLUSH_INTERVAL = "5 seconds"
 # Writes of a batch that run side by side.
-WRITERS = 4
+WRITERS = 6
 
 _POSITION = ["topic", "partition", "offset"]
 _PLACE = ["partition", "offset", "timestamp"]

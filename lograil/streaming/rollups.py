@@ -14,7 +14,8 @@ def rollup_table(spark: SparkSession, root: str, name: str) -> CommitTable:
     if name not in _schemas:
         empty = monthly_partials(name, spark.createDataFrame([], LOG_SCHEMA)).drop("month")
         _schemas[name] = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in empty.schema)
-    return CommitTable(spark, f"{root}/rollups/{name}", _schemas[name], key="month", kind="string")
+    return CommitTable(spark, f"{root}/rollups/{name}", _schemas[name], key="month", kind="string",
+                       spread=False)
 
 
 def write_rollup(logs: DataFrame, root: str, name: str, writer: str, batch_id: int) -> None:
