@@ -18,6 +18,7 @@ from lograil.sinks import files, tables as sink_tables
 from lograil.sinks.topics import append_topic, topic_table
 from lograil.sources import tables as source_tables
 from lograil.sources.topics import DLQ_TOPIC, read_topic_files
+from lograil.streaming.alarm import ALARM_SCHEMA, silence_stream, silent_now
 from lograil.streaming.ingest import BOUNDED_ROLLUPS, TopicIngest
 from lograil.streaming.listener import LiveCounters, ProgressLog
 from lograil.streaming.rollups import compact_rollup, hourly_health_stream, read_partials, read_rollup
@@ -162,6 +163,31 @@ def closed_hours(spark, folder):
         millis_text(F.col("min_log_time")).alias("min_log_time"))
 
 
+@query("a12_live_alarm", f"""
+WITH l AS (SELECT date_trunc('milliseconds', ts) AS t, 'u-' || user_id AS s FROM events WHERE user_id IS NOT NULL)
+SELECT s AS source_service, {ts3('max(t)')} AS last_log_time, {ts3("max(t) + INTERVAL 1 HOUR")} AS at FROM l GROUP BY s
+HAVING max(t) + INTERVAL 1 HOUR < (SELECT max(t) FROM l) - INTERVAL 10 MINUTE""")
+def live_alarm(spark, folder):
+    """Users stand in for services; the stream takes the events in four rounds of time."""
+    root, times_of = scratch_dir(spark, "alarm"), inputs.table(spark, folder, "events").filter("user_id IS NOT NULL")
+    logs = times_of.select(
+        F.concat(F.lit("u-"), "user_id").alias("source_service"),
+        times.to_millis(F.col("ts").cast("timestamp")).alias("created_at"))
+    first, last = logs.agg(F.min(F.unix_millis("created_at")), F.max(F.unix_millis("created_at"))).first()
+    step = (last - first) // 4 + 1
+    for quarter in range(4):
+        logs.filter(F.floor((F.unix_millis("created_at") - first) / step) == quarter).coalesce(1).write.mode(
+            "append").parquet(f"{root}/logs")
+    stream = spark.readStream.schema(logs.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/logs")
+    silence_stream(stream).writeStream.foreachBatch(
+        lambda rows, number: sink_tables.write_batch(rows, f"{root}/told", number)).option(
+        "checkpointLocation", f"{root}/checkpoint").outputMode("update").trigger(
+        availableNow=True).start().awaitTermination()
+    told = source_tables.read_batches(spark, f"{root}/told", ALARM_SCHEMA)
+    return silent_now(told).select("source_service", millis_text(F.col("last_log_time")).alias("last_log_time"),
+                                   millis_text(F.col("at")).alias("at"))
+
+
 @query("t7_triage_run", summary(f"""
 SELECT sampled_count, dominant_class, {_GATE} AS replayed,
   CASE WHEN {_GATE} THEN {_REPLAYABLE} ELSE 0 END AS replayed_rows,

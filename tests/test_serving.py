@@ -202,7 +202,7 @@ def test_top_messages_break_ties_by_text(spark):
 
 def topic_rows(spark, values, headers=None):
     return spark.createDataFrame(
-        [(None, bytearray(v, "utf8"), "t", i % 2, i, dt.datetime(2024, 1, 1, 0, 0, i), 0,
+        [(None, bytearray(v, "utf8"), "t", i % 2, i, dt.datetime(2024, 1, 1, 0, i // 60, i % 60), 0,
           [(k, bytearray(h, "utf8")) for k, h in (headers or {}).get(i, [])])
          for i, v in enumerate(values)], TOPIC_SCHEMA)
 
