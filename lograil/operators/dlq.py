@@ -255,6 +255,53 @@ def dominant_class(counts: DataFrame) -> DataFrame:
         F.coalesce("storage", F.lit(0.0)).alias("storage_percentage"))
 
 
+SAMPLE_FIELDS = [*ARRIVAL, "key", "value_preview", "error_reason"]
+
+
+def triage_partials(classified: DataFrame, k=TOP_REASONS, samples=SAMPLE_MESSAGES) -> DataFrame:
+    """One row per class, of bounded size: number of letters, the k reasons that came first with their
+    arrival, and the letters that came first.
+
+    Partials of different letters merge to the partial of all of them: a reason among the k first of all
+    is among the k first of the partial that holds its first letter. A repeated letter must not be in two.
+    """
+    counts = reason_counts(classified)
+    letters = sample_messages(classified, samples).groupBy("error_class").agg(
+        F.sort_array(F.collect_list(F.struct(*SAMPLE_FIELDS))).alias("letters"))
+    return _partial_rows(counts.groupBy("error_class").agg(F.sum("n").alias("n")), counts, letters, k)
+
+
+def _partial_rows(totals: DataFrame, reasons: DataFrame, letters: DataFrame, k) -> DataFrame:
+    lists = first_reasons(reasons, k).groupBy("error_class").agg(
+        F.sort_array(F.collect_list(F.struct("first_seen", "error_reason"))).alias("reasons"))
+    return totals.join(lists, "error_class", "left").join(letters, "error_class", "left")
+
+
+def merge_triage_partials(partials: DataFrame, k=TOP_REASONS, samples=SAMPLE_MESSAGES) -> DataFrame:
+    """Partials of several sets of letters as one partial per class."""
+    totals = partials.groupBy("error_class").agg(F.sum("n").alias("n"))
+    reasons = partials.select("error_class", F.inline("reasons")).groupBy("error_class", "error_reason").agg(
+        F.min("first_seen").alias("first_seen"))
+    w = Window.partitionBy("error_class").orderBy(*ARRIVAL)
+    first = partials.select("error_class", F.inline("letters")).withColumn("_rank", F.row_number().over(w))
+    letters = first.filter(F.col("_rank") <= samples).groupBy("error_class").agg(
+        F.sort_array(F.collect_list(F.struct(*SAMPLE_FIELDS))).alias("letters"))
+    return _partial_rows(totals, reasons, letters, k)
+
+
+def report_of_partials(partials: DataFrame) -> DataFrame:
+    """The triage report from partials alone: equal to ``triage_report`` over all their letters."""
+    merged = merge_triage_partials(partials)
+    message = lambda x, i: F.struct(
+        (i + 1).alias("rank"), x["partition"].alias("partition"), x["offset"].alias("offset"), x["key"].alias("key"),
+        x["timestamp"].alias("timestamp"), x["value_preview"].alias("value_preview"),
+        x["error_reason"].alias("error_reason"))
+    return class_counts(merged, F.col("n")).join(merged.drop("n"), "error_class").select(
+        "error_class", "count", "percentage",
+        F.coalesce(F.transform("reasons", lambda r: r["error_reason"]), F.array().cast("array<string>")).alias("top_errors"),
+        F.transform("letters", message).alias("sample_messages"))
+
+
 def triage_report(classified: DataFrame) -> DataFrame:
     """One row per class that occurs: count, share, top reasons and sample messages."""
     counts = reason_counts(classified)

@@ -105,6 +105,43 @@ def conservation(sent: DataFrame, stored: DataFrame, refused: DataFrame,
         "missing", F.col("sent") - F.col("stored") - F.col("rejected"))
 
 
+DIGEST = ["n", "hash_sum", "hash_xor"]
+
+
+def digests(records: DataFrame, cells, ids=("id",)) -> DataFrame:
+    """Per cell a digest of its multiset of ids that no order changes: number, sum and xor of their hashes."""
+    h = F.xxhash64(*ids)
+    return records.groupBy(*cells).agg(
+        F.count("*").alias("n"), F.sum(h.cast("decimal(38,0)")).alias("hash_sum"), F.bit_xor(h).alias("hash_xor"))
+
+
+def unequal_cells(sent: DataFrame, got: DataFrame, cells, ids=("id",)) -> DataFrame:
+    """The cells whose records are not the same on both sides; a cell one side lacks is one of them.
+
+    Both sides are reduced to a row per cell before they meet; either may be a table of digests kept
+    from earlier.
+    """
+    one, two = (df if set(DIGEST) <= set(df.columns) else digests(df, cells, ids) for df in (sent, got))
+    less = two.withColumns({"n": -F.col("n"), "hash_sum": -F.col("hash_sum")})
+    both = one.select(*cells, *DIGEST).unionByName(less.select(*cells, *DIGEST)).groupBy(*cells).agg(
+        F.sum("n").alias("n"), F.sum("hash_sum").alias("hash_sum"), F.bit_xor("hash_xor").alias("hash_xor"))
+    return both.filter((F.col("n") != 0) | (F.col("hash_sum") != 0) | (F.col("hash_xor") != 0)).select(*cells)
+
+
+def lost_and_doubled(sent: DataFrame, got: DataFrame, cells, ids=("id",)) -> DataFrame:
+    """The ids that are not as often on one side as on the other: ids, ``sent`` and ``stored``.
+
+    Only records of unequal cells are looked at one by one, so a sound table costs two aggregations.
+    """
+    wrong = unequal_cells(sent, got, cells, ids).select(*[F.col(c).alias(f"_{c}") for c in cells])
+    sides = [df.select(*cells, *ids, F.lit(int(first)).alias("sent"), F.lit(int(not first)).alias("stored"))
+             for df, first in ((sent, True), (got, False))]
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cells]
+    counts = sides[0].unionByName(sides[1]).join(wrong, same, "left_semi").groupBy(*ids).agg(
+        F.sum("sent").alias("sent"), F.sum("stored").alias("stored"))
+    return counts.filter(F.col("sent") != F.col("stored"))
+
+
 OBSERVED = "ingest"
 
 

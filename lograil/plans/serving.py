@@ -506,6 +506,95 @@ def stored_signals(spark, folder):
         "max_ingested_at", millis_text(F.col("max_ingested_at")))
 
 
+def stat(sql):
+    return with_(oracle.STATS, sql)
+
+
+@query("m1_counters", stat("""
+SELECT 'messages_consumed' AS metric, 'logs.raw' AS label, cast(sum(consumed) AS bigint) AS value
+  FROM stats
+UNION ALL SELECT 'writes', 'success', count(*) FROM stats WHERE status = 'success'
+UNION ALL SELECT 'writes', 'error', cast(sum(failed_attempts) AS bigint) FROM stats
+UNION ALL SELECT 'rows_written', '', cast(sum(written) AS bigint) FROM stats
+UNION ALL SELECT 'dlq_messages', 'message_parse_error', cast(sum(rejected) AS bigint) FROM stats
+UNION ALL SELECT 'dlq_messages', 'clickhouse_insert_failure', cast(sum(consumed - rejected) AS bigint)
+  FROM stats WHERE status = 'dlq'"""))
+def counters(spark, folder):
+    return metrics.counters(inputs.batch_stats(spark, folder))
+
+
+@query("m1_ingested_by_label", log("""
+SELECT source, level, count(*) AS value FROM logs GROUP BY ALL"""))
+def ingested_by_label(spark, folder):
+    return metrics.ingested_by_label(inputs.logs(spark, folder))
+
+
+_M2 = "\nUNION ALL\n".join(
+    f"SELECT '{metric}' AS metric, '{bound if isinstance(bound, str) else f'{bound:g}'}' AS le, "
+    f"count(*) FILTER (WHERE {'true' if isinstance(bound, str) else f'{column} <= cast({bound} AS double)'})"
+    " AS cumulative FROM stats WHERE status = 'success'"
+    for metric, (column, bounds) in metrics.HISTOGRAMS.items() for bound in [*bounds, "+Inf"])
+
+
+@query("m2_histograms", stat(_M2))
+def histograms(spark, folder):
+    return metrics.histograms(inputs.batch_stats(spark, folder))
+
+
+@query("m2_histogram_sums", stat("\nUNION ALL\n".join(
+    f"SELECT '{m}' AS metric, round(sum({c}), 6) AS sum, count(*) AS count FROM stats "
+    "WHERE status = 'success'" for m, (c, _) in metrics.HISTOGRAMS.items())))
+def histogram_sums(spark, folder):
+    return metrics.histogram_sums(inputs.batch_stats(spark, folder)).withColumn(
+        "sum", F.round("sum", 6))
+
+
+@query("m3_throughput", stat("""
+SELECT batch_id, written, cast(floor(written / flush_seconds) AS bigint) AS rows_per_second
+FROM stats WHERE status = 'success'"""))
+def throughput(spark, folder):
+    return metrics.throughput(inputs.batch_stats(spark, folder))
+
+
+@query("m3_flush_totals", stat("""
+SELECT cast(sum(consumed) AS bigint) AS total_consumed, cast(sum(written) AS bigint) AS total_flushed,
+  count(*) FILTER (WHERE status = 'success') AS flush_count,
+  cast(floor(sum(written) / sum(flush_seconds) FILTER (WHERE status = 'success')) AS bigint)
+    AS rows_per_second FROM stats"""))
+def flush_totals(spark, folder):
+    return metrics.flush_totals(inputs.batch_stats(spark, folder))
+
+
+@query("m5_conservation", with_(oracle.CLF, _CLF_BAD + """
+SELECT file, count(*) AS sent, count(*) FILTER (WHERE good) AS stored,
+  count(*) FILTER (WHERE NOT good) AS rejected, 0 AS missing FROM bad GROUP BY file"""))
+def conservation(spark, folder):
+    lines = inputs.clf_lines(spark, folder)
+    logs, bad = dispatch.run_text_job(lines, "clf", ingested_at=F.col("received"),
+                                      id_from=["event_id"], keep=["file"])
+    return metrics.conservation(lines, logs, bad, by="file")
+
+
+@query("m5_lost_and_doubled", log("""
+SELECT event_id, 1 AS sent, (event_id % 97 <> 5)::int + (event_id % 89 = 7)::int AS stored FROM logs
+WHERE (event_id % 97 <> 5)::int + (event_id % 89 = 7)::int <> 1"""))
+def lost_and_doubled(spark, folder):
+    """Which records are missing or doubled in a stored table, by digests per source and hour."""
+    sent = inputs.logs(spark, folder, ["event_id"]).withColumn("hour", F.date_trunc("hour", "created_at"))
+    stored = sent.filter("event_id % 97 <> 5").unionByName(sent.filter("event_id % 89 = 7"))
+    return metrics.lost_and_doubled(sent, stored, ["source", "hour"], ["event_id"])
+
+
+@query("m5_unequal_cells", log("""
+SELECT DISTINCT source, strftime(date_trunc('hour', created_at), '%Y-%m-%d %H:%M:%S') AS hour FROM logs
+WHERE (event_id % 97 <> 5)::int + (event_id % 89 = 7)::int <> 1"""))
+def unequal_cells(spark, folder):
+    sent = inputs.logs(spark, folder, ["event_id"]).withColumn("hour", F.date_trunc("hour", "created_at"))
+    stored = sent.filter("event_id % 97 <> 5").unionByName(sent.filter("event_id % 89 = 7"))
+    return metrics.unequal_cells(sent, stored, ["source", "hour"], ["event_id"]).withColumn(
+        "hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))
+
+
 # --- the whole way -----------------------------------------------------------------------------
 
 def flagship(spark, folder):

@@ -25,6 +25,7 @@ from lograil.sinks.tables import store_batch, write_batch
 from lograil.sinks.topics import append_topic, topic_table
 from lograil.sources.topics import DLQ_TOPIC, RAW_TOPIC, topic_text
 from lograil.streaming.rollups import write_rollup
+from lograil.streaming.triage import write_summary
 
 # Attempts per batch, pauses between them in seconds, and the flush interval.
 MAX_ATTEMPTS = 3
@@ -59,6 +60,7 @@ class TopicIngest:
     root: str
     topic: str = RAW_TOPIC
     rollups: tuple = BOUNDED_ROLLUPS
+    summaries: bool = True  # triage partials of the dead letters
     store: object = None
     pause: object = time.sleep
     clock: object = field(default=time.monotonic)
@@ -93,7 +95,7 @@ class TopicIngest:
             placed = accepted(done, _PLACE)
             logs = placed.select(*LOG_COLUMNS)
             failed, problem, write_seconds = self._store(logs, batch_id, writer)
-            jobs = [lambda: self._write_dead_letters(done, placed, problem, batch_id, writer)]
+            jobs = self._dead_letter_jobs(done, placed, problem, batch_id, writer)
             if problem is None:
                 jobs += [partial(write_rollup, logs, self.root, name, writer, batch_id) for name in self.rollups]
             self._at_once(jobs)
@@ -131,18 +133,21 @@ class TopicIngest:
                 self.pause(PAUSES[attempt - 1])
         return MAX_ATTEMPTS, problem, self.clock() - started
 
-    def _write_dead_letters(self, done, placed, problem, batch_id, writer):
-        """Dead letters as topic records; a letter keeps the position of the message it stands for."""
+    def _dead_letter_jobs(self, done, placed, problem, batch_id, writer):
+        """Writes of the dead letters as topic records; a letter keeps the position of the message it stands for."""
         refused = rejected(done, "value", [*_POSITION, "timestamp"])
         letters = ingest.message_reject_envelopes(refused, F.col("timestamp"), _POSITION, _PLACE)
         if problem is not None:
             letters = ingest.union_envelopes(letters, ingest.failed_batch_envelopes(
                 placed, F.col("ingested_at"), problem[1], problem[0], _PLACE))
-        append_topic(letters.select(
+        topic = letters.select(
             F.encode("key", "UTF-8").alias("key"), F.encode("value", "UTF-8").alias("value"),
             F.lit(DLQ_TOPIC).alias("topic"), *_PLACE, F.lit(0).alias("timestampType"),
-            F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers")),
-            self.path("dead_letters"), writer, batch_id)
+            F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"))
+        jobs = [partial(append_topic, topic, self.path("dead_letters"), writer, batch_id)]
+        if self.summaries:
+            jobs.append(partial(write_summary, topic, self.path("triage"), writer, batch_id))
+        return jobs
 
     def dead_letters(self) -> CommitTable:
         """The dead-letter queue that this stream wrote, as a stored topic."""

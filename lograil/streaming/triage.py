@@ -33,6 +33,45 @@ def read_committed(spark: SparkSession, path: str) -> DataFrame:
     return replay.merge_committed(empty, stored)
 
 
+def summary_table(spark: SparkSession, path: str) -> CommitTable:
+    """Stored triage partials, parted by the month of arrival."""
+    if not _summary_schema:
+        letters = spark.createDataFrame([], "error_class string, error_reason string, value_preview string, key string, "
+                                            "timestamp timestamp, partition int, offset bigint, _v int")
+        _summary_schema.append(", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" for f in dlq.triage_partials(letters).schema))
+    return CommitTable(spark, path, _summary_schema[0], key="month", kind="string", spread=False)
+
+
+_summary_schema: list[str] = []
+
+
+def write_summary(topic: DataFrame, path: str, writer: str, batch_id: int) -> None:
+    """Triage partials of the letters of one batch; a batch that repeats replaces its own.
+
+    A class counts for the month of its first letter in the batch.
+    """
+    classified = dlq.classify(dlq.decode(topic))
+    month = F.date_format(F.get(F.col("letters"), 0)["timestamp"], "yyyy-MM")
+    partials = dlq.triage_partials(classified).withColumn("month", F.coalesce(month, F.lit("none")))
+    summary_table(topic.sparkSession, path).append(partials, writer=writer, batch_id=batch_id, replace=True)
+
+
+def stored_report(spark: SparkSession, path: str, months=None) -> DataFrame:
+    """The triage report of all letters, or of some months, without opening a letter."""
+    wanted = None if months is None else set(months)
+    rows = summary_table(spark, path).read(only=lambda month, _: wanted is None or month in wanted)
+    return dlq.report_of_partials(rows.drop("month"))
+
+
+def compact_summary(spark: SparkSession, path: str) -> None:
+    """Merge the partials of each month into one per class."""
+    table = summary_table(spark, path)
+    for month in sorted({m for m, _ in table.snapshot().live}):
+        table.compact(month, lambda rows, m=month: dlq.merge_triage_partials(rows.drop("month")).withColumn(
+            "month", F.lit(m)))
+
+
 @dataclass
 class TriageJob:
     """Reads the queue from the committed offsets, reports, replays or parks each letter, commits.
