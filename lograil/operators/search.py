@@ -105,6 +105,61 @@ def total(logs: DataFrame, search: Search) -> DataFrame:
     return matching(logs, search).agg(F.count("*").alias("total"))
 
 
+def volume_serves(search: Search) -> bool:
+    """Whether the ``hourly_volume`` rollup knows every filter of the search: time, source and level."""
+    return not any((search.source_service, search.trace_id, search.user_id, search.query)) and (
+        search.event_time_missing is None)
+
+
+HOUR, _MICRO = dt.timedelta(hours=1), dt.timedelta(microseconds=1)
+
+
+def hour_counts(volume: DataFrame, logs: DataFrame, search: Search) -> DataFrame:
+    """Matches per hour (hour, n): whole hours from the rollup, the cut hours at both ends from the records.
+
+    Without bounds, or with bounds on the hour, no record is read for the lower end; the upper bound is
+    inclusive, so its hour is. The rollup must hold what the table holds, as one stream writes both.
+    """
+    def floor(t):
+        t = t if t.tzinfo is None else t.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return t.replace(minute=0, second=0, microsecond=0), t
+
+    whole, edges = [], []
+    low = None if search.time_from is None else floor(search.time_from)
+    high = None if search.time_to is None else floor(search.time_to)
+    if low and high and low[0] == high[0]:
+        whole.append(F.lit(False))
+        edges.append((low[1], high[1] + _MICRO))
+    else:
+        if low:
+            cut = low[1] != low[0]
+            whole.append(F.col("hour") >= _instant(low[0] + HOUR * cut))
+            edges += [(low[1], low[0] + HOUR)] * cut
+        if high:
+            whole.append(F.col("hour") < _instant(high[0]))
+            edges.append((high[0], high[1] + _MICRO))
+    for name in ("source", "level"):
+        if getattr(search, name):
+            whole.append(F.col(name) == F.lit(getattr(search, name)))
+    known = volume.filter(reduce(Column.__and__, whole, F.lit(True))).groupBy("hour").agg(F.sum("log_count").alias("n"))
+    found = matching(logs, search)
+    for start, end in edges:
+        at = (F.col("created_at") >= _instant(start)) & (F.col("created_at") < _instant(end))
+        if "event_date" in logs.columns:
+            at = at & (F.col("event_date") == F.to_date(_instant(start)))
+        known = known.unionByName(found.filter(at).groupBy(F.date_trunc("hour", "created_at").alias("hour")).agg(
+            F.count("*").alias("n")))
+    return known.groupBy("hour").agg(F.sum("n").alias("n"))
+
+
+def rolled_total(volume: DataFrame, logs: DataFrame, search: Search) -> DataFrame:
+    """The total from the ``hourly_volume`` rollup where it knows the filters, else from the records."""
+    search.check()
+    if not volume_serves(search):
+        return total(logs, search)
+    return hour_counts(volume, logs, search).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+
+
 NEWEST_FIRST = ["created_at", "id"]
 
 
@@ -153,22 +208,29 @@ def _time_slice(start: dt.datetime, width, partitioned: bool) -> Column:
     return found
 
 
-def deep_page(logs: DataFrame, search: Search, max_skip=MAX_SKIP) -> DataFrame:
+def deep_page(logs: DataFrame, search: Search, max_skip=MAX_SKIP, volume: DataFrame = None) -> DataFrame:
     """The same page as ``page`` for any offset, without sorting what comes before it.
 
     Counts per day, hour, second, time and id prefix find the narrow range in which the page
     starts; each count is an aggregation of a slice of the one before. The page itself skips no
-    more than ``max_skip`` rows unless more share their time and first six id characters.
+    more than ``max_skip`` rows unless more share their time and first six id characters. With the
+    ``hourly_volume`` rollup as ``volume`` the counts per day and hour come from it where it knows the
+    filters, so that records are read of one hour only.
     """
     found, skip = matching(logs, search), search.offset
     scope = found
+    hours = hour_counts(volume, logs, search) if volume is not None and volume_serves(search) else None
     # The group the page starts in, and the groups after it (the page may run past the first).
     inside, beyond = F.lit(True), F.lit(False)
     partitioned = "event_date" in logs.columns
     for bucket, width, newest in _BUCKETS:
         if skip <= max_skip:
             break
-        counts = scope.groupBy(bucket().alias("b")).agg(F.count("*").alias("n"))
+        if hours is not None and width is not None and width >= HOUR:
+            unit = "day" if width > HOUR else "hour"
+            counts = hours.groupBy(F.date_trunc(unit, "hour").alias("b")).agg(F.sum("n").alias("n"))
+        else:
+            counts = scope.groupBy(bucket().alias("b")).agg(F.count("*").alias("n"))
         # One row per group of this width inside one group of the width before.
         w = Window.orderBy(F.desc("b") if newest else F.asc("b"))
         running = counts.withColumn("upto", F.sum("n").over(w)).filter(F.col("upto") > skip)
@@ -180,6 +242,8 @@ def deep_page(logs: DataFrame, search: Search, max_skip=MAX_SKIP) -> DataFrame:
         start = hit[0]["b"]
         if newest:
             start = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=start)
+            if hours is not None and width is not None:
+                hours = hours.filter((F.col("hour") >= _instant(start)) & (F.col("hour") < _instant(start + width)))
             beyond = beyond | (inside & (F.col("created_at") < _instant(start)))
             inside = inside & _time_slice(start, width, partitioned)
             # No later row is on the page: bounds that prune the last read too.

@@ -1,8 +1,9 @@
 """Queries of sinks, search, rollups, signals and metrics."""
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lograil.operators import dispatch, ingest, metrics, rollups, search, signals, validate
 from lograil.operators.search import Search
@@ -261,6 +262,35 @@ def search_total(spark, folder):
         everything.select(F.lit("all").alias("scope"), "total"))
 
 
+_ROLLED = [dict(), dict(level="ERROR"), dict(source="http", time_from=dt.datetime(2024, 1, 10, 7, 20)),
+           dict(time_from=dt.datetime(2024, 1, 3, 5), time_to=dt.datetime(2024, 1, 20, 18, 0, 0)),
+           dict(time_from=dt.datetime(2024, 1, 9, 5, 1), time_to=dt.datetime(2024, 1, 9, 5, 58), level="INFO"),
+           dict(time_to=dt.datetime(2024, 1, 15, 12, 30), query="user 3")]
+_ROLLED_SQL = ["true", "level = 'ERROR'", "source = 'http' AND created_at >= TIMESTAMP '2024-01-10 07:20:00'",
+               "created_at BETWEEN TIMESTAMP '2024-01-03 05:00:00' AND TIMESTAMP '2024-01-20 18:00:00'",
+               "created_at BETWEEN TIMESTAMP '2024-01-09 05:01:00' AND TIMESTAMP '2024-01-09 05:58:00' AND level = 'INFO'",
+               "created_at <= TIMESTAMP '2024-01-15 12:30:00' AND message ILIKE '%user 3%'"]
+
+
+@query("q7_rolled_totals", log("\nUNION ALL\n".join(
+    f"SELECT {i} AS search, count(*) AS total FROM logs WHERE {sql}" for i, sql in enumerate(_ROLLED_SQL))))
+def rolled_totals(spark, folder):
+    """Totals from the hourly rollup; only cut hours, and filters that it does not know, read records."""
+    logs = inputs.logs(spark, folder)
+    volume = rollups.hourly_volume(logs)
+    return reduce(DataFrame.unionByName, [
+        search.rolled_total(volume, logs, Search(**wanted)).select(F.lit(i).alias("search"), "total")
+        for i, wanted in enumerate(_ROLLED)])
+
+
+@query("q8_rolled_page", log(f"""SELECT {_PAGE_SQL} FROM logs l WHERE l.level = 'INFO'
+ORDER BY l.created_at DESC, id LIMIT 20 OFFSET 300"""))
+def rolled_page(spark, folder):
+    logs = inputs.logs(spark, folder)
+    wanted = Search(level="INFO", offset=300, limit=20)
+    return page_rows(search.deep_page(logs, wanted, max_skip=5, volume=rollups.hourly_volume(logs)))
+
+
 @query("q8_page", log(f"""SELECT {_PAGE_SQL} FROM logs l WHERE {_ALL}
 ORDER BY l.created_at DESC, id LIMIT 20 OFFSET 5"""))
 def search_page(spark, folder):

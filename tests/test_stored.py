@@ -1,12 +1,14 @@
 """Stored topics, monthly rollups, released letters: what is opened, and what a repeat does."""
 
+import datetime as dt
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from lograil.operators import dlq, replay
+from lograil.operators import dlq, replay, search
 from lograil.operators.rollups import ROLLUPS
+from lograil.operators.search import Search
 from lograil.plans import inputs
 from lograil.sinks import tables as sinks, topics
 from lograil.sources import topics as sources
@@ -116,3 +118,22 @@ def test_months_of_a_rollup(spark, tmp_path):
         assert rollups.retire_rollup(spark, root, name, "2024-02") == ["2024-01"]
         assert "2024-01" not in {m for m, _ in table.snapshot().live}
     assert rollups.read_rollup(spark, root, "service_health").count() < 300
+
+
+def test_totals_and_pages_from_the_rollup(spark, tmp_path):
+    """A total over whole hours opens no file of the log table; a page opens the days that it lies in."""
+    logs, path = make_logs(spark, 400, days=6).cache(), str(tmp_path / "logs")
+    sinks.append_logs(logs, path)
+    rollups.write_rollup(logs, str(tmp_path), "hourly_volume", "w", 0)
+    stored, volume = sinks.log_table(spark, path).read(), rollups.read_rollup(spark, str(tmp_path), "hourly_volume")
+    for wanted in (Search(), Search(level="ERROR"), Search(time_from=dt.datetime(2024, 1, 24)),
+                   Search(source="kafka", time_from=dt.datetime(2024, 1, 24, 8))):
+        got = search.rolled_total(volume, stored, wanted)
+        assert "event_date" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.collect() == search.total(logs, wanted).collect()
+    cut = Search(time_from=dt.datetime(2024, 1, 23, 8, 53, 30), time_to=dt.datetime(2024, 1, 26, 8, 53, 32))
+    assert search.rolled_total(volume, stored, cut).collect() == search.total(logs, cut).collect()
+    for offset in (0, 100, 250, 399, 400):
+        wanted = Search(offset=offset, limit=20)
+        got = search.deep_page(stored, wanted, max_skip=2, volume=volume)
+        assert [r["id"] for r in got.collect()] == [r["id"] for r in search.page(logs, wanted).collect()]
