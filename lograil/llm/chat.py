@@ -4,13 +4,18 @@ Layouts are told apart by a fingerprint, the hash of their nested field paths; e
 selects a declarative mapping to canonical turns (conv_id, turn, role, text). ``canonical_turns``
 takes frames (flat turn rows, arrays of messages, instruction or prompt columns),
 ``canonical_records`` rows of JSON text of mixed layouts. Everything is built of DataFrame functions.
+Fields of other layouts may stand beside those of one: of the layouts whose paths are all there the
+one with the flat turn rows counts, else the one with most paths.
 
 Defined cases: a null role or text is empty; turns are ordered by turn (null first), ties by role,
 then text; repeated rows are kept as turns of their own; rows of a null conv_id form one
 conversation; columns outside the known paths are ignored; an empty table gives an empty result.
-A record that is no JSON, or of no known layout, gets the layout ``unknown`` and no turns.
+A record that is no JSON, or of no known layout, gets the layout ``unknown`` and no turns;
+``unknown_records`` returns these whole. A layout's path is there if any element of its array has it.
 """
 
+from functools import reduce
+
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
@@ -18,6 +23,8 @@ from pyspark.sql import types as T
 START, END = "<|im_start|>", "<|im_end|>"
 TURNS = "array<struct<role:string,text:string>>"
 UNKNOWN = "unknown"
+# Turns whose loss spans are listed together.
+RUN = 128
 
 
 def _pair(role: str, text: Column) -> Column:
@@ -46,6 +53,7 @@ SHARED_ROLES = {"human": "user", "gpt": "assistant"}
 
 # A layout: its field paths and how they become turns. ``get`` reads a path with a type.
 LAYOUTS = {
+    "rows": (("role", "text", "turn"), lambda get: F.array(F.struct(get("role").alias("role"), get("text").alias("text")))),
     "messages": (("messages[].content", "messages[].role"),
                  lambda get: _messages(get, "messages", "role", "content")),
     "messages of text": (("messages[].role", "messages[].text"),
@@ -60,8 +68,10 @@ LAYOUTS = {
     "system and prompt": (("prompt", "response", "system"),
                           lambda get: _said(get, ("prompt",), "response", "system")),
 }
-ROWS = ("role", "text", "turn")
-KNOWN = sorted({p for paths, _ in LAYOUTS.values() for p in paths} | set(ROWS))
+ROWS = "rows"
+KNOWN = sorted({p for paths, _ in LAYOUTS.values() for p in paths})
+# In order of preference where the paths of several are there.
+PREFERRED = sorted(LAYOUTS, key=lambda name: (name != ROWS, -len(LAYOUTS[name][0]), name))
 
 
 def fingerprint(paths) -> int:
@@ -83,47 +93,71 @@ def field_paths(schema: T.DataType, prefix: str = "") -> list[str]:
 MAPPINGS = {fingerprint(paths): (name, mapping) for name, (paths, mapping) in LAYOUTS.items()}
 
 
+def layout_of(paths) -> str:
+    """The name of the layout of a set of field paths: that of its fingerprint, or the preferred one among
+    those whose paths are all there."""
+    found = [p for p in paths if p in KNOWN]
+    exact = MAPPINGS.get(fingerprint(found))
+    return exact[0] if exact else next((n for n in PREFERRED if set(LAYOUTS[n][0]) <= set(found)), UNKNOWN)
+
+
 def canonical_turns(df: DataFrame, conversation: str = "conv_id") -> DataFrame:
     """(conv_id, turn, role, text) of a frame; the fingerprint of its field paths picks the mapping."""
-    found = [p for p in field_paths(df.schema) if p in KNOWN]
-    key = fingerprint(found)
-    if key == fingerprint(ROWS):
-        return df.select(F.col(conversation).alias("conv_id"), "turn", "role", "text")
-    if key not in MAPPINGS:
-        raise ValueError(f"no mapping for a layout with the fields {found}")
+    paths = field_paths(df.schema)
+    name = layout_of(paths)
+    if name == UNKNOWN:
+        raise ValueError(f"no mapping for a layout with the fields {[p for p in paths if p in KNOWN]}")
 
     def get(path, kind="string"):
         return F.col(path).cast(kind) if kind == "string" else F.transform(
             F.col(path), lambda m: F.struct(*[m[f.name].cast("string").alias(f.name) for f in
                                               T.DataType.fromDDL(kind).elementType.fields]))
-    return _exploded(df.select(F.col(conversation).alias("conv_id"), MAPPINGS[key][1](get).alias("turns")))
+    _, mapping = MAPPINGS[fingerprint(LAYOUTS[name][0])]
+    key = F.col(conversation).alias("conv_id")
+    if name == ROWS:  # every row is one turn, with a number of its own
+        return df.select(key, "turn", mapping(get).alias("turns")).select("conv_id", "turn", F.inline("turns"))
+    return _exploded(df.select(key, mapping(get).alias("turns")))
 
 
 def with_layout(df: DataFrame, column: str) -> DataFrame:
     """Adds the parsed record, its fingerprint and the name of its layout."""
     def there(path):
-        at = "$." + path.replace("[]", "[0]")
-        return F.when(F.try_variant_get("record", at, "variant").isNotNull(), F.lit(path))
-
-    found = F.array_join(F.array_compact(F.array(*map(there, KNOWN))), "\n")
+        outer, _, inner = path.partition("[].")
+        if not inner:
+            return F.try_variant_get("record", f"$.{path}", "variant").isNotNull()
+        items = F.try_variant_get("record", f"$.{outer}", "array<variant>")
+        return F.exists(items, lambda m: F.try_variant_get(m, f"$.{inner}", "variant").isNotNull())
+
+    found = {p: F.coalesce(there(p), F.lit(False)) for p in KNOWN}
+    listed = F.array_join(F.array_compact(F.array(*[F.when(f, F.lit(p)) for p, f in found.items()])), "\n")
+    records = [n for n in PREFERRED if n != ROWS]
     named = F.lit(UNKNOWN)
-    for key, (name, _) in MAPPINGS.items():
-        named = F.when(F.col("fingerprint") == key, name).otherwise(named)
+    for name in reversed(records):
+        named = F.when(reduce(Column.__and__, [found[p] for p in LAYOUTS[name][0]]), name).otherwise(named)
+    for name in records:
+        named = F.when(F.col("fingerprint") == fingerprint(LAYOUTS[name][0]), name).otherwise(named)
     return (df.withColumn("record", F.try_parse_json(column))
-            .withColumn("fingerprint", F.xxhash64(found)).withColumn("layout", named))
+            .withColumn("fingerprint", F.xxhash64(listed)).withColumn("layout", named))
 
 
 def canonical_records(df: DataFrame, column: str, conversation: str = "conv_id") -> DataFrame:
-    """(conv_id, turn, role, text) of JSON records, each mapped by its own fingerprint."""
+    """(conv_id, turn, role, text) of JSON records, each mapped by its own layout."""
     def get(path, kind="string"):
         return F.try_variant_get("record", f"$.{path}", kind)
 
     turns = F.lit(None).cast(TURNS)
-    for key, (_, mapping) in MAPPINGS.items():
-        turns = F.when(F.col("fingerprint") == key, mapping(get).cast(TURNS)).otherwise(turns)
+    for name, (_, mapping) in LAYOUTS.items():
+        if name != ROWS:
+            turns = F.when(F.col("layout") == name, mapping(get).cast(TURNS)).otherwise(turns)
     return _exploded(with_layout(df, column).select(F.col(conversation).alias("conv_id"), turns.alias("turns")))
 
 
+def unknown_records(df: DataFrame, column: str) -> DataFrame:
+    """The rows whose record has no known layout, as they came."""
+    return with_layout(df.select(F.struct("*").alias("row"), column), column).where(
+        F.col("layout") == UNKNOWN).select("row.*")
+
+
 def _exploded(df: DataFrame) -> DataFrame:
     return (df.select("conv_id", F.posexplode("turns").alias("turn", "said"))
             .select("conv_id", F.col("turn").cast("long").alias("turn"), "said.role", "said.text"))
@@ -162,6 +196,7 @@ def formatted(turns: DataFrame) -> DataFrame:
         escaped(t["text"]).alias("body"), (t["role"] == "assistant").alias("learned")))
     tail = f"{END}\n"
     state = "struct<at:int,spans:array<struct<start:int,chars:int>>>"
+    size = lambda p: F.length(p["head"]) + F.length(p["body"]) + F.lit(len(tail))
 
     def step(acc, p):
         start, chars = acc["at"] + F.length(p["head"]), F.length(p["body"])
@@ -169,10 +204,18 @@ def formatted(turns: DataFrame) -> DataFrame:
         spans = F.when(p["learned"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
         return F.struct((start + chars + len(tail)).alias("at"), spans.alias("spans")).cast(state)
 
-    zero = F.struct(F.lit(1).alias("at"), F.array().alias("spans")).cast(state)
+    def from_(at):
+        return F.struct(at.alias("at"), F.array().alias("spans")).cast(state)
+
+    # Runs of RUN turns, each told where it starts: the spans of long conversations are not copied turn by turn.
+    run = lambda i: F.slice("parts", i * RUN + 1, F.lit(RUN))
+    runs = F.sequence(F.lit(0), F.floor((F.size("parts") - 1) / RUN).cast("int"))
+    sizes = F.transform(runs, lambda i: F.aggregate(run(i), F.lit(0), lambda n, p: n + size(p)))
+    starts = F.transform(runs, lambda i: F.aggregate(F.slice("sizes", F.lit(1), i), F.lit(1), lambda n, s: n + s))
+    spans = F.flatten(F.transform(runs, lambda i: F.aggregate(run(i), from_(F.get("starts", i)), step)["spans"]))
     text = F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit(tail))), "")
-    return (grouped.select("conv_id", parts.alias("parts"))
-            .select("conv_id", text.alias("formatted"), F.aggregate("parts", zero, step)["spans"].alias("loss")))
+    return (grouped.select("conv_id", parts.alias("parts")).select("*", sizes.alias("sizes"))
+            .select("*", starts.alias("starts")).select("conv_id", text.alias("formatted"), spans.alias("loss")))
 
 
 def read_back(chats: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ bounded sample of its texts. A text is compressed piece by piece with every dict
 total wins. Where the margin to the second is narrow the prediction is not accepted: the language
 stays, ``accepted`` says no, and the score is near that of a draw.
 
-The sample is bounded by SAMPLE_DOCS documents of a language and EXCERPT characters of each (the
-model's only data); texts to be predicted are read whole.
+The sample is bounded by SAMPLE_DOCS different texts of a language, EXCERPT characters of each from a
+place that its hash chooses, and the last DICTIONARY_BYTES of these (the model's only data); texts to
+be predicted are read whole.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, not accepted; with no
 learning documents every text is ``und``; ties go to the language with more learning documents, then
@@ -44,9 +45,14 @@ def dictionaries(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict[str, b
     count = dict(map(tuple, docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
                      .groupBy("lang").count().collect()))
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
-    text = usable.select("lang", F.substring("text", 1, EXCERPT).alias("text"), F.xxhash64("text").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    rows = text.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample_docs)
+    # Different texts only, by their hashes first: so a group of copies gives one sample, and few texts move.
+    h = F.xxhash64("text")
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = usable.select("lang", h.alias("h")).distinct().withColumn("n", F.row_number().over(order)).where(
+        F.col("n") <= sample_docs)
+    place = F.pmod(h, F.greatest(F.length("text") - EXCERPT, F.lit(0)) + 1).cast("int") + 1
+    rows = usable.select("lang", h.alias("h"), F.substring("text", place, EXCERPT).alias("text")).join(
+        chosen, ["lang", "h"]).groupBy("lang", "h", "n").agg(F.min("text").alias("text"))
     found = {}
     for r in rows.select("lang", "text").orderBy("lang", "n").collect():
         found.setdefault(r.lang, []).append(r.text.lower().encode())

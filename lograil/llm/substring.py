@@ -245,7 +245,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents with the kept words as text where words went, else as they were; n_chars follows."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     # Other columns travel in one struct, so that none clashes with a name used here.
-    carried = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *rest).alias("rest"))
+    spare = "_" * (1 + max(map(len, rest), default=0))
+    carried = docs.select("doc_id", "text", F.struct(F.lit(0).alias(spare), *rest).alias("rest"))
     cut = F.col("n_removed") > 0
     columns = {c: F.col("rest")[c].alias(c) for c in rest} | {
         "doc_id": F.col("doc_id"), "text": F.when(cut, F.col("kept")).otherwise(F.col("text")).alias("text")}

@@ -1,10 +1,11 @@
 """Exact top-k by inner product, in three phases with one uniform cutoff per query.
 
-The dimensions are cut into SEGMENTS lists of partial scores. Phase one takes from every block of
-candidates the best few entries of each list and scores them exactly; the k-th best of these over
-all blocks is a cutoff the true answer cannot fall below. Phase two sends the cutoff with the
-queries to every block; a vector that reaches it must reach cutoff / SEGMENTS in some list, so the
-entries that do are sufficient. Phase three scores those exactly and keeps the k best.
+The dimensions are cut into SEGMENTS lists of partial scores. Phase one gathers, from one in PROBED
+blocks of candidates, the best few entries of each list and scores them exactly; the k-th best of
+these is a cutoff the true answer cannot fall below, whichever blocks gave it. Phase two sends the
+cutoff with the queries to every block; a vector that reaches it must reach cutoff / SEGMENTS in some
+list, so the entries down to that share are sufficient. Phase three adds up the partial scores of
+those alone and keeps the k best.
 
 Queries meet candidates in blocks of bounded size, and only k entries per query leave a block.
 
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-SEGMENTS = 4
+SEGMENTS, PROBED = 4, 8
 CANDIDATES, QUERIES = 4096, 1024
 _LOWEST = -(1 << 62)  # the cutoff of a query with fewer than k known scores
 
@@ -54,6 +55,20 @@ def _partial_scores(q, c, segments):
     return [q[:, a:b] @ c[:, a:b].T for a, b in zip(cuts, cuts[1:])]
 
 
+def sufficient(lists, cutoff):
+    """Marks the entries that some list holds at or above its share of the query's cutoff."""
+    share = -(-cutoff // len(lists))[:, None]  # the least whole number that is enough
+    enough = lists[0] >= share
+    for part in lists[1:]:
+        enough |= part >= share
+    return enough
+
+
+def resolved(lists, rows, cols):
+    """The exact scores of the entries at these places, from their partial ones."""
+    return sum(part[rows, cols] for part in lists).astype(np.int64)
+
+
 def _first(k, rows, score, ids):
     """Of entries (row, score, id) the k first of each row by score, then id."""
     order = np.lexsort((ids, -score, rows))
@@ -71,16 +86,12 @@ def _phase(k, segments, resolve):
                 q_id, q_v, c_id, c_v = _arrays(batch, i, "qb_vec_id", "qb_v", "cb_vec_id", "cb_v")
                 dim = batch["dim"][i].as_py()
                 lists = _partial_scores(q_v.reshape(len(q_id), dim), c_v.reshape(len(c_id), dim), segments)
-                total = sum(lists)
                 own = q_id[:, None] == c_id[None, :]
                 if resolve:
                     cutoff, = _arrays(batch, i, "qb_cutoff")
-                    share = -(-cutoff // len(lists))[:, None]  # the least whole number that is enough
-                    enough = np.zeros_like(own)
-                    for part in lists:
-                        enough |= part >= share
+                    enough = sufficient(lists, cutoff)
                     rows, cols = np.nonzero(enough & ~own)
-                    score = total[rows, cols].astype(np.int64)
+                    score = resolved(lists, rows, cols)
                     kept = score >= cutoff[rows]
                     rows, cols, score = rows[kept], cols[kept], score[kept]
                 else:
@@ -90,7 +101,7 @@ def _phase(k, segments, resolve):
                         best = np.argpartition(-part, n - 1, axis=1)[:, :n]
                         np.put_along_axis(picked, best, True, axis=1)
                     rows, cols = np.nonzero(picked & ~own)
-                    score = total[rows, cols].astype(np.int64)
+                    score = resolved(lists, rows, cols)
                 at = _first(k, rows, score, c_id[cols])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(q_id[rows[at]]), pa.array(c_id[cols[at]]), pa.array(score[at])],
@@ -108,7 +119,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, segments: int =
 
     def meet(asked, resolve):
         # Each query block is dealt to every candidate block: the stated queries against all rows.
-        pairs = asked.select("*", every.alias("cb")).join(blocks, ["dim", "cb"])
+        pairs = asked.select("*", every.alias("cb"))
+        if not resolve:  # a share of the blocks, another one for every query block, at least one
+            pairs = pairs.where(F.pmod(F.col("cb") - F.col("qb"), F.lit(min(PROBED, n_c))) == 0)
+        pairs = pairs.join(blocks, ["dim", "cb"])
         return pairs.drop("qb", "cb").mapInArrow(_phase(k, segments, resolve), shape)
 
     def ranked(found):

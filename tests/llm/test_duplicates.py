@@ -344,3 +344,26 @@ def test_top_k(spark, monkeypatch):
     rows32 = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     assert got == brute_topk(rows32, 5)
     assert topk.nearest(df.where("false")).count() == 0
+
+
+def test_top_k_resolves_few_scores(spark):
+    """The cutoff of a few blocks leaves a small part of all pairs to be scored, and none of the best is lost."""
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(6000, 64))
+    x = np.floor(256 * v / np.linalg.norm(v, axis=1)[:, None]).astype(np.int64)
+    q, k = x[:100], 5
+    scores = q @ x.T
+    scores[np.arange(100), np.arange(100)] = -10 ** 9
+    probed = np.sort(scores[:, :6000 // topk.PROBED], axis=1)[:, -k]  # the k-th best of one part in eight
+    mask = topk.sufficient(topk._partial_scores(q, x, topk.SEGMENTS), probed)
+    assert mask.mean() < 0.4
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    assert np.take_along_axis(mask, best, axis=1).all()
+    rows, cols = np.nonzero(mask)
+    assert (topk.resolved(topk._partial_scores(q, x, topk.SEGMENTS), rows, cols) == (q @ x.T)[rows, cols]).all()
+
+
+def test_columns_of_any_name_pass_the_substring_stage(docs_of):
+    docs = docs_of([(1, "a b c " * 20), (2, "a b c " * 20)]).selectExpr("*", "1 AS _", "2 AS __")
+    assert substring.deduplicated(docs).columns == docs.columns
+    assert sorted(r["_"] for r in substring.deduplicated(docs).collect()) == [1, 1]

@@ -185,3 +185,45 @@ def test_chat_layouts(spark):
     assert [tuple(r) for r in chat.canonical_turns(nested).collect()] == [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
     with pytest.raises(ValueError):
         chat.canonical_turns(spark.createDataFrame([(1, "x")], "conv_id long, thing string"))
+
+
+def test_chat_layouts_beside_each_other(spark):
+    """Fields of other layouts change nothing; unknown records are kept; any element tells an array's paths."""
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a")]
+    plain = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for extra in ("prompt", "response", "system", "input", "output", "instruction", "completion", "turns", "parts", "sizes"):
+        wide = plain.withColumn(extra, F.lit("other"))
+        assert chat.digests(wide).collect() == chat.digests(plain).collect(), extra
+    records = {1: {"prompt": "q", "response": "a", "input": "unused"}, 2: {"messages": [{"x": 1}, {"role": "user", "content": "q"}]},
+               3: {"messages": []}, 4: {"thing": 1}}
+    df = spark.createDataFrame([(i, json.dumps(r), "z") for i, r in records.items()], "conv_id long, body string, layout string")
+    got = sorted((r.conv_id, r.turn, r.role, r.text) for r in chat.canonical_records(df, "body").na.fill("").collect())
+    assert got == [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "", ""), (2, 1, "user", "q")]
+    lost = chat.unknown_records(df, "body")
+    assert sorted(r.conv_id for r in lost.collect()) == [3, 4] and lost.columns == df.columns
+
+
+def test_chat_long_conversation(spark):
+    """Loss spans over many runs of turns are those of a plain walk."""
+    rows = [(1, i, "assistant" if i % 3 else "user", f"<|text {i}" * (i % 4)) for i in range(5000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    r = chat.formatted(chat.canonical_turns(df)).first()
+    at, want = 1, []
+    for _, _, role, text in rows:
+        head, body = len(f"<|im_start|>{role}\n"), len(text.replace("<|", "<||"))
+        if role == "assistant":
+            want.append((at + head, body))
+        at += head + body + len("<|im_end|>\n")
+    assert [tuple(x) for x in r.loss] == want and len(r.formatted) == at - 1
+
+
+def test_dictionaries_hold_different_texts(docs_of):
+    """Copies give one sample; a long text gives an excerpt from a place of its own."""
+    same = [(i, f"text number {i % 7} of a few") for i in range(700)]
+    long = [(1000 + i, "".join(f"{i}w{j} " for j in range(2000))) for i in range(20)]
+    lang = {i: "aa" for i, _ in same} | {i: "bb" for i, _ in long}
+    found = langid.dictionaries(docs_of(same + long, lang=lang))
+    lines = found["aa"].decode().split("\n")
+    assert len(lines) == len(set(lines)) == 7
+    starts = [x.split(" ")[1] for x in found["bb"].decode().split("\n")]
+    assert len({s.split("w")[1] for s in starts}) > 5
