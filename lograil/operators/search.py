@@ -100,6 +100,18 @@ def matching(logs: DataFrame, search: Search) -> DataFrame:
     return logs.filter(reduce(Column.__and__, wanted)) if wanted else logs
 
 
+def field(logs: DataFrame, name: str, kind: str = "string") -> Column:
+    """A member of the metadata (members of members as ``a.b``) as text or another type; null where it is not.
+
+    On a table that was stored with ``fields`` it is a typed column of the files, which a filter on it
+    reaches; on other frames the metadata is parsed.
+    """
+    if not name or not all(part.replace("_", "").replace("-", "").isalnum() for part in name.split(".")):
+        raise ValueError(f"field: no member name: {name!r}")
+    record = F.col("fields") if "fields" in logs.columns else F.try_parse_json("metadata")
+    return F.try_variant_get(record, "$" + "".join(f"['{part}']" for part in name.split(".")), kind)
+
+
 def total(logs: DataFrame, search: Search) -> DataFrame:
     """Number of matches, independent of the page."""
     return matching(logs, search).agg(F.count("*").alias("total"))

@@ -6,10 +6,12 @@ from lograil.functions import jsonx, times
 from lograil.functions.levels import normalise_level
 from lograil.operators import dispatch, jsonlog, syslog, validate
 from lograil.plans import inputs, oracle
-from lograil.plans.inputs import millis_text
+from lograil.plans.inputs import as_of, millis_text
 from lograil.plans.oracle import ts3, with_
 from lograil.plans.registry import query
 from lograil.schema import LOG_COLUMNS, TEXT_RULES
+from lograil.session import scratch_dir
+from lograil.sources import raw
 
 def as_text(df, columns):
     """Log columns with timestamps as text, for comparison."""
@@ -49,6 +51,30 @@ SELECT event_id,
 FROM req WHERE error IS NULL"""
 
 
+@query("s3_jsonl_files", with_(oracle.REQUESTS, """
+SELECT 'upload-' || event_id % 5 || '.jsonl' AS file, count(*) AS count, count(*) - count(error) AS success,
+  count(error) AS failed, min(CASE WHEN error IS NOT NULL THEN 1 + event_id // 5 END) AS first_error,
+  string_agg(CASE WHEN error IS NULL THEN event_type || ' ' || event_id END, ',' ORDER BY event_id)
+    AS messages FROM req GROUP BY 1"""))
+def jsonl_files(spark, folder):
+    """Uploads as JSONL files on disk, one for each name: report per file and the stored messages in line order."""
+    path, rows = scratch_dir(spark, "uploads"), inputs.request_lines(spark, folder)
+    for i in range(5):
+        # One file of ordered lines; five files in all.
+        one = rows.filter(F.col("event_id") % 5 == i).coalesce(1).sortWithinPartitions("event_id")
+        one.select("value").write.option("lineSep", "\n").text(f"{path}/upload-{i}.jsonl")
+    lines = raw.numbered(raw.read_jsonl_lines(spark, [f"{path}/upload-{i}.jsonl" for i in range(5)]))
+    named = lines.withColumn("file", F.element_at(F.split("file", "/"), -2))
+    logs, bad = dispatch.run_request_job(
+        named, ingested_at=as_of(), id_from=raw.LINE_KEY, keep=raw.LINE_KEY, default_source="file",
+        default_source_service="unknown")
+    stored = logs.groupBy("file").agg(F.count("*").alias("success"), F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("line", "message"))), lambda m: m["message"]), ",").alias("messages"))
+    refused = bad.groupBy("file").agg(F.count("*").alias("failed"), F.min("line").alias("first_error"))
+    return stored.join(refused, "file").select(
+        "file", (F.col("success") + F.col("failed")).alias("count"), "success", "failed", "first_error", "messages")
+
+
 @query("s3_jsonl_scan", with_(oracle.REQUESTS, _JSONL_ROWS))
 def jsonl_scan(spark, folder):
     logs, _ = dispatch.run_request_job(

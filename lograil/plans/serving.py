@@ -262,6 +262,20 @@ def search_total(spark, folder):
         everything.select(F.lit("all").alias("scope"), "total"))
 
 
+_FIELDS_SQL = """SELECT id, try_cast(metadata->>'$.http_status' AS varchar) AS http, cast(metadata->>'$.response_time_ms' AS double) AS ms
+FROM logs WHERE metadata->>'$.http_status' = '404' OR cast(metadata->>'$.response_time_ms' AS double) > 1900"""
+
+
+@query("q2_metadata_fields", log(_FIELDS_SQL))
+def metadata_fields(spark, folder):
+    """Search by members of the metadata in a table that keeps them as typed columns."""
+    path = scratch_dir(spark, "fields")
+    sink_tables.append_logs(inputs.logs(spark, folder), path, fields=True)
+    logs = source_tables.read_log_table(spark, path, fields=True)
+    http, ms = search.field(logs, "http_status"), search.field(logs, "response_time_ms", "double")
+    return logs.filter((http == "404") | (ms > 1900)).select("id", http.alias("http"), ms.alias("ms"))
+
+
 _ROLLED = [dict(), dict(level="ERROR"), dict(source="http", time_from=dt.datetime(2024, 1, 10, 7, 20)),
            dict(time_from=dt.datetime(2024, 1, 3, 5), time_to=dt.datetime(2024, 1, 20, 18, 0, 0)),
            dict(time_from=dt.datetime(2024, 1, 9, 5, 1), time_to=dt.datetime(2024, 1, 9, 5, 58), level="INFO"),

@@ -32,21 +32,25 @@ LOG_STATS = {
 }
 
 
-def log_table(spark: SparkSession, path: str) -> CommitTable:
-    """The log table at a path: days of committed folders."""
-    return CommitTable(spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LOG_SCHEMA),
-                       stats=LOG_STATS)
+def log_table(spark: SparkSession, path: str, fields=False) -> CommitTable:
+    """The log table at a path: days of committed folders.
+
+    With ``fields`` it has the metadata a second time as a VARIANT column of that name, which files
+    keep in typed columns per member: a search by a member reads that member alone.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LOG_SCHEMA)
+    return CommitTable(spark, path, schema + ", fields variant" * fields, stats=LOG_STATS)
 
 
-def append_logs(logs: DataFrame, path: str) -> None:
+def append_logs(logs: DataFrame, path: str, fields=False) -> None:
     """Append log records, partitioned by day and sorted by source, level and time, with Bloom filters.
 
     The rows are spread by day so that each day gets few, evenly sized files; adaptive execution
     splits a day that is larger than the others.
     """
-    table = log_table(logs.sparkSession, path)
+    table, rows = log_table(logs.sparkSession, path, fields), logs.select(*LOG_COLUMNS)
     table.options = bloom_options()
-    table.append(with_event_date(logs.select(*LOG_COLUMNS)), LOG_ORDER)
+    table.append(with_event_date(rows.withColumn("fields", F.try_parse_json("metadata")) if fields else rows), LOG_ORDER)
 
 
 def store_batch(logs: DataFrame, path: str, batch_id: int, writer="stream") -> None:

@@ -5,12 +5,13 @@ from pyspark.sql import DataFrame, SparkSession
 from lograil.sinks.tables import log_table
 
 
-def read_log_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+def read_log_table(spark: SparkSession, path: str, version: int | None = None, fields=False) -> DataFrame:
     """The committed rows of the log table: its columns plus the partition column ``event_date``.
 
-    The frame keeps to the version that it was made with, whatever is committed later.
+    The frame keeps to the version that it was made with, whatever is committed later. ``fields`` adds
+    the metadata as VARIANT of a table that was written so.
     """
-    return log_table(spark, path).read(version)
+    return log_table(spark, path, fields).read(version)
 
 
 def read_batches(spark: SparkSession, path: str, schema=None) -> DataFrame:

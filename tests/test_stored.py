@@ -137,3 +137,22 @@ def test_totals_and_pages_from_the_rollup(spark, tmp_path):
         wanted = Search(offset=offset, limit=20)
         got = search.deep_page(stored, wanted, max_skip=2, volume=volume)
         assert [r["id"] for r in got.collect()] == [r["id"] for r in search.page(logs, wanted).collect()]
+
+
+def test_a_field_is_read_alone(spark, tmp_path):
+    logs, path = make_logs(spark, 200), str(tmp_path / "logs")
+    body = F.expr("""concat('{"k": ', cast(message as string) = 'event 3', ', "n": ', length(message) + day(created_at),
+        ', "deep": {"er": "', message, '"}, "long": "', repeat('x', 500), '"}')""")
+    logs = logs.withColumn("metadata", body)
+    sinks.append_logs(logs, path, fields=True)
+    stored = sinks.log_table(spark, path, fields=True).read()
+    found = stored.filter(search.field(stored, "n", "bigint") == 32).select("id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "fields:struct<0:bigint>" in plan and "metadata" not in plan
+    assert sorted(found.collect()) == sorted(logs.filter(search.field(logs, "n", "bigint") == 32).select("id").collect()) != []
+    deep = search.field(stored, "deep.er")
+    assert stored.filter(deep == "event 3").count() == logs.filter("message = 'event 3'").count() > 0
+    assert sinks.log_table(spark, path).read().columns == sinks.log_table(spark, path, fields=True).read().drop("fields").columns
+    for name in ("", "a'b", "x.", "$"):
+        with pytest.raises(ValueError):
+            search.field(stored, name)
