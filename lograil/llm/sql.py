@@ -49,7 +49,9 @@ base AS (SELECT row, count(*) AS n, min(start) AS first, max(start) AS last,
   string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY row),
 blocks AS (
   SELECT row, list_distinct(regexp_extract_all(b, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
-  FROM (SELECT row, unnest(regexp_split_to_array(low, '[\r\n]+')) AS b FROM words)),
+  FROM (SELECT row, unnest(regexp_split_to_array(low, '[\r\n]+')) AS b FROM words
+    UNION ALL SELECT row, p FROM (SELECT row, unnest(regexp_split_to_array(replace(replace(low, chr(13) || chr(10), chr(10)),
+      chr(13), chr(10)), '\n[ \t]*\n')) AS p FROM words) WHERE contains(p, chr(10)) AND length(p) <= 2000)),
 hits AS (
   SELECT row, label, len(list_intersect(w, t)) / len(t) AS score
   FROM blocks, (SELECT label, list_distinct(string_split(words, ' ')) AS t FROM templates)

@@ -227,3 +227,17 @@ def test_dictionaries_hold_different_texts(docs_of):
     assert len(lines) == len(set(lines)) == 7
     starts = [x.split(" ")[1] for x in found["bb"].decode().split("\n")]
     assert len({s.split("w")[1] for s in starts}) > 5
+
+
+def test_license_notices_wrapped_and_repeated(docs_of):
+    """A notice over several lines is one block; very many places of a phrase are all found."""
+    words = licenses.TEMPLATES["mit-notice"][1].split()
+    wrapped = "\r\n".join(" * " + " ".join(words[i:i + 8]) for i in range(0, len(words), 8))
+    far = "\n\n".join(" ".join(words[i:i + 8]) for i in range(0, len(words), 8))
+    many = "x mit license, cc by " * 1500
+    got = {r.doc_id: r for r in licenses.summary(docs_of([(1, "head\n\n" + wrapped + "\n\ntail"), (2, far), (3, many)])).collect()}
+    assert (got[1].labels, got[1].score) == ("mit-notice", 1.0) and got[2].labels == ""
+    n, places = brute_licenses(many)
+    mine = licenses.scan(docs_of([(3, many)])).first()
+    assert mine.n_words == n and [tuple(p) for p in mine.places] == places and got[3].n_base == 3000
+    assert got[3].first_word == 1 and got[3].last_word == places[-1][0]
