@@ -60,7 +60,7 @@ class TopicIngest:
     root: str
     topic: str = RAW_TOPIC
     rollups: tuple = BOUNDED_ROLLUPS
-    summaries: bool = True  # triage partials of the dead letters
+    summaries: bool = False  # also keep triage partials of the dead letters
     store: object = None
     pause: object = time.sleep
     clock: object = field(default=time.monotonic)

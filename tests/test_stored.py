@@ -12,7 +12,7 @@ from lograil.operators.search import Search
 from lograil.plans import inputs
 from lograil.sinks import tables as sinks, topics
 from lograil.sources import topics as sources
-from lograil.streaming import rollups
+from lograil.streaming import rollups, triage
 from lograil.streaming.ingest import TopicIngest
 from lograil.streaming.triage import TriageJob
 from test_serving import make_logs, topic_rows
@@ -156,3 +156,17 @@ def test_a_field_is_read_alone(spark, tmp_path):
     for name in ("", "a'b", "x.", "$"):
         with pytest.raises(ValueError):
             search.field(stored, name)
+
+
+def test_stream_keeps_triage_partials(spark, tmp_path):
+    """The report from what the stream kept equals the report over its letters; a repeat changes nothing."""
+    job = TopicIngest(spark, str(tmp_path), rollups=(), summaries=True)
+    good = json.dumps(LOG)
+    for batch, values in ((0, [good, "junk", "{}"]), (1, ["x", good]), (1, ["x", good])):
+        rows = topic_rows(spark, values).withColumn("offset", F.col("offset") + 100 * batch)
+        job.run_batch(rows, batch)
+    kept = triage.stored_report(spark, f"{tmp_path}/triage")
+    want = dlq.triage_report(dlq.classify(dlq.decode(job.dead_letters().read())))
+    columns = ["error_class", "count", "percentage", "top_errors"]
+    assert sorted(kept.select(columns).collect()) == sorted(want.select(columns).collect()) != []
+    assert sum(r["count"] for r in kept.collect()) == 3
