@@ -12,9 +12,14 @@ positions, so each of them contains a sampled suffix in every document that hold
 3. The suffixes that repeated windows selected carry REACH words to the right and to the left as word hashes. They are
    sorted by the words to the right, then by those to the left, read backwards. Each is compared with its
    nearest neighbours of other documents and the match is extended to the right and to the left; LEAST
-   words or more in common are a repeat. The last suffix of each sorted part also meets the first of
-   the next. Such a match only joins windows that are known to repeat.
-4. Overlapping matches of a document are merged into maximal spans.
+   words or more in common are a match, with its place in both documents. The suffixes of the first and
+   the last document of each sorted part also meet those of the parts beside it, so that the order alone
+   decides who is whose neighbour, not the number of parts.
+4. Matches with one document that advance in step are extended into alignments. Overlapping windows of a
+   document are merged into maximal spans, and each span carries its longest alignment: which document
+   the passage stands in, and where. The windows alone know that a passage repeats; only the sorted
+   order knows where its longest copy is. Nearest neighbours are not all neighbours: an alignment is a
+   true one, but a longer one may exist, and a span of which none was met has null there.
 
 The sort is Spark's range partitioning over all of the key and the document, and windows are dealt by
 their own hash, so that a passage or phrase in a third of all documents spreads over many tasks.
@@ -39,7 +44,8 @@ REACH = LEAST
 CHUNK = 20_000
 _STEP, _SECOND = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 SUFFIX = "anchor long, right binary, left binary, doc_id long, at long, n_left int, n_right int"
-MATCH = "doc_id long, start long, end long, other_id long"
+MATCH = "doc_id long, start long, end long, other_id long, other_start long"
+_MATCHED = ("doc_id", "start", "end", "other_id", "other_start")
 
 
 def _sampled(table):
@@ -202,9 +208,8 @@ def neighbour_matches(table: pa.Table) -> pa.Table:
         r, l = _equal(right, n_right, a, b), _equal(left, n_left, a, b)
         hit = (r >= SAMPLED) & (r + l >= LEAST)
         a, b, r, l = a[hit], b[hit], r[hit], l[hit]
-        found.append((doc[a], at[a] - l, at[a] + r, doc[b]))
-    return pa.table({c: pa.array(np.concatenate(x).astype(np.int64))
-                     for c, x in zip(("doc_id", "start", "end", "other_id"), zip(*found))})
+        found.append((doc[a], at[a] - l, at[a] + r, doc[b], at[b] - l))
+    return pa.table({c: pa.array(np.concatenate(x).astype(np.int64)) for c, x in zip(_MATCHED, zip(*found))})
 
 
 def _chunks(batches):
@@ -226,42 +231,48 @@ def _chunks(batches):
 
 
 def _compare(batches):
-    """Matches of one sorted part; its first and last suffix leave too, for the parts beside it."""
+    """Matches of one sorted part; the suffixes of its first and last document leave too, for the parts beside it."""
     first, rows = True, None
     for rows in _chunks(b for b in batches if b.num_rows):
-        if first:
-            yield from _edge(rows.slice(0, 1))
+        runs = _runs(rows)
+        # A chunk of one document and minimiser comes again, whole, with the next.
+        if first and len(runs) > 1:
+            yield from _edge(rows.slice(0, runs[1]))
             first = False
         yield from _filled(neighbour_matches(rows)).to_batches()
     if rows is not None:
-        yield from _edge(rows.slice(rows.num_rows - 1))
+        yield from _edge(rows if first else rows.slice(_runs(rows)[-1]))
+
+
+def _runs(rows):
+    """Where each run of suffixes of one minimiser and document starts."""
+    return starts_of(rows["anchor"].to_numpy(), rows["doc_id"].to_numpy())
 
 
 def _filled(found):
-    for name, kind in {**dict.fromkeys(("start", "end", "other_id"), pa.int64()), **_KINDS}.items():
+    for name, kind in {**dict.fromkeys(_MATCHED[1:], pa.int64()), **_KINDS}.items():
         if name not in found.column_names:
             found = found.append_column(name, pa.nulls(found.num_rows, kind))
     return found.select(_COLUMNS)
 
 
-def _edge(row):
-    edge = row.append_column("start", pa.nulls(1, pa.int64())).append_column("end", pa.nulls(1, pa.int64())) \
-              .append_column("other_id", pa.nulls(1, pa.int64()))
-    return edge.select(_COLUMNS).to_batches()
+def _edge(rows):
+    return _filled(rows).to_batches()
 
 
-_COLUMNS = ["start", "end", "other_id", *_KINDS]
+_COLUMNS = [*_MATCHED[1:], *_KINDS]
 
 
 def _across(batches):
-    """Matches between the last suffix of a part and the first of the next; parts come in order."""
+    """Matches between the last document of a part and the first of the next; parts come in order."""
     rows = pa.Table.from_batches(list(batches))
     if rows.num_rows:
         yield from neighbour_matches(rows.select(list(_KINDS))).to_batches()
 
 
-def matches(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, end, other_id): word spans that stand in another document too, not merged yet."""
+def matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, start, end, other_id): runs of windows that stand in another document too, not merged yet, and
+    (doc_id, start, end, other_id, other_start): matches of sorted neighbours."""
     blocks, buckets = with_blocks(docs.select("doc_id", "text"))
     by_block = blocks.groupBy("block")
     shared = (by_block.applyInArrow(_minimiser_entries(buckets), "bucket long, block long, anchor binary, low binary, high binary")
@@ -270,7 +281,7 @@ def matches(docs: DataFrame) -> DataFrame:
         _window_entries(buckets), "bucket long, block long, one binary, two binary, doc binary")
     answers = saved(entries.groupBy("bucket").applyInArrow(
         _window_bucket, "block long, one binary, two binary, low binary, second binary"), "suffix-windows")
-    both = "start long, end long, other_id long, " + SUFFIX
+    both = "start long, end long, other_id long, other_start long, " + SUFFIX
     repeats = saved(by_block.cogroup(answers.groupBy("block")).applyInArrow(_found, both), "suffixes")
     windows = repeats.where(F.col("start").isNotNull()).select("doc_id", "start", "end", "other_id")
     suffixes = repeats.where(F.col("start").isNull()).select(*_KINDS)
@@ -278,22 +289,47 @@ def matches(docs: DataFrame) -> DataFrame:
     order = ["anchor", "right", "left", "doc_id", "at"]
     parts = suffixes.repartitionByRange(n, *order).sortWithinPartitions(*order)
     found = saved(parts.mapInArrow(_compare, both), "suffix-neighbours")
-    inside = found.where(F.col("start").isNotNull()).select("doc_id", "start", "end", "other_id")
-    # Two rows per part: their number is that of the parts, whatever the data.
+    inside = found.where(F.col("start").isNotNull()).select(*_MATCHED)
+    # Suffixes of one minimiser and two documents per part: their number is that of the parts, not of the rows.
     edges = found.where(F.col("start").isNull()).select(*_KINDS).repartition(1).sortWithinPartitions(*order)
-    return windows.union(inside).union(edges.mapInArrow(_across, MATCH))
+    return windows, inside.union(edges.mapInArrow(_across, MATCH))
+
+
+def _islands(rows: DataFrame, within: list[str], name: str) -> DataFrame:
+    """Numbers the groups of overlapping spans among rows that agree in some columns."""
+    by = Window.partitionBy(*within).orderBy("start", "end")
+    return (rows.withColumn("reach", F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("new", F.when(F.col("start") <= F.col("reach"), 0).otherwise(1))
+            .withColumn(name, F.sum("new").over(by)).drop("reach", "new"))
+
+
+def alignments(found: DataFrame) -> DataFrame:
+    """(doc_id, start, end, other_id, other_start): matches extended by those that advance in step with them."""
+    step = ["doc_id", "other_id", "shift"]
+    steps = found.withColumn("shift", F.col("other_start") - F.col("start"))
+    return (_islands(steps, step, "island").groupBy(*step, "island")
+            .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+            .select("doc_id", "start", "end", "other_id", (F.col("start") + F.col("shift")).alias("other_start")))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, end, n_words, other_id): maximal word spans that repeat across documents.
+    """(doc_id, start, end, n_words, other_id, match_id, match_start, match_words, match_at): maximal word spans
+    that repeat across documents.
 
-    ``other_id`` is the smallest other document that holds LEAST words of the span in a row.
+    ``other_id`` is the smallest other document that holds LEAST words of the span in a row. The longest
+    alignment in the span has ``match_words`` words from ``match_at`` on; they stand in ``match_id`` from
+    word ``match_start`` on. Of equally long ones the smallest document, then the first place counts.
     """
-    by_doc = Window.partitionBy("doc_id").orderBy("start", "end")
-    merged = (matches(docs).groupBy("doc_id", "start", "end").agg(F.min("other_id").alias("other_id"))
-              .withColumn("reach", F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1)))
-              .withColumn("new", F.when(F.col("start") <= F.col("reach"), 0).otherwise(1))
-              .withColumn("span", F.sum("new").over(by_doc)))
-    return (merged.groupBy("doc_id", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"),
-                                                 F.min("other_id").alias("other_id"))
-            .select("doc_id", "start", "end", (F.col("end") - F.col("start")).alias("n_words"), "other_id"))
+    windows, found = matches(docs)
+    # Dealt by document once; all that follows is sorted and grouped inside it.
+    rows = (windows.withColumn("other_start", F.lit(None).cast("long")).repartition("doc_id")
+            .union(alignments(found.repartition("doc_id"))))
+    n_words = F.col("end") - F.col("start")
+    longest = F.when(F.col("other_start").isNotNull(),
+                     F.struct(n_words.alias("n"), -F.col("other_id"), -F.col("start"), -F.col("other_start")))
+    return (_islands(rows, ["doc_id"], "span").groupBy("doc_id", "span")
+            .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("other_id").alias("other_id"),
+                 F.max(longest.cast("struct<n:long,id:long,at:long,place:long>")).alias("best"))
+            .select("doc_id", "start", "end", n_words.alias("n_words"), "other_id", (-F.col("best.id")).alias("match_id"),
+                    (-F.col("best.place")).alias("match_start"), F.col("best.n").alias("match_words"),
+                    (-F.col("best.at")).alias("match_at")))

@@ -197,6 +197,43 @@ def test_suffixes_of_a_hot_passage(spark, docs_of):
     pairs = [(i, f"{fresh(30)} {passage} {fresh(30)}") for i in range(300)] + [(999, fresh(200))]
     got = suffixes.repeated_spans(docs_of(pairs)).collect()
     assert {(r.doc_id, r.start, r.end) for r in got} == {(i, 30, 90) for i in range(300)}
+    assert {(r.match_at, r.match_words, r.match_start) for r in got} == {(30, 60, 30)}
+    assert all(r.match_id != r.doc_id for r in got)
+
+
+def longest_copy(w, others):
+    """The most words in a row of w that stand in one of the others, by common-run lengths."""
+    best = 0
+    for o in others:
+        above = [0] * (len(o) + 1)
+        for x in w:
+            above = [0] + [above[j] + 1 if x == y else 0 for j, y in enumerate(o)]
+            best = max(best, *above)
+    return best
+
+
+def test_suffix_alignments(spark, docs_of):
+    """Sorted neighbours place the copy of a span: true ones, mostly a longest one, whatever the parts."""
+    pairs = copies(4) + [(904, "the same " * 30), (907, "x " + "the same " * 31)]
+    rows = {i: words(t) for i, t in pairs}
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for partitions in ("1", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            seen.append(sorted(map(tuple, suffixes.repeated_spans(docs_of(pairs)).collect())))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] and len(seen[0]) > 20
+    met = [r for r in seen[0] if r[5] is not None]
+    assert len(met) >= 0.95 * len(seen[0])
+    longest = []
+    for doc, start, end, _, _, other, place, n, at in met:
+        assert other != doc and n >= 50 and start <= at and at + n <= end
+        assert rows[doc][at:at + n] == rows[other][place:place + n]
+        longest.append((n, longest_copy(rows[doc][start:end], [w for i, w in rows.items() if i != doc])))
+    # Nearest neighbours are not all neighbours: some longer copy stands elsewhere.
+    print("longest:", sum(n == m for n, m in longest), "of", len(longest), "words", [sum(x) for x in zip(*longest)])
+    assert all(n <= m for n, m in longest) and sum(n for n, _ in longest) >= 0.9 * sum(m for _, m in longest)
 
 
 def brute_suffix_spans(pairs):
