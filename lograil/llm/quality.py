@@ -10,7 +10,8 @@ the smallest hashes among those not held out. Scoring covers every whole text in
 
 Defined cases: a null text is empty, and empty texts get a score too; a null n_chars counts as the
 text's length; labels of a null quality or of ids without a document are not learned from; a
-document labelled several times counts with its largest label; without labels the score is 0.5;
+document labelled several times counts with its largest label, of several texts under one id one is
+learned from, always the same; without labels the score is 0.5;
 repeated rows are scored each; labels, lang, source and doc_id are no inputs of a score; a null
 doc_id counts as held out; an empty table gives an empty result.
 """
@@ -121,7 +122,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine |
 
     rows = docs.select("doc_id", "text", F.col("n_chars").cast("long").alias("n_chars")).join(
         F.broadcast(known), "doc_id").mapInArrow(run, "doc_id long, quality int, ids binary, x binary")
-    found = sorted(map(tuple, rows.dropDuplicates(["doc_id"]).collect()))
+    # Of several texts under one id the first in the order of their features is learned from.
+    first = rows.groupBy("doc_id").agg(F.min(F.struct("quality", "ids", "x")).alias("r"))
+    found = sorted(map(tuple, first.select("doc_id", "r.*").collect()))
     if not found:
         return None
     sparse = [(np.frombuffer(i, np.int32), np.frombuffer(x, np.float32)) for _, _, i, x in found]

@@ -203,11 +203,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """One document of each component, its smallest doc_id (null last); every column as it was."""
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
-    keepers = near_duplicates(docs).groupBy("group").agg(F.min(order)["key"].alias("key")).select("key")
-    kept = docs.withColumn("_key", _row_key()).join(
-        keepers.withColumnRenamed("key", "_key"), "_key", "left_semi")
-    return kept.dropDuplicates(["_key"]).drop("_key")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("key").alias("key"))
+    # Rows are known by id and hash, under names that no column of theirs has.
+    spare = "_" * (1 + max(map(len, docs.columns)))
+    known = [spare + "id", spare + "key"]
+    keepers = near_duplicates(docs).groupBy("group").agg(F.min(order).alias("first")).select(
+        F.coalesce("first.id", F.lit(0)).cast("long").alias(known[0]), F.col("first.key").alias(known[1]))
+    rows = docs.withColumns({known[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), known[1]: _row_key()})
+    return rows.join(keepers, known, "left_semi").dropDuplicates(known).select(*docs.columns)
 
 
 def summary(docs: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
+import brute
 from lograil.llm import components, decontaminate, simhash, substring, suffixes, topk
 
 SPACE = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -288,23 +289,6 @@ def test_suffixes_are_exact(spark, docs_of, make, partitions):
     assert len(want) >= 20 and {(r.doc_id, r.start, r.end, r.other_id) for r in got} == want and len(got) == len(want)
 
 
-def brute_contaminated(pairs, items):
-    total = len(items)
-    known = [(i, decontaminate.words_of((t or "").encode())) for i, t in items]
-    known = [(i, w) for i, w in known if w]
-    held = decontaminate.Counter(s for _, w in known for s in decontaminate.shingles(w))
-    b = decontaminate.Benchmark(known, held, total)
-    out = []
-    for d, t in pairs:
-        w = decontaminate.words_of((t or "").encode())
-        for i, iw, sh in b.items:
-            best = max(((round(b.similarity(sh, decontaminate.shingles(w[s:s + len(iw)])), 9), -s)
-                        for s in range(len(w) - len(iw) + 1)), default=(0, 0))
-            if best[0] >= 0.8:
-                out.append((str(d), str(i), best[0], -best[1]))
-    return sorted(out)
-
-
 @pytest.mark.parametrize("part", [20_000, 3])
 def test_decontamination(spark, docs_of, part):
     rng = random.Random(2)
@@ -325,7 +309,7 @@ def test_decontamination(spark, docs_of, part):
     pairs += ODD + [(700, items[-1][1])]
     bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS part", "2 AS doc_id")
     got = decontaminate.contaminated(docs_of(pairs), bench, part).collect()
-    want = brute_contaminated(pairs, items)
+    want = brute.contaminated(pairs, items)
     assert sorted((str(r.doc_id), str(r.item_id), round(r.similarity, 9), r.start) for r in got) == want and len(want) > 10
     df = docs_of(pairs)
     kept = decontaminate.kept_documents(df, bench, part)
@@ -346,7 +330,7 @@ def test_decontamination_weighs_by_the_whole_benchmark(spark, docs_of, monkeypat
     items = [(i, " ".join(w)) for i, w in enumerate(own)]
     items += [(100 + i, " ".join(template + fresh(20))) for i in range(12)]
     pairs = [(i, " ".join(fresh(10) + w[:53] + template[:7] + fresh(10))) for i, w in enumerate(own)]
-    want = brute_contaminated(pairs, items)
+    want = brute.contaminated(pairs, items)
     assert len(want) == len(own) and all(x[2] < 0.82 for x in want)
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.contaminated(docs_of(pairs), bench, 5).collect()
@@ -404,3 +388,12 @@ def test_columns_of_any_name_pass_the_substring_stage(docs_of):
     docs = docs_of([(1, "a b c " * 20), (2, "a b c " * 20)]).selectExpr("*", "1 AS _", "2 AS __")
     assert substring.deduplicated(docs).columns == docs.columns
     assert sorted(r["_"] for r in substring.deduplicated(docs).collect()) == [1, 1]
+
+
+def test_columns_of_any_name_pass_the_near_duplicate_stage(docs_of):
+    docs = docs_of([(1, "a b c d"), (2, "a b c d"), (None, "x y z"), (None, None), (None, "x y z")], extra=False)
+    docs = docs.selectExpr("*", "1 AS _key", "2 AS key", "3 AS `group`", "4 AS ______id")
+    kept = simhash.kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, (tuple(r) for r in kept.select("doc_id", "text", "_key", "key").collect()))) == sorted(
+        map(str, [(1, "a b c d", 1, 2), (None, "x y z", 1, 2), (None, None, 1, 2)]))

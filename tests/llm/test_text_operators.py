@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import brute
 from lograil.llm import bpe, chat, langid, licenses, quality
 
 ODD = [(1, None), (2, ""), (3, "  \n\t "), (4, "a"), (None, "the mit license"), (4, "a"), (5, "x" * 20_000),
@@ -241,3 +242,39 @@ def test_license_notices_wrapped_and_repeated(docs_of):
     mine = licenses.scan(docs_of([(3, many)])).first()
     assert mine.n_words == n and [tuple(p) for p in mine.places] == places and got[3].n_base == 3000
     assert got[3].first_word == 1 and got[3].last_word == places[-1][0]
+
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_language_equals_brute_force(spark, docs_of):
+    """Dictionaries, sizes, scores and margins as plain Python has them, over whole texts."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(9_001, None, "en"), (9_002, "12 34", "en"), (9_003, "", None), (None, "le chat", "fr")],
+                                docs.schema)
+    rows = [tuple(r) for r in docs.union(odd).collect()]
+    known = brute.languages(rows)
+    assert langid.dictionaries(docs.union(odd)) == known and len(known) >= 4
+    want = sorted((str(i), brute.is_held_out(i), *brute.language(t, known)) for i, t, _ in rows)
+    got = sorted((str(r.doc_id), r.held_out, r.lang_pred, r.score, r.accepted)
+                 for r in langid.summary(docs.union(odd)).collect())
+    assert [r[:3] + r[4:] for r in got] == [r[:3] + r[4:] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-12)
+
+
+def test_quality_equals_brute_force(spark):
+    """Scores of the fitted machine from features counted one by one and all their pairs."""
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    machine = quality.train(docs, labels)
+    want = {r.doc_id: brute.quality_score(r.text, r.n_chars, machine) for r in docs.collect()}
+    got = {r.doc_id: r for r in quality.summary(docs, labels).collect()}
+    assert {i: r.score for i, r in got.items()} == pytest.approx(want, abs=1e-4)
+    assert all(r.held_out == brute.is_held_out(i) and r.predicted == (r.score >= 0.3) for i, r in got.items())
+
+
+def test_quality_of_several_texts_under_one_id(spark, docs_of):
+    """Whatever the order of the rows, the same text is learned from."""
+    pairs = [(i, f"word {i} and more") for i in range(40)] + [(i, f"OTHER ## {i}") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    one, two = (quality.train(docs_of(p).repartition(n), labels) for p, n in ((pairs, 1), (pairs[::-1], 7)))
+    assert one.bias == two.bias and (one.w == two.w).all() and (one.v == two.v).all()
