@@ -278,3 +278,11 @@ def test_quality_of_several_texts_under_one_id(spark, docs_of):
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
     one, two = (quality.train(docs_of(p).repartition(n), labels) for p, n in ((pairs, 1), (pairs[::-1], 7)))
     assert one.bias == two.bias and (one.w == two.w).all() and (one.v == two.v).all()
+
+
+def test_license_notice_in_a_long_paragraph(docs_of):
+    words = licenses.TEMPLATES["mit-notice"][1].split()
+    wrapped = "\n".join(" ".join(words[i:i + 6]) for i in range(0, len(words), 6))
+    lines = "\n".join(f"line {i} of code" for i in range(400))
+    got = {r.doc_id: r.labels for r in licenses.summary(docs_of([(1, lines + "\n" + wrapped), (2, lines)])).collect()}
+    assert got == {1: "mit-notice", 2: ""}
