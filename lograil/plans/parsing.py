@@ -59,15 +59,16 @@ SELECT 'upload-' || event_id % 5 || '.jsonl' AS file, count(*) AS count, count(*
 def jsonl_files(spark, folder):
     """Uploads as JSONL files on disk, one for each name: report per file and the stored messages in line order."""
     path, rows = scratch_dir(spark, "uploads"), inputs.request_lines(spark, folder)
-    for i in range(5):
-        # One file of ordered lines; five files in all.
-        one = rows.filter(F.col("event_id") % 5 == i).coalesce(1).sortWithinPartitions("event_id")
-        one.select("value").write.option("lineSep", "\n").text(f"{path}/upload-{i}.jsonl")
-    lines = raw.numbered(raw.read_jsonl_lines(spark, [f"{path}/upload-{i}.jsonl" for i in range(5)]))
-    named = lines.withColumn("file", F.element_at(F.split("file", "/"), -2))
-    logs, bad = dispatch.run_request_job(
-        named, ingested_at=as_of(), id_from=raw.LINE_KEY, keep=raw.LINE_KEY, default_source="file",
-        default_source_service="unknown")
+    # One file of ordered lines for each name, five in all; the lines are made before they are dealt to the files.
+    one = rows.filter("event_id % 5 >= 0").withColumn("upload", F.col("file")).repartition("upload").sortWithinPartitions(
+        "upload", "event_id")
+    one.select("value", "upload").write.option("lineSep", "\n").partitionBy("upload").text(f"{path}/lines")
+    lines = raw.numbered(raw.read_jsonl_lines(spark, f"{path}/lines"))
+    named = lines.withColumn("file", F.element_at(F.split(F.element_at(F.split("file", "/"), -2), "="), -1))
+    done = validate.finish(jsonlog.parse_requests(named, default_source="file", default_source_service="unknown"),
+                           ingested_at=as_of(), id_from=raw.LINE_KEY, promoted=True, meta="_meta")
+    outcome = dispatch.store_outcome(done, f"{path}/outcome", raw.LINE_KEY)
+    logs, bad = validate.accepted(outcome, raw.LINE_KEY), validate.rejected(outcome, keep=raw.LINE_KEY)
     stored = logs.groupBy("file").agg(F.count("*").alias("success"), F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("line", "message"))), lambda m: m["message"]), ",").alias("messages"))
     refused = bad.groupBy("file").agg(F.count("*").alias("failed"), F.min("line").alias("first_error"))

@@ -37,3 +37,24 @@ def test_stream_takes_three_batches_of_a_file_per_core(spark, folder):
     written = [n for n in files.names(spark, root.removesuffix("out") + "topic") if n.endswith(".parquet")]
     assert len(written) > 3 and source_tables.read_batches(spark, f"{root}/stats").count() <= 3
     assert source_tables.read_batches(spark, f"{root}/stats").agg(F.sum("consumed")).first()[0] == 400
+
+
+def test_uploads_are_written_at_once_in_order(spark, folder, monkeypatch):
+    made, written = inputs.request_lines, []
+    monkeypatch.setattr(inputs, "request_lines", lambda *a: made(*a).withColumn("value", _noted(spark, written)("value")))
+    got = {r["file"]: r for r in parsing.jsonl_files(spark, folder).collect()}
+    assert sorted(got) == [f"upload-{i}.jsonl" for i in range(5)] and all(r["count"] == 80 for r in got.values())
+    numbers = [int(m.split()[1]) for m in got["upload-1.jsonl"]["messages"].split(",")]
+    assert numbers == sorted(numbers) and {n % 5 for n in numbers} == {1}
+    assert written[0].value == 400
+
+
+def _noted(spark, counters):
+    """A function on a text column that counts its calls."""
+    counters.append(spark.sparkContext.accumulator(0))
+    count = counters[-1]
+
+    def same(text):
+        count.add(1)
+        return text
+    return F.udf(same, "string").asNondeterministic()
