@@ -58,3 +58,27 @@ def _noted(spark, counters):
         count.add(1)
         return text
     return F.udf(same, "string").asNondeterministic()
+
+
+def test_committed_offsets_do_not_gather_a_partition_in_a_task(spark):
+    topic = topic_rows(spark, [json.dumps(LOG)] * 60)
+    committed = spark.createDataFrame([(0, 20)], "partition int, committed_offset long")
+    got = dlq.uncommitted(topic, committed)
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    kept = topic.filter((F.col("partition") != 0) | (F.col("offset") >= 20))
+    assert places(got) == places(kept)
+
+
+def test_large_samples_are_cut_by_slices(spark, monkeypatch):
+    rows = topic_rows(spark, [json.dumps(LOG)] * 200).withColumn("partition", F.expr("int(offset % 3 + offset div 150)"))
+    committed = spark.createDataFrame([(0, 31)], "partition int, committed_offset long")
+    sizes = (6, 20, 100, 150, 198, 5000)
+    ranked = [places(dlq.sample(rows, at, size)) for size in sizes for at in (None, committed)]
+    monkeypatch.setattr(dlq, "RANKED_SAMPLE", 5)
+    monkeypatch.setattr(dlq, "SLICE", 7)
+    sliced = [dlq.sample(rows, at, size) for size in sizes for at in (None, committed)]
+    assert [places(s) for s in sliced] == ranked
+    assert sliced[0].columns == rows.columns
+    assert not places(dlq.sample(rows.limit(0), None, 6))
+    # A partition is not ranked whole: what is ranked is joined with its cut first.
+    assert all("_cut" in str(s._jdf.queryExecution().optimizedPlan()) for s in sliced)
