@@ -82,3 +82,12 @@ def test_large_samples_are_cut_by_slices(spark, monkeypatch):
     assert not places(dlq.sample(rows.limit(0), None, 6))
     # A partition is not ranked whole: what is ranked is joined with its cut first.
     assert all("_cut" in str(s._jdf.queryExecution().optimizedPlan()) for s in sliced)
+
+
+def test_a_run_checks_each_letter_once(spark, tmp_path, monkeypatch):
+    checked, verdict = [], replay.with_verdict
+    monkeypatch.setattr(replay, "with_verdict", lambda *a: verdict(*a).withColumn("reason", _noted(spark, checked)("reason")))
+    rows = topic_rows(spark, [json.dumps(LOG), "junk"] * 30)
+    job = TriageJob(spark, str(tmp_path), sample_size=None)
+    job.run(rows, make_logs(spark), inputs.as_of(), 0, force=True)
+    assert job.parked().count() == 30 and checked[0].value == 60
