@@ -10,7 +10,7 @@ from lograil.operators import dlq, replay
 from lograil.plans import inputs, parsing, streams
 from lograil.sinks import files
 from lograil.sources import tables as source_tables
-from lograil.streaming.triage import TriageJob
+from lograil.streaming.triage import TriageJob, stored_report, write_summary
 from test_serving import make_logs, topic_rows
 from test_stored import LOG, places
 
@@ -91,3 +91,15 @@ def test_a_run_checks_each_letter_once(spark, tmp_path, monkeypatch):
     job = TriageJob(spark, str(tmp_path), sample_size=None)
     job.run(rows, make_logs(spark), inputs.as_of(), 0, force=True)
     assert job.parked().count() == 30 and checked[0].value == 60
+
+
+def test_a_summary_classifies_each_letter_once(spark, tmp_path, monkeypatch):
+    classified, classify = [], dlq.classify
+    monkeypatch.setattr(dlq, "classify", lambda rows: classify(rows).withColumn(
+        "error_class", _noted(spark, classified)("error_class")))
+    rows = topic_rows(spark, [json.dumps(LOG), "junk"] * 30)
+    write_summary(rows, str(tmp_path), "stream", 0)
+    assert classified[0].value == 60
+    got = {r["error_class"]: r for r in stored_report(spark, str(tmp_path)).collect()}
+    assert {name: r["count"] for name, r in got.items()} == {dlq.DATA: 30, dlq.UNKNOWN: 30}
+    assert all(len(r["sample_messages"]) == 3 for r in got.values())
