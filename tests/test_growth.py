@@ -6,10 +6,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lograil.operators import dlq, replay
+from lograil.operators import dlq, jsonlog, replay
 from lograil.plans import inputs, parsing, streams
 from lograil.sinks import files
 from lograil.sources import tables as source_tables
+from lograil.streaming import ingest as stream
 from lograil.streaming.triage import TriageJob, stored_report, write_summary
 from test_serving import make_logs, topic_rows
 from test_stored import LOG, places
@@ -103,3 +104,28 @@ def test_a_summary_classifies_each_letter_once(spark, tmp_path, monkeypatch):
     got = {r["error_class"]: r for r in stored_report(spark, str(tmp_path)).collect()}
     assert {name: r["count"] for name, r in got.items()} == {dlq.DATA: 30, dlq.UNKNOWN: 30}
     assert all(len(r["sample_messages"]) == 3 for r in got.values())
+
+
+def test_a_message_is_typed_by_its_members_and_kept_without_its_text(spark, tmp_path, monkeypatch):
+    odd = ["{}", "[1]", "null", "1", '"x"', "x", json.dumps(LOG | {"metadata": None}), json.dumps(LOG | {"metadata": '{"k": 1}'}),
+           json.dumps(LOG | {"metadata": "[1]"}), json.dumps(LOG | {"metadata": [1]}), json.dumps(LOG | {"metadata": {"k": 1}}),
+           json.dumps(LOG | {"id": "0123456789abcdef" * 2}), json.dumps(LOG | {"id": "0123456789ABCDEF" * 2})]
+    rows = topic_rows(spark, odd)
+    parsed = jsonlog.parse_messages(rows)
+    plan = parsed._jdf.queryExecution().analyzed().toString()
+    # The type of a whole document, and texts of what is no text as a rule, are not made.
+    assert "schema_of_variant(_v#" not in plan and "StructField(http_status,StringType" not in plan
+    got = [(r["errors"], r["metadata"], r["id"]) for r in parsed.orderBy("partition", "offset").collect()]
+    bad, uuid = "metadata: must be a JSON object", "01234567-89ab-cdef-0123-456789abcdef"
+    want = {"[1]": jsonlog.NOT_OBJECT, "null": jsonlog.NOT_OBJECT, "1": jsonlog.NOT_OBJECT, '"x"': jsonlog.NOT_OBJECT,
+            "x": jsonlog.NOT_JSON, odd[8]: bad, odd[9]: bad}
+    values = [r["value"].decode() for r in rows.orderBy("partition", "offset").collect()]
+    assert [e for e, _, _ in got] == [want.get(v) for v in values]
+    assert {got[values.index(odd[i])][1] for i in (7, 10)} == {'{"k":1}'} and got[values.index(odd[6])][1] == "{}"
+    assert {got[values.index(odd[i])][2] for i in (11, 12)} == {uuid}
+
+    kept, refuse = [], stream.rejected
+    monkeypatch.setattr(stream, "rejected", lambda done, *a: (kept.append([
+        (r["errors"] is None, r["value"] is None) for r in done.collect()]), refuse(done, *a))[1])
+    stream.TopicIngest(spark, str(tmp_path), rollups=()).run_batch(rows, 0)
+    assert len(kept[0]) == len(odd) and all(good == bare for good, bare in kept[0])
