@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from lograil.functions import jsonx
 from lograil.operators import dlq, jsonlog, replay
 from lograil.plans import inputs, parsing, streams
 from lograil.sinks import files
@@ -129,3 +130,24 @@ def test_a_message_is_typed_by_its_members_and_kept_without_its_text(spark, tmp_
         (r["errors"] is None, r["value"] is None) for r in done.collect()]), refuse(done, *a))[1])
     stream.TopicIngest(spark, str(tmp_path), rollups=()).run_batch(rows, 0)
     assert len(kept[0]) == len(odd) and all(good == bare for good, bare in kept[0])
+
+
+def test_a_message_is_read_once_and_carries_no_document_along(spark, tmp_path):
+    odd = ["{}", ' \t{"a": "x", "b": 1}', '[{"a": 1}]', "null", "1", "x", '{"a": 1', "{'a': 1}", '{"a": NaN}', '{"a": 1, "a": "y"}',
+           '{"a": null, "b": {"c": [1]}}', '{"a": 1.50, "b": true} x', '{"c": ' + "9" * 1200 + "}", '{"a": "' + "z" * 1200 + '"}', None]
+    rows = spark.createDataFrame(list(enumerate(odd)), "i int, value string")
+    read, m, valid, helpers = jsonx.with_text_members(rows, F.col("value"), ["a", "b"], texts=["a"])
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1 and helpers[0] in read.columns
+    whole, n, _ = jsonx.with_members(rows.withColumn("_v", jsonx.parse(F.col("value"))), F.col("_v"), ["a", "b"])
+    seen = lambda x: [c for k in "ab" for c in (x[k].shape, x[k].cast("string"), F.to_json(x[k].value))]
+    got = read.select("i", F.when(valid, F.struct(valid, *seen(m)))).orderBy("i").collect()
+    want = whole.select("i", F.when(F.col("_v").isNotNull(), F.struct(F.lit(True), *seen(n)))).orderBy("i").collect()
+    assert [tuple(r[1] or ()) for r in got] == [tuple(r[1] or ()) for r in want]
+
+    parsed = stream.TopicIngest(spark, str(tmp_path), rollups=()).prepare(topic_rows(spark, [json.dumps(LOG)]))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and " AS _v#" not in plan and "key#" not in plan.splitlines()[0]
+    with stream.uncompressed(spark):
+        kept = parsed.persist()
+    assert kept.collect()[0]["errors"] is None and spark.conf.get("spark.sql.inMemoryColumnarStorage.compressed") == "true"
+    kept.unpersist()
