@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 SEGMENTS, PROBED = 4, 8
 CANDIDATES, QUERIES = 4096, 1024
+# Pairs of blocks in an Arrow batch, and queries of a block that are scored at a time: what a Python worker holds.
+PAIRS, SCORED = 8, 256
 _LOWEST = -(1 << 62)  # the cutoff of a query with fewer than k known scores
 
 
@@ -83,34 +85,41 @@ def _phase(k, segments, resolve):
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                q_id, q_v, c_id, c_v = _arrays(batch, i, "qb_vec_id", "qb_v", "cb_vec_id", "cb_v")
+                ids, vectors, c_id, c_v = _arrays(batch, i, "qb_vec_id", "qb_v", "cb_vec_id", "cb_v")
                 dim = batch["dim"][i].as_py()
-                lists = _partial_scores(q_v.reshape(len(q_id), dim), c_v.reshape(len(c_id), dim), segments)
-                own = q_id[:, None] == c_id[None, :]
-                if resolve:
-                    cutoff, = _arrays(batch, i, "qb_cutoff")
-                    enough = sufficient(lists, cutoff)
-                    rows, cols = np.nonzero(enough & ~own)
-                    score = resolved(lists, rows, cols)
-                    kept = score >= cutoff[rows]
-                    rows, cols, score = rows[kept], cols[kept], score[kept]
-                else:
-                    n = min(k + 1, len(c_id))  # one more, for the query itself
-                    picked = np.zeros_like(own)
-                    for part in lists:
-                        best = np.argpartition(-part, n - 1, axis=1)[:, :n]
-                        np.put_along_axis(picked, best, True, axis=1)
-                    rows, cols = np.nonzero(picked & ~own)
-                    score = resolved(lists, rows, cols)
-                at = _first(k, rows, score, c_id[cols])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_id[rows[at]]), pa.array(c_id[cols[at]]), pa.array(score[at])],
-                    ["query_id", "vec_id", "score"])
+                vectors, c_v = vectors.reshape(len(ids), dim), c_v.reshape(len(c_id), dim)
+                cutoffs, = _arrays(batch, i, "qb_cutoff") if resolve else (None,)
+                for start in range(0, len(ids), SCORED):
+                    part = slice(start, start + SCORED)
+                    q_id = ids[part]
+                    lists = _partial_scores(vectors[part], c_v, segments)
+                    own = q_id[:, None] == c_id[None, :]
+                    if resolve:
+                        cutoff = cutoffs[part]
+                        enough = sufficient(lists, cutoff)
+                        rows, cols = np.nonzero(enough & ~own)
+                        score = resolved(lists, rows, cols)
+                        kept = score >= cutoff[rows]
+                        rows, cols, score = rows[kept], cols[kept], score[kept]
+                    else:
+                        n = min(k + 1, len(c_id))  # one more, for the query itself
+                        picked = np.zeros_like(own)
+                        for values in lists:
+                            best = np.argpartition(-values, n - 1, axis=1)[:, :n]
+                            np.put_along_axis(picked, best, True, axis=1)
+                        rows, cols = np.nonzero(picked & ~own)
+                        score = resolved(lists, rows, cols)
+                    at = _first(k, rows, score, c_id[cols])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(q_id[rows[at]]), pa.array(c_id[cols[at]]), pa.array(score[at])],
+                        ["query_id", "vec_id", "score"])
     return run
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, segments: int = SEGMENTS) -> DataFrame:
     """(query_id, rank, vec_id, score) of frames (vec_id long, v array<long>)."""
+    # A pair of blocks is one row of megabytes; the next query sets the number again (common.prepared).
+    candidates.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(PAIRS))
     n_c = candidates.count() // CANDIDATES + 1
     n_q = queries.count() // QUERIES + 1
     blocks = _packed(candidates, n_c, "cb")
@@ -122,7 +131,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 5, segments: int =
         pairs = asked.select("*", every.alias("cb"))
         if not resolve:  # a share of the blocks, another one for every query block, at least one
             pairs = pairs.where(F.pmod(F.col("cb") - F.col("qb"), F.lit(min(PROBED, n_c))) == 0)
-        pairs = pairs.join(blocks, ["dim", "cb"])
+        # Estimated by the blocks before they are dealt, the copies could look small enough to broadcast.
+        pairs = pairs.hint("merge").join(blocks, ["dim", "cb"])
         return pairs.drop("qb", "cb").mapInArrow(_phase(k, segments, resolve), shape)
 
     def ranked(found):

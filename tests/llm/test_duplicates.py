@@ -367,6 +367,17 @@ def test_top_k(spark, monkeypatch):
     assert topk.nearest(df.where("false")).count() == 0
 
 
+def test_topk_copies_of_queries_are_not_broadcast(spark, monkeypatch):
+    """Every candidate block gets a copy of the queries; together these may be far more than a driver holds."""
+    monkeypatch.setattr(topk, "CANDIDATES", 20)
+    monkeypatch.setattr(topk, "SCORED", 1)
+    rows = [(i, [float(i % 7 - 3), float(i % 11 - 5), float(i % 13 - 6)]) for i in range(200)]
+    found = topk.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    assert sorted(tuple(r) for r in found.collect()) == brute_topk(rows, 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"(\w+Join) \[dim", plan)) == {"SortMergeJoin"}
+
+
 def test_top_k_resolves_few_scores(spark):
     """The cutoff of a few blocks leaves a small part of all pairs to be scored, and none of the best is lost."""
     rng = np.random.default_rng(5)
