@@ -95,6 +95,35 @@ def test_a_run_checks_each_letter_once(spark, tmp_path, monkeypatch):
     assert job.parked().count() == 30 and checked[0].value == 60
 
 
+def test_a_run_caches_no_letters(spark, tmp_path, monkeypatch):
+    """Letters of a run are read from written tables, which are gone after it; its rows stay as they are."""
+    plans, add = [], TriageJob._add
+
+    def noted(job, rows, name, run_id):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return add(job, rows, name, run_id)
+
+    monkeypatch.setattr(TriageJob, "_add", noted)
+    rows = topic_rows(spark, [json.dumps(LOG)] * 4 + ["junk", ""])
+    root, logs = str(tmp_path), make_logs(spark)
+    for run_id, force, sent in ((0, False, 0), (1, True, 4)):
+        job = TriageJob(spark, f"{root}/{run_id}", sample_size=None)
+        report = job.run(rows, logs, F.lit("2024-01-01").cast("timestamp"), run_id, force=force).first()
+        assert (report["sampled_count"], job.parked().count()) == (6, 6 - sent)
+        assert files.names(spark, f"{root}/{run_id}/work") == []
+    assert len(plans) == 4 and not any("InMemoryTableScan" in plan for plan in plans)
+
+
+def test_cached_batches_hold_few_rows(spark, monkeypatch):
+    """A task's serializer keeps its last hundred batches, so a batch must be small."""
+    with stream.uncompressed(spark):
+        kept = spark.range(1000, numPartitions=1).persist()
+    assert kept.count() == 1000 and spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize") == "10000"
+    batches = kept._jdf.queryExecution().withCachedData().cacheBuilder().cachedColumnBuffers().count()
+    kept.unpersist()
+    assert batches >= 4
+
+
 def test_a_summary_classifies_each_letter_once(spark, tmp_path, monkeypatch):
     classified, classify = [], dlq.classify
     monkeypatch.setattr(dlq, "classify", lambda rows: classify(rows).withColumn(
